@@ -141,3 +141,133 @@ def q_product_best_name(spark, sf_dir):
 @query("calendar")
 def q_calendar(spark, sf_dir):
     return cal.calendar(cal.calendar_bounds(staging(spark, sf_dir)))
+
+
+# --------------------------------------------------------------- history and fact
+# Fixed parameters: three daily loads cut at these dates, run at these times.
+LOAD_CUTS = (
+    (dt.date(1997, 1, 1), dt.datetime(1997, 1, 1, 6, 0, 0)),
+    (dt.date(1999, 1, 1), dt.datetime(1999, 1, 1, 6, 0, 0)),
+    (None, AS_OF),
+)
+
+
+def _history(spark, sf_dir, which: str):
+    from starmart.plans import build as b
+
+    wh = b.Warehouse(spark)
+    stg = wh.materialize(staging(spark, sf_dir), "staging")
+    cfg = PipelineConfig()
+    hist = b.History("customer_id" if which == "customer" else "stock_code")
+    for cut, ts in LOAD_CUTS:
+        lines = b.cut_before(stg, cut, "invoice_date")
+        rollup = metrics.line_rollup(lines)
+        if which == "customer":
+            src = metrics.customer_metrics(lines, cfg, rollup).select(*b.CUSTOMER_SNAPSHOT_COLUMNS)
+            hist = b.snapshot_step(wh, hist, src, cfg.customer_check_cols, ts, "customer-history")
+        else:
+            src = metrics.product_metrics(lines, cfg, rollup).select(*b.PRODUCT_SNAPSHOT_COLUMNS)
+            hist = b.snapshot_step(wh, hist, src, cfg.product_check_cols, ts, "product-history")
+    return hist
+
+
+@query("customer_history")
+def q_customer_history(spark, sf_dir):
+    return _history(spark, sf_dir, "customer").all()
+
+
+@query("product_history")
+def q_product_history(spark, sf_dir):
+    return _history(spark, sf_dir, "product").all()
+
+
+@query("current_customers")
+def q_current_customers(spark, sf_dir):
+    from starmart.plans import build as b
+    from starmart.operators.scd2 import current_rows
+
+    return current_rows(_history(spark, sf_dir, "customer").all(), b.CUSTOMER_SNAPSHOT_COLUMNS)
+
+
+@query("current_products")
+def q_current_products(spark, sf_dir):
+    from starmart.plans import build as b
+    from starmart.operators.scd2 import current_rows
+
+    return current_rows(_history(spark, sf_dir, "product").all(), b.PRODUCT_SNAPSHOT_COLUMNS)
+
+
+def _incremental_build(spark, sf_dir, loads):
+    """Run the daily build over cumulative raw loads; returns the state."""
+    from starmart.plans import build as b
+
+    raw = raw_order_lines(spark, sf_dir)
+    state = b.BuildState()
+    for cut, ts in loads:
+        b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, state)
+    return state
+
+
+@query("sales_fact")
+def q_sales_fact(spark, sf_dir):
+    """Full build: one run over everything, histories from three loads."""
+    from starmart.operators.fact import fact_output, sales_fact
+    from starmart.plans import build as b
+
+    stg = b.Warehouse(spark).materialize(staging(spark, sf_dir), "staging")
+    customers = _history(spark, sf_dir, "customer").all()
+    products = _history(spark, sf_dir, "product").all()
+    calendar = cal.calendar(cal.calendar_bounds(stg))
+    return fact_output(sales_fact(stg, customers, products, calendar))
+
+
+@query("sales_fact_incremental")
+def q_sales_fact_incremental(spark, sf_dir):
+    """Three cumulative loads plus a repeated last load (idempotence);
+    must equal the full-refresh fact."""
+    from starmart.operators.fact import fact_output
+    from starmart.plans import build as b
+
+    state = _incremental_build(spark, sf_dir, LOAD_CUTS + (LOAD_CUTS[-1],))
+    return fact_output(b.fact(spark, state))
+
+
+LATE_CUT = dt.date(2000, 1, 1)       # first load: orders before this day
+LATE_SPAN_DAYS = 3                   # second load: the next days, plus everything resent
+
+
+@query("sales_fact_late_rows")
+def q_sales_fact_late_rows(spark, sf_dir):
+    """Rows a second run (re)writes: those at or after max(target) - 3 days."""
+    from starmart.operators.fact import fact_output
+    from starmart.operators.fact import target_max_ts as target_max_ts_of
+    from starmart.plans import build as b
+
+    second = LATE_CUT + dt.timedelta(days=LATE_SPAN_DAYS)
+    state = _incremental_build(spark, sf_dir, ((LATE_CUT, dt.datetime(2000, 1, 1, 6)),))
+    first = b.fact(spark, state)
+    first_ids = b.Warehouse(spark).materialize(
+        first.select("order_item_id", F.lit(True).alias("was_loaded")), "first-load")
+    first_max = target_max_ts_of(first)
+    b.run_batch(spark, b.cut_before(raw_order_lines(spark, sf_dir), second, "invoice_date"),
+                dt.datetime(2000, 1, 4, 6), state)
+    floor = first_max - dt.timedelta(days=PipelineConfig().lookback_days)
+    touched = b.fact(spark, state).filter(
+        F.col("invoice_date") >= F.lit(floor).cast("timestamp_ntz"))
+    marked = touched.join(first_ids, "order_item_id", "left").withColumn(
+        "was_loaded", F.coalesce("was_loaded", F.lit(False)))
+    return fact_output(marked, ("was_loaded",))
+
+
+@query("fact_layout")
+def q_fact_layout(spark, sf_dir):
+    """Month-partitioned, clustered fact re-compacted into a new location."""
+    from starmart.operators.fact import fact_output
+    from starmart.plans import build as b
+    from starmart.session import scratch_path
+    from starmart.sources.tables import compact_fact, read_fact
+
+    state = _incremental_build(spark, sf_dir, (LOAD_CUTS[-1],))
+    new_path = scratch_path(spark, "fact-compacted")
+    compact_fact(spark, state.fact_path, new_path)
+    return fact_output(read_fact(spark, new_path))
