@@ -271,3 +271,96 @@ def q_fact_layout(spark, sf_dir):
     new_path = scratch_path(spark, "fact-compacted")
     compact_fact(spark, state.fact_path, new_path)
     return fact_output(read_fact(spark, new_path))
+
+
+# --------------------------------------------------------------- data-quality checks
+def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """All ten relations of one build run at AS_OF (staging written once, the
+    rest lazy)."""
+    from starmart.operators.fact import sales_fact
+    from starmart.operators.scd2 import current_rows, snapshot_check
+    from starmart.plans import build as b
+
+    cfg = PipelineConfig()
+    wh = b.Warehouse(spark)
+    stg = wh.materialize(staging(spark, sf_dir), "staging")
+    rollup = wh.materialize(metrics.line_rollup(stg), "line-rollup")
+    cm = metrics.customer_metrics(stg, cfg, rollup)
+    pm = metrics.product_metrics(stg, cfg, rollup)
+    calendar = cal.calendar(cal.calendar_bounds(stg))
+    ch = snapshot_check(None, cm.select(*b.CUSTOMER_SNAPSHOT_COLUMNS), "customer_id",
+                        cfg.customer_check_cols, AS_OF).open
+    ph = snapshot_check(None, pm.select(*b.PRODUCT_SNAPSHOT_COLUMNS), "stock_code",
+                        cfg.product_check_cols, AS_OF).open
+    return {
+        "staging": stg,
+        "order_metrics": metrics.order_metrics(stg, cfg, rollup),
+        "customer_metrics": cm,
+        "product_metrics": pm,
+        "calendar": calendar,
+        "customer_history": ch,
+        "product_history": ph,
+        "dim_customers": current_rows(ch, b.CUSTOMER_SNAPSHOT_COLUMNS),
+        "dim_products": current_rows(ph, b.PRODUCT_SNAPSHOT_COLUMNS),
+        "fact": sales_fact(stg, ch, ph, calendar),
+    }
+
+
+def _checks_query(select):
+    def run(spark, sf_dir):
+        from starmart.operators.checks import run_checks
+        from starmart.plans.check_ledger import ledger
+
+        return run_checks(star_tables(spark, sf_dir), [c for c in ledger() if select(c)], AS_OF)
+    return run
+
+
+CHECK_GROUPS = {
+    "check_not_null": lambda c: c.kind == "not_null",
+    "check_unique": lambda c: c.kind == "unique" and not c.where,
+    "check_unique_current": lambda c: c.kind == "unique" and bool(c.where),
+    "check_accepted_values": lambda c: c.kind == "accepted_values",
+    "check_relationships": lambda c: c.kind == "relationships",
+    "check_positive": lambda c: c.kind == "positive_value",
+    "check_not_in_future": lambda c: c.kind == "not_in_future",
+    "check_expression": lambda c: c.kind == "expression_is_true",
+}
+for _name, _sel in CHECK_GROUPS.items():
+    REGISTRY[_name] = _checks_query(_sel)
+
+
+@query("check_row_parity")
+def q_check_row_parity(spark, sf_dir):
+    from starmart.operators.checks import row_parity
+
+    t = star_tables(spark, sf_dir)
+    return row_parity(spark, t["fact"], t["staging"], PipelineConfig().row_parity_tolerance)
+
+
+@query("check_segment_revenue")
+def q_check_segment_revenue(spark, sf_dir):
+    """High-value customers must have positive gross revenue; run with the
+    custom thresholds so the high-value segment is populated."""
+    from starmart.operators.checks import high_value_negative
+
+    cfg = PipelineConfig(thresholds=Thresholds(high_value_min_orders=3,
+                                               high_value_min_revenue=-1e12,
+                                               medium_value_min_orders=2))
+    return high_value_negative(metrics.customer_metrics(staging(spark, sf_dir, cfg), cfg))
+
+
+@query("check_grain")
+def q_check_grain(spark, sf_dir):
+    """Grain of staging: (invoice_no, stock_code, invoice_date, customer_id)
+    must be unique; raw lines are *not* unique on (order, line number)."""
+    from starmart.operators.checks import grain_duplicates
+
+    raw = raw_order_lines(spark, sf_dir)
+    return grain_duplicates(raw, ["invoice_no", "stock_code", "invoice_date", "customer_id"])
+
+
+@query("history_depth")
+def q_history_depth(spark, sf_dir):
+    from starmart.operators.checks import history_depth
+
+    return history_depth(_history(spark, sf_dir, "customer").all(), "customer_id")
