@@ -187,3 +187,60 @@ def history_depth(history: DataFrame, key: str) -> DataFrame:
         F.count_if(F.col("v") > 1).cast("bigint").alias("keys_with_history"),
         F.max("v").cast("bigint").alias("max_versions"),
     )
+
+
+# ------------------------------------------------------------------ time-series checks
+def daily_row_sigma(df: DataFrame, ts_col: str, as_of: dt.datetime, trend_days: int = 28,
+                    test_days: int = 7, sigma: float = 3.0) -> DataFrame:
+    """Daily row count vs. the trailing ``trend_days`` rows (mean, sample
+    stddev, excluding the day itself), for the days in the test window.
+    The ordered window runs over one row per day (bounded by the calendar)."""
+    from pyspark.sql import Window
+
+    daily = df.groupBy(F.to_date(ts_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("day").rowsBetween(-trend_days, -1)
+    stats = daily.select("day", "n", F.avg("n").over(w).alias("avg"),
+                         F.stddev_samp("n").over(w).alias("std"))
+    z = (F.col("n") - F.col("avg")) / F.nullif(F.col("std"), F.lit(0.0))
+    return stats.filter((F.col("day") >= F.date_sub(F.lit(as_of.date()), test_days))
+                        & F.col("std").isNotNull()).select(
+        "day", F.col("n").cast("bigint").alias("n"),
+        F.round("avg", 4).alias("rolling_avg"), F.round("std", 4).alias("rolling_std"),
+        F.round(z, 4).alias("z_score"),
+        F.coalesce(F.abs(z) > sigma, F.lit(False)).alias("is_anomaly"))
+
+
+def moving_stdev_check(df: DataFrame, date_col: str, value_col: str, as_of: dt.datetime,
+                       group_by: tuple[str, ...] = (), lookback: int = 1, trend: int = 28,
+                       test_periods: int = 14, sigma: float = 3.0,
+                       take_logs: bool = False) -> DataFrame:
+    """Within-n-moving-stdevs test on a daily metric: per group, the change vs.
+    ``lookback`` days earlier is scored against the mean / stddev of the
+    previous ``trend`` changes; rows of the last ``test_periods`` days before
+    ``as_of`` are reported with their sigma and outcome.  Windows are
+    partitioned by the group columns."""
+    from pyspark.sql import Window
+
+    per_day = df.groupBy(F.to_date(date_col).alias("metric_period"), *group_by).agg(
+        F.sum(F.col(value_col).cast("double")).alias("agg_metric_value"))
+    v = F.col("agg_metric_value")
+    metric = F.ln(F.nullif(v, F.lit(0.0))) if take_logs else v
+    w = Window.partitionBy(*group_by).orderBy("metric_period") if group_by \
+        else Window.orderBy("metric_period")
+    with_diff = per_day.withColumn("metric_value", metric).withColumn(
+        "metric_test_value", F.col("metric_value") - F.lag("metric_value", lookback).over(w))
+    trail = w.rowsBetween(-trend, -1)
+    stats = with_diff.select(
+        "*", F.avg("metric_test_value").over(trail).alias("avg_"),
+        F.stddev_samp("metric_test_value").over(trail).alias("std_"))
+    score = (F.col("metric_test_value") - F.col("avg_")) / F.nullif(F.col("std_"), F.lit(0.0))
+    today = F.lit(as_of.date())
+    return stats.filter((F.col("metric_period") >= F.date_sub(today, test_periods))
+                        & (F.col("metric_period") < today)).select(
+        "metric_period", *group_by,
+        F.round("agg_metric_value", 4).alias("agg_metric_value"),
+        F.round("metric_test_value", 4).alias("metric_test_value"),
+        F.round("avg_", 4).alias("metric_test_rolling_average"),
+        F.round("std_", 4).alias("metric_test_rolling_stddev"),
+        F.round(score, 4).alias("metric_test_sigma"),
+        F.coalesce(F.abs(score) > sigma, F.lit(False)).alias("is_anomaly"))

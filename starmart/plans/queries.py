@@ -364,3 +364,127 @@ def q_history_depth(spark, sf_dir):
     from starmart.operators.checks import history_depth
 
     return history_depth(_history(spark, sf_dir, "customer").all(), "customer_id")
+
+
+# --------------------------------------------------------------- marts
+def _marts_inputs(spark, sf_dir):
+    t = star_tables(spark, sf_dir)
+    return t, t["fact"], t["calendar"]
+
+
+@query("daily_metrics")
+def q_daily_metrics(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, calendar = _marts_inputs(spark, sf_dir)
+    return marts.daily_metrics(fact, calendar)
+
+
+@query("daily_metrics_by_country")
+def q_daily_metrics_by_country(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, calendar = _marts_inputs(spark, sf_dir)
+    return marts.daily_metrics_by_country(fact, calendar)
+
+
+@query("churn_features")
+def q_churn_features(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, _ = _marts_inputs(spark, sf_dir)
+    return marts.churn_features(fact)
+
+
+@query("churn_candidates")
+def q_churn_candidates(spark, sf_dir):
+    from starmart.operators import marts
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    return marts.churn_candidates(marts.churn_features(fact), t["dim_customers"], AS_OF)
+
+
+@query("product_demand_series")
+def q_product_demand_series(spark, sf_dir):
+    from starmart.operators import marts
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    return marts.product_demand_series(fact, t["product_history"])
+
+
+def _daily(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, calendar = _marts_inputs(spark, sf_dir)
+    return marts.daily_metrics(fact, calendar)
+
+
+# forecasts are fitted on the days before this date and compared with the days after
+FORECAST_AS_OF = dt.datetime(2001, 7, 2)
+
+
+@query("seasonal_forecast")
+def q_seasonal_forecast(spark, sf_dir):
+    from starmart.operators import marts
+
+    return marts.seasonal_forecast(marts.daily_series(_daily(spark, sf_dir), FORECAST_AS_OF))
+
+
+@query("forecast_vs_actual")
+def q_forecast_vs_actual(spark, sf_dir):
+    from starmart.operators import marts
+
+    daily = _daily(spark, sf_dir)
+    fc = marts.seasonal_forecast(marts.daily_series(daily, FORECAST_AS_OF))
+    return marts.forecast_vs_actual(daily, fc, FORECAST_AS_OF)
+
+
+@query("customer_360")
+def q_customer_360(spark, sf_dir):
+    from starmart.operators import marts
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    return marts.customer_360(fact, t["dim_customers"])
+
+
+@query("product_performance")
+def q_product_performance(spark, sf_dir):
+    from starmart.operators import marts
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    return marts.product_performance(fact, t["dim_products"])
+
+
+@query("revenue_overview")
+def q_revenue_overview(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, calendar = _marts_inputs(spark, sf_dir)
+    return marts.revenue_overview(fact, calendar)
+
+
+@query("order_value_by_month")
+def q_order_value_by_month(spark, sf_dir):
+    from starmart.operators import marts
+
+    t, _, _ = _marts_inputs(spark, sf_dir)
+    return marts.order_value_by_month(t["order_metrics"])
+
+
+@query("check_daily_sigma")
+def q_check_daily_sigma(spark, sf_dir):
+    from starmart.operators.checks import daily_row_sigma
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    return daily_row_sigma(fact, "invoice_date", AS_OF)
+
+
+@query("check_moving_stdev")
+def q_check_moving_stdev(spark, sf_dir):
+    from starmart.operators import marts
+    from starmart.operators.checks import moving_stdev_check
+
+    _, fact, calendar = _marts_inputs(spark, sf_dir)
+    by_country = marts.daily_metrics_by_country(fact, calendar)
+    return moving_stdev_check(by_country, "date_day", "gross_revenue", AS_OF,
+                              group_by=("country",))
