@@ -488,3 +488,49 @@ def q_check_moving_stdev(spark, sf_dir):
     by_country = marts.daily_metrics_by_country(fact, calendar)
     return moving_stdev_check(by_country, "date_day", "gross_revenue", AS_OF,
                               group_by=("country",))
+
+
+# --------------------------------------------------------------- model and stream
+@query("churn_scores")
+def q_churn_scores(spark, sf_dir):
+    """Train on the labelled monthly features (time-ordered split) and score
+    each customer's latest month before the as-of month."""
+    from starmart.operators import marts
+    from starmart.operators.churn import score_churn, train_churn
+    from starmart.operators.dedup import keep_first
+    from starmart.plans import build as b
+
+    _, fact, _ = _marts_inputs(spark, sf_dir)
+    features = b.Warehouse(spark).materialize(marts.churn_features(fact), "churn-features")
+    model, _ = train_churn(spark, features)
+    month_now = F.date_trunc("month", F.lit(AS_OF)).cast("timestamp_ntz")
+    latest = keep_first(features.filter(F.col("month") < month_now), ["customer_key"],
+                        [F.col("month").desc()])
+    return score_churn(model, latest)
+
+
+@query("stream_fact_upsert")
+def q_stream_fact_upsert(spark, sf_dir):
+    """Three raw loads arrive as files; each availableNow run of the stream
+    upserts the fact.  Must equal the full-refresh fact."""
+    from starmart.operators.fact import fact_output
+    from starmart.plans import build as b
+    from starmart.session import scratch_path
+    from starmart.streaming.fact_stream import stream_upsert
+
+    raw = raw_order_lines(spark, sf_dir)
+    in_dir, raw_dir, ckpt = (scratch_path(spark, n) for n in ("inbox", "raw", "stream-ckpt"))
+    state = b.BuildState()
+    times: dict[int, dt.datetime] = {}
+    lower = None
+    for cut, ts in LOAD_CUTS:
+        load = b.cut_before(raw, cut, "invoice_date")
+        if lower is not None:
+            load = load.filter(F.col("invoice_date").try_cast("timestamp_ntz")
+                               >= F.lit(dt.datetime.combine(lower, dt.time())))
+        load.write.mode("append").parquet(in_dir)
+        lower = cut
+        q = stream_upsert(spark, in_dir, raw_dir, ckpt, state,
+                          lambda epoch, ts=ts: times.setdefault(epoch, ts))
+        q.awaitTermination()
+    return fact_output(b.fact(spark, state))
