@@ -35,7 +35,7 @@ def calendar_bounds(lines: DataFrame | None, pad_days: int = 7,
                    F.raise_error(F.lit("calendar bounds: the order-line relation is empty")))
     return b.select(
         F.coalesce(guard.cast("date"), F.date_sub("lo", pad_days)).alias("start"),
-        F.date_add("hi", pad_days).alias("end"),
+        F.coalesce(guard.cast("date"), F.date_add("hi", pad_days)).alias("end"),
     )
 
 
