@@ -32,6 +32,7 @@ VALID_TO = "dbt_valid_to"
 META = (SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO)
 
 _S = "__src_"
+PART = "__part"
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,7 @@ class HistoryBatch:
 
     newly_closed: DataFrame
     open: DataFrame
+    combined: DataFrame | None = None      # both parts, tagged with ``PART``
 
     def history(self, closed_before: DataFrame | None = None) -> DataFrame:
         parts = [p for p in (closed_before, self.newly_closed, self.open) if p is not None]
@@ -48,6 +50,7 @@ class HistoryBatch:
 
 
 def _scd_id(key: str, ts: Column) -> Column:
+    """md5 of the natural key and the batch time."""
     return F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")),
                              F.coalesce(ts.cast("string"), F.lit(""))))
 
@@ -68,7 +71,7 @@ def snapshot_check(open_rows: DataFrame | None, source: DataFrame, key: str,
     """One snapshot batch against the open versions (``None`` = first run)."""
     if open_rows is None:
         first = _as_version(source, key, batch_ts)
-        return HistoryBatch(first.limit(0), first)
+        return HistoryBatch(first.limit(0), first, first.withColumn(PART, F.lit("open")))
 
     cols = source.columns
     src = source.select(*[F.col(c).alias(_S + c) for c in cols])
@@ -78,18 +81,26 @@ def snapshot_check(open_rows: DataFrame | None, source: DataFrame, key: str,
     changed = reduce(lambda a, b: a | b,
                      [~F.col(c).eqNullSafe(F.col(_S + c)) for c in check_cols])
     ts = F.lit(batch_ts).cast("timestamp_ntz")
-
-    # open versions that stay open (unchanged, or key absent from the source)
-    kept = j.filter(in_open & (~in_src | ~changed)).select(*open_rows.columns)
-    # open versions closed by a change
-    closed = j.filter(in_open & in_src & changed).select(
-        *[c for c in open_rows.columns if c != VALID_TO], ts.alias(VALID_TO)
-    ).select(*open_rows.columns)
-    # new versions: new keys and changed keys
-    fresh = j.filter(in_src & (~in_open | changed)).select(
-        *[F.col(_S + c).alias(c) for c in cols])
-    new_open = kept.unionByName(_as_version(fresh, key, batch_ts))
-    return HistoryBatch(closed, new_open)
+    meta = {SCD_ID: _scd_id(_S + key, ts), UPDATED_AT: ts, VALID_FROM: ts,
+            VALID_TO: F.lit(None).cast("timestamp_ntz")}
+    out_cols = open_rows.columns
+
+    def version(part: str, values: dict) -> Column:
+        return F.struct(F.lit(part).alias(PART), *[values[c].alias(c) for c in out_cols])
+
+    as_open = {c: F.col(c) for c in out_cols}
+    as_closed = {**as_open, VALID_TO: ts}
+    as_new = {**{c: F.col(_S + c) for c in cols}, **meta}
+    # one pass over the join: each key yields its kept, closed and/or new version
+    candidates = F.array(
+        F.when(in_open & (~in_src | ~changed), version("open", as_open)),
+        F.when(in_open & in_src & changed, version("closed", as_closed)),
+        F.when(in_src & (~in_open | changed), version("open", as_new)),
+    )
+    versions = j.select(F.explode(F.filter(candidates, lambda v: v.isNotNull())).alias("v")) \
+        .select("v.*")
+    return HistoryBatch(versions.filter(F.col(PART) == "closed").drop(PART),
+                        versions.filter(F.col(PART) == "open").drop(PART), versions)
 
 
 def current_rows(history: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -23,7 +23,7 @@ from starmart.operators import metrics
 from starmart.operators.fact import (
     assert_same_schema, keep_latest, lookback_filter, sales_fact, target_max_ts,
 )
-from starmart.operators.scd2 import HistoryBatch, current_rows, snapshot_check
+from starmart.operators.scd2 import PART, HistoryBatch, current_rows, snapshot_check
 from starmart.operators.staging import clean_order_lines
 from starmart.operators.temporal_join import heavy_keys
 from starmart.session import scratch_path
@@ -67,11 +67,16 @@ class History:
 
 def snapshot_step(wh: Warehouse, hist: History, source: DataFrame,
                   check_cols: tuple[str, ...], batch_ts: dt.datetime, name: str) -> History:
+    """Run one snapshot batch and write its output once, partitioned into the
+    new open part and the newly closed rows (appended to the closed part)."""
     hb: HistoryBatch = snapshot_check(hist.open, source, hist.key, check_cols, batch_ts)
-    new_open = wh.materialize(hb.open, f"{name}-open")
+    path = scratch_path(wh.spark, name)
+    hb.combined.write.partitionBy(PART).parquet(path)
+    written = wh.spark.read.parquet(path)
+    new_open = written.filter(F.col(PART) == "open").drop(PART)
+    newly_closed = written.filter(F.col(PART) == "closed").drop(PART)
     if hist.open is None:
         return History(hist.key, None, new_open)
-    newly_closed = wh.materialize(hb.newly_closed, f"{name}-closed")
     closed = newly_closed if hist.closed is None else hist.closed.unionByName(newly_closed)
     return History(hist.key, closed, new_open)
 
