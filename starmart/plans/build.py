@@ -125,8 +125,10 @@ def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
     target = read_fact(spark, state.fact_path) if state.fact_exists else None
     todo = lookback_filter(stg, target_max_ts(target), cfg.lookback_days) \
         if target is not None else stg
-    hot_c = heavy_keys(cm, "customer_id", "total_items")
-    hot_p = heavy_keys(rollup, "stock_code", "lines")
+    # a key is heavy when it would fill more than one shuffle partition on its own
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot_c = heavy_keys(cm, "customer_id", "total_items", parts)
+    hot_p = heavy_keys(rollup, "stock_code", "lines", parts)
     batch = sales_fact(todo, state.customers.all(), state.products.all(), calendar,
                        hot_c, hot_p)
     batch = keep_latest(batch, "order_item_id")

@@ -214,11 +214,15 @@ def q_sales_fact(spark, sf_dir):
     from starmart.operators.fact import fact_output, sales_fact
     from starmart.plans import build as b
 
+    from starmart.operators.temporal_join import heavy_keys
+
     stg = b.Warehouse(spark).materialize(staging(spark, sf_dir), "staging")
     customers = _history(spark, sf_dir, "customer").all()
     products = _history(spark, sf_dir, "product").all()
     calendar = cal.calendar(cal.calendar_bounds(stg))
-    return fact_output(sales_fact(stg, customers, products, calendar))
+    # heavy natural keys (>= 1/64 of the lines) take the map-side join path
+    return fact_output(sales_fact(stg, customers, products, calendar,
+                                  heavy_keys(stg, "customer_id"), heavy_keys(stg, "stock_code")))
 
 
 @query("sales_fact_incremental")
