@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import ts_lit
+
 ROW_KINDS = ("not_null", "positive_value", "not_in_future", "expression_is_true")
 REPORT_COLUMNS = ("check_id", "kind", "table_name", "column_name", "severity", "failures",
                   "status")
@@ -61,7 +63,7 @@ def failing_rows(df: DataFrame, check: Check, as_of: dt.datetime | None = None,
     if k == "positive_value":
         return df.filter((c <= 0) | c.isNull())
     if k == "not_in_future":
-        return df.filter(c > F.lit(as_of).cast("timestamp_ntz"))
+        return df.filter(c > ts_lit(as_of))
     if k == "expression_is_true":
         return df.filter(~F.expr(check.expression))
     if k == "unique":
@@ -87,7 +89,7 @@ def _count_expr(check: Check, as_of: dt.datetime | None):
     elif k == "positive_value":
         pred = (c <= 0) | c.isNull()
     elif k == "not_in_future":
-        pred = c > F.lit(as_of).cast("timestamp_ntz")
+        pred = c > ts_lit(as_of)
     else:  # expression_is_true
         pred = ~F.expr(check.expression)
     if check.where:

@@ -15,6 +15,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from starmart.functions.dates import ts_lit
 from pyspark.sql.types import StructType
 
 from starmart.config import UNKNOWN_DATE_KEY, UNKNOWN_KEY
@@ -60,7 +62,7 @@ def lookback_filter(lines: DataFrame, target_max: dt.datetime | None,
     (inclusive).  The bound is a literal, so a month-partitioned staging table
     is pruned at the scan."""
     floor = (target_max or dt.datetime(1900, 1, 1)) - dt.timedelta(days=days)
-    return lines.filter(F.col("invoice_date") >= F.lit(floor).cast("timestamp_ntz"))
+    return lines.filter(F.col("invoice_date") >= ts_lit(floor))
 
 
 def target_max_ts(target: DataFrame | None, ts_col: str = "invoice_date") -> dt.datetime | None:

@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import ts_lit
 from starmart.functions import month_diff, month_start
 
 
@@ -120,7 +121,7 @@ def churn_candidates(features: DataFrame, customers: DataFrame, as_of: dt.dateti
     current customer attributes (score columns left empty for the model)."""
     from starmart.operators.dedup import keep_first
 
-    current_month = F.lit(as_of).cast("timestamp_ntz")
+    current_month = ts_lit(as_of)
     latest = keep_first(features.filter(F.col("month") < F.date_trunc("month", current_month)
                                         .cast("timestamp_ntz")),
                         ["customer_key"], [F.col("month").desc()])

@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import ts_lit
+
 SCD_ID = "dbt_scd_id"
 UPDATED_AT = "dbt_updated_at"
 VALID_FROM = "dbt_valid_from"
@@ -56,7 +58,7 @@ def _scd_id(key: str, ts: Column) -> Column:
 
 
 def _as_version(src: DataFrame, key: str, batch_ts: dt.datetime) -> DataFrame:
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
+    ts = ts_lit(batch_ts)
     return src.select(
         *src.columns,
         _scd_id(key, ts).alias(SCD_ID),
@@ -80,7 +82,7 @@ def snapshot_check(open_rows: DataFrame | None, source: DataFrame, key: str,
     in_src = F.col(_S + key).isNotNull()
     changed = reduce(lambda a, b: a | b,
                      [~F.col(c).eqNullSafe(F.col(_S + c)) for c in check_cols])
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
+    ts = ts_lit(batch_ts)
     meta = {SCD_ID: _scd_id(_S + key, ts), UPDATED_AT: ts, VALID_FROM: ts,
             VALID_TO: F.lit(None).cast("timestamp_ntz")}
     out_cols = open_rows.columns

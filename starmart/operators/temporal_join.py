@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.config import FIRST_VERSION_FROM, OPEN_VERSION_TO
+from starmart.functions.dates import ts_lit
 from starmart.operators.scd2 import VALID_FROM, VALID_TO
 
 _FROM = "__valid_from"
@@ -31,9 +32,9 @@ def version_ranges(history: DataFrame, key: str, payload: list[str]) -> DataFram
     first = F.min(VALID_FROM).over(Window.partitionBy(key))
     return history.select(
         key, *payload,
-        F.when(F.col(VALID_FROM) == first, F.lit(FIRST_VERSION_FROM).cast("timestamp_ntz"))
+        F.when(F.col(VALID_FROM) == first, ts_lit(FIRST_VERSION_FROM))
         .otherwise(F.col(VALID_FROM)).alias(_FROM),
-        F.coalesce(F.col(VALID_TO), F.lit(OPEN_VERSION_TO).cast("timestamp_ntz")).alias(_TO),
+        F.coalesce(F.col(VALID_TO), ts_lit(OPEN_VERSION_TO)).alias(_TO),
     )
 
 

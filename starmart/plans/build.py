@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import ts_lit
 from starmart.config import PipelineConfig
 from starmart.operators import calendar as cal
 from starmart.operators import metrics
@@ -158,4 +159,4 @@ def cut_before(raw_or_lines: DataFrame, cut: dt.date | None, ts_col: str) -> Dat
     if cut is None:
         return raw_or_lines
     return raw_or_lines.filter(F.col(ts_col).try_cast("timestamp_ntz")
-                               < F.lit(dt.datetime.combine(cut, dt.time())))
+                               < ts_lit(cut))

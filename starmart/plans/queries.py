@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.config import PipelineConfig, Thresholds
-from starmart.functions import safe_decimal, safe_int, safe_timestamp
+from starmart.functions import safe_decimal, safe_int, safe_timestamp, ts_lit
 from starmart.operators import calendar as cal
 from starmart.operators import metrics
 from starmart.operators.staging import clean_order_lines
@@ -257,7 +257,7 @@ def q_sales_fact_late_rows(spark, sf_dir):
                 dt.datetime(2000, 1, 4, 6), state)
     floor = first_max - dt.timedelta(days=PipelineConfig().lookback_days)
     touched = b.fact(spark, state).filter(
-        F.col("invoice_date") >= F.lit(floor).cast("timestamp_ntz"))
+        F.col("invoice_date") >= ts_lit(floor))
     marked = touched.join(first_ids, "order_item_id", "left").withColumn(
         "was_loaded", F.coalesce("was_loaded", F.lit(False)))
     return fact_output(marked, ("was_loaded",))
@@ -507,7 +507,7 @@ def q_churn_scores(spark, sf_dir):
     _, fact, _ = _marts_inputs(spark, sf_dir)
     features = b.Warehouse(spark).materialize(marts.churn_features(fact), "churn-features")
     model, _ = train_churn(spark, features)
-    month_now = F.date_trunc("month", F.lit(AS_OF)).cast("timestamp_ntz")
+    month_now = F.date_trunc("month", ts_lit(AS_OF)).cast("timestamp_ntz")
     latest = keep_first(features.filter(F.col("month") < month_now), ["customer_key"],
                         [F.col("month").desc()])
     return score_churn(model, latest)
@@ -531,7 +531,7 @@ def q_stream_fact_upsert(spark, sf_dir):
         load = b.cut_before(raw, cut, "invoice_date")
         if lower is not None:
             load = load.filter(F.col("invoice_date").try_cast("timestamp_ntz")
-                               >= F.lit(dt.datetime.combine(lower, dt.time())))
+                               >= ts_lit(lower))
         load.write.mode("append").parquet(in_dir)
         lower = cut
         q = stream_upsert(spark, in_dir, raw_dir, ckpt, state,

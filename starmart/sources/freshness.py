@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import ts_lit
+
 
 def freshness(df: DataFrame, loaded_at: str, as_of: dt.datetime,
               warn_hours: int = 24, error_hours: int = 48,
@@ -16,7 +18,7 @@ def freshness(df: DataFrame, loaded_at: str, as_of: dt.datetime,
     One partial aggregate; ``as_of`` is injected so results are reproducible."""
     agg_cols = [F.max(loaded_at).alias("max_loaded_at")]
     agg = df.groupBy(*group_by).agg(*agg_cols) if group_by else df.agg(*agg_cols)
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ts_lit(as_of)
     age_s = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now)
     return agg.select(
         *group_by,
