@@ -62,6 +62,16 @@ def publish(spark: SparkSession, df: DataFrame, name: str, min_rows: int = 0,
     return spark.table(name)
 
 
+def read_declared(spark: SparkSession, path: str, declared) -> DataFrame:
+    """Read a Parquet source and refuse it unless its columns and types are
+    the declared ones (names order-insensitive)."""
+    from starmart.operators.fact import assert_same_schema  # local: avoid an import cycle
+
+    df = spark.read.parquet(path)
+    assert_same_schema(declared, df)
+    return df
+
+
 def peek(spark: SparkSession, name: str, n: int = 3) -> DataFrame:
     return spark.table(name).limit(n)
 

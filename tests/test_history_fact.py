@@ -112,3 +112,14 @@ def test_keep_latest_and_schema_guard(spark):
         assert_same_schema(df, df.withColumn("extra", F.lit(1)))
     with pytest.raises(SchemaDrift):
         assert_same_schema(df, df.withColumn("seq", F.col("seq").cast("string")))
+
+
+def test_read_declared_refuses_drift(spark, tmp_path):
+    from starmart.sources.tables import read_declared
+
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    path = str(tmp_path / "src")
+    df.write.parquet(path)
+    assert read_declared(spark, path, df.schema).count() == 1
+    with pytest.raises(SchemaDrift):
+        read_declared(spark, path, df.withColumn("extra", F.lit(1)).schema)
