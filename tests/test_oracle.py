@@ -12,7 +12,9 @@ from .conftest import SMOKE
 FAST = ["raw_order_lines", "load_validation", "source_freshness", "clean_order_lines",
         "safe_cast_matrix", "order_metrics", "customer_metrics", "customer_segments_custom",
         "product_metrics", "product_best_name", "calendar", "check_grain",
-        "daily_metrics", "churn_features", "check_accepted_values", "sales_fact_late_rows"]
+        "daily_metrics", "churn_features", "check_accepted_values", "sales_fact_late_rows",
+        # stateful: three loads of history, incremental = full refresh, file stream
+        "customer_history", "sales_fact_incremental", "stream_fact_upsert"]
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SMOKE), reason="driver tables missing")
 
@@ -40,3 +42,16 @@ def test_query_matches_oracle(spark, con, name):
     msg = compare(spark, con, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name],
                   SMOKE)
     assert "values=ok" in msg, msg
+
+
+def test_churn_scores_shape(spark):
+    from pyspark.sql import functions as F
+
+    df = entry_mod.queries()["churn_scores"](spark, SMOKE)
+    rows = df.collect()
+    assert rows and set(df.columns) == {"customer_key", "month", "churn_probability",
+                                        "churn_risk_tier"}
+    assert all(0.0 <= r.churn_probability <= 1.0 for r in rows)
+    assert {r.churn_risk_tier for r in rows} <= {"low", "medium", "high", "critical"}
+    assert df.select("customer_key").distinct().count() == len(rows)
+    assert df.filter(F.col("churn_probability").isNull()).count() == 0
