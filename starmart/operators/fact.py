@@ -62,7 +62,10 @@ def lookback_filter(lines: DataFrame, target_max: dt.datetime | None,
     (inclusive).  The bound is a literal, so a month-partitioned staging table
     is pruned at the scan."""
     floor = (target_max or dt.datetime(1900, 1, 1)) - dt.timedelta(days=days)
-    return lines.filter(F.col("invoice_date") >= ts_lit(floor))
+    cond = F.col("invoice_date") >= ts_lit(floor)
+    if "invoice_month" in lines.columns:  # month-partitioned staging: prune at the scan
+        cond = (F.col("invoice_month") >= floor.year * 100 + floor.month) & cond
+    return lines.filter(cond)
 
 
 def target_max_ts(target: DataFrame | None, ts_col: str = "invoice_date") -> dt.datetime | None:

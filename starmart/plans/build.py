@@ -22,13 +22,13 @@ from starmart.config import PipelineConfig
 from starmart.operators import calendar as cal
 from starmart.operators import metrics
 from starmart.operators.fact import (
-    assert_same_schema, keep_latest, lookback_filter, sales_fact, target_max_ts,
+    assert_same_schema, keep_latest, lookback_filter, sales_fact,
 )
 from starmart.operators.scd2 import PART, HistoryBatch, current_rows, snapshot_check
 from starmart.operators.staging import clean_order_lines
 from starmart.operators.temporal_join import heavy_keys
 from starmart.session import scratch_path
-from starmart.sources.tables import read_fact, upsert_fact
+from starmart.sources.tables import fact_max_ts, read_fact, upsert_fact
 
 CUSTOMER_SNAPSHOT_COLUMNS = (
     "customer_key", "customer_id", "total_orders", "total_revenue", "gross_revenue",
@@ -42,13 +42,24 @@ PRODUCT_SNAPSHOT_COLUMNS = (
 )
 
 
+STAGING_MONTH = "invoice_month"
+
+
+def _month_of(ts_col: str):
+    return (F.year(ts_col) * 100 + F.month(ts_col)).cast("int")
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
 
-    def materialize(self, df: DataFrame, name: str) -> DataFrame:
+    def materialize(self, df: DataFrame, name: str,
+                    partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` to a fresh folder under the shared work folder and read
+        it back (cuts the lineage; consumers share one computation)."""
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        w = df.write.partitionBy(*partition_by) if partition_by else df.write
+        w.parquet(path)
         return self.spark.read.parquet(path)
 
 
@@ -106,7 +117,10 @@ def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
     """One daily run over the raw relation loaded so far."""
     cfg = cfg or PipelineConfig()
     wh = Warehouse(spark)
-    stg = wh.materialize(clean_order_lines(raw, cfg), "staging")
+    # staging partitioned by invoice month: the look-back read prunes to recent months
+    stg = wh.materialize(
+        clean_order_lines(raw, cfg).withColumn(STAGING_MONTH, _month_of("invoice_date")),
+        "staging", partition_by=(STAGING_MONTH,))
     rollup = wh.materialize(metrics.line_rollup(stg), "line-rollup")
     om = metrics.order_metrics(stg, cfg, rollup)
     cm = wh.materialize(metrics.customer_metrics(stg, cfg, rollup), "customer-metrics")
@@ -124,7 +138,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
         state.fact_path = scratch_path(spark, "fact")
         state.fact_exists = False
     target = read_fact(spark, state.fact_path) if state.fact_exists else None
-    todo = lookback_filter(stg, target_max_ts(target), cfg.lookback_days) \
+    todo = lookback_filter(stg, fact_max_ts(spark, state.fact_path), cfg.lookback_days) \
         if target is not None else stg
     # a key is heavy when it would fill more than one shuffle partition on its own
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

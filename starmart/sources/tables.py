@@ -103,6 +103,21 @@ def read_fact(spark: SparkSession, path: str, months: Sequence[int] | None = Non
     return df.drop(MONTH)
 
 
+def fact_max_ts(spark: SparkSession, path: str, ts_col: str = "invoice_date"):
+    """max(ts_col) of the fact, reading only its newest month partition.
+
+    The month list comes from the file listing the reader needs anyway, so
+    the daily run scans one month of one column instead of the whole fact."""
+    import re
+
+    df = spark.read.parquet(path)
+    months = {int(m.group(1)) for f in df.inputFiles()
+              if (m := re.search(rf"{MONTH}=(\d+)", f))}
+    if not months:
+        return None
+    return df.filter(F.col(MONTH) == max(months)).agg(F.max(ts_col)).collect()[0][0]
+
+
 def batch_months(batch: DataFrame) -> list[int]:
     """Distinct months of a batch (bounded by the calendar months it spans)."""
     rows = with_month(batch).select(MONTH).distinct().collect()
