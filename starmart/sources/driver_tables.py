@@ -26,24 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan at least as many partitions as the cluster has cores.
 
     A file written as a single row group is read by a single task, and every
     narrow step after it (joins against broadcast dimensions, casts, the
     map-side top-1 sort) would run in that one task.  Large inputs consist of
     many row groups and already have enough splits, so this only adds a
-    (cheap) round-robin shuffle when the scan is too coarse."""
+    shuffle when the scan is too coarse.  Hash partitioning on ``keys`` (not
+    round-robin, which sorts every row first to stay deterministic)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *keys)
     return df
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untyped raw order lines (all columns STRING), one per lineitem row."""
     li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"))
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"),
+        "l_orderkey", "l_partkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
