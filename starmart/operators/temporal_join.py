@@ -59,9 +59,17 @@ def _range_cond(left: DataFrame, right: DataFrame, key: str, ts: str,
             & (left[ts] >= right[_FROM]) & (left[ts] < right[_TO]))
 
 
+MAX_BROADCAST_VERSIONS = 1_000_000   # size check for the heavy keys' version list
+
+
 def join_as_of(left: DataFrame, ranges: DataFrame, key: str, ts: str,
-               payload: list[str], hot: DataFrame | None = None) -> DataFrame:
-    """Left join ``left`` to the version valid at ``left[ts]``; adds ``payload``."""
+               payload: list[str], hot: DataFrame | None = None,
+               max_broadcast_versions: int = MAX_BROADCAST_VERSIONS) -> DataFrame:
+    """Left join ``left`` to the version valid at ``left[ts]``; adds ``payload``.
+
+    With ``hot`` keys, their versions are counted first (a tiny job over a
+    bounded relation); above ``max_broadcast_versions`` the split is skipped
+    and the shuffle join with AQE skew handling is used for all rows."""
     rkey = "__k_" + key
     r = ranges.select(F.col(key).alias(rkey), *payload, _FROM, _TO)
     out = [*[left[c] for c in left.columns], *[r[p] for p in payload]]
@@ -74,7 +82,9 @@ def join_as_of(left: DataFrame, ranges: DataFrame, key: str, ts: str,
         return left.join(r, _range_cond(left, r, key, ts, rkey), "left").select(*out)
 
     hot_keys = F.broadcast(hot.select(F.col(key).alias(rkey)).distinct())
+    hot_ranges = r.join(hot_keys, rkey, "left_semi")
+    if hot_ranges.count() > max_broadcast_versions:
+        return left.join(r, _range_cond(left, r, key, ts, rkey), "left").select(*out)
     hot_rows = left.join(hot_keys, left[key] == hot_keys[rkey], "left_semi")
     cold_rows = left.join(hot_keys, left[key] == hot_keys[rkey], "left_anti")
-    hot_ranges = r.join(hot_keys, rkey, "left_semi")
     return _join(hot_rows, F.broadcast(hot_ranges)).unionByName(_join(cold_rows, r))

@@ -123,3 +123,12 @@ def test_read_declared_refuses_drift(spark, tmp_path):
     assert read_declared(spark, path, df.schema).count() == 1
     with pytest.raises(SchemaDrift):
         read_declared(spark, path, df.withColumn("extra", F.lit(1)).schema)
+
+
+def test_join_as_of_falls_back_when_hot_versions_too_many(spark):
+    facts = spark.createDataFrame([("o1", "c1", T2)], "id string, customer_id string, ts timestamp_ntz")
+    ranges = version_ranges(_history(spark), "customer_id", ["customer_key"])
+    hot = spark.createDataFrame([("c1",)], "customer_id string")
+    got = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"], hot,
+                     max_broadcast_versions=1).collect()
+    assert [(r.id, r.customer_key) for r in got] == [("o1", "K1")]
