@@ -21,9 +21,12 @@ from starmart.functions import forward_value, line_value, money, surrogate_key
 from starmart.operators.dedup import keep_first
 
 
-def line_rollup(lines: DataFrame) -> DataFrame:
-    """Staging lines summed per (invoice_no, customer_id, stock_code)."""
-    return lines.groupBy("invoice_no", "customer_id", "stock_code").agg(
+def line_rollup(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Staging lines summed per (invoice_no, customer_id, stock_code).
+
+    ``by`` adds leading group columns; e.g. a snapshot-date column computes the
+    metrics as of several dates in one pass (see ``plans.queries._history``)."""
+    return lines.groupBy(*by, "invoice_no", "customer_id", "stock_code").agg(
         F.min("invoice_date").alias("first_ts"),
         F.max("invoice_date").alias("last_ts"),
         F.count(F.lit(1)).alias("lines"),
@@ -40,9 +43,9 @@ def line_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
-def order_rollup(rollup: DataFrame) -> DataFrame:
+def order_rollup(rollup: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per (invoice_no, customer_id); unrounded sums kept for the next level."""
-    return rollup.groupBy("invoice_no", "customer_id").agg(
+    return rollup.groupBy(*by, "invoice_no", "customer_id").agg(
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
         F.sum("lines").alias("lines"),
@@ -87,10 +90,10 @@ def segment(customer_id, orders, gross, t: Thresholds):
 
 
 def customer_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
-                     rollup: DataFrame | None = None) -> DataFrame:
+                     rollup: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     cfg = cfg or PipelineConfig()
-    orders = order_rollup(rollup if rollup is not None else line_rollup(lines))
-    per_customer = orders.groupBy("customer_id").agg(
+    orders = order_rollup(rollup if rollup is not None else line_rollup(lines, by), by)
+    per_customer = orders.groupBy(*by, "customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("lines").alias("total_items"),
         F.sum("qty").alias("total_quantity"),
@@ -100,10 +103,15 @@ def customer_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
         F.min("first_ts").alias("first_order_date"),
         F.max("last_ts").alias("last_order_date"),
     )
-    # dataset max date: a one-row relation, broadcast (size is fixed at 1 row)
-    bounds = per_customer.agg(F.max("last_order_date").alias("max_date"))
-    c = per_customer.crossJoin(F.broadcast(bounds))
+    # dataset max date: one row (per ``by`` group), broadcast
+    if by:
+        bounds = per_customer.groupBy(*by).agg(F.max("last_order_date").alias("max_date"))
+        c = per_customer.join(F.broadcast(bounds), list(by))
+    else:
+        bounds = per_customer.agg(F.max("last_order_date").alias("max_date"))
+        c = per_customer.crossJoin(F.broadcast(bounds))
     return c.select(
+        *by,
         surrogate_key("customer_id", null_token=cfg.surrogate_null_token).alias("customer_key"),
         "customer_id",
         F.col("total_orders").cast("bigint").alias("total_orders"),
@@ -119,20 +127,21 @@ def customer_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
     )
 
 
-def best_description(lines: DataFrame) -> DataFrame:
+def best_description(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Most frequent description per product; ties -> alphabetical; a NULL
     description may win (shown as 'Unknown' downstream)."""
-    counts = lines.groupBy("stock_code", "description").agg(F.count(F.lit(1)).alias("cnt"))
-    best = keep_first(counts, ["stock_code"],
+    counts = lines.groupBy(*by, "stock_code", "description") \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    best = keep_first(counts, [*by, "stock_code"],
                       [F.col("cnt").desc(), F.col("description").asc_nulls_last()])
-    return best.select("stock_code", "description")
+    return best.select(*by, "stock_code", "description")
 
 
 def product_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
-                    rollup: DataFrame | None = None) -> DataFrame:
+                    rollup: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     cfg = cfg or PipelineConfig()
-    r = rollup if rollup is not None else line_rollup(lines)
-    stats = r.groupBy("stock_code").agg(
+    r = rollup if rollup is not None else line_rollup(lines, by)
+    stats = r.groupBy(*by, "stock_code").agg(
         F.count_distinct("invoice_no").alias("order_count"),
         F.sum("qty").alias("total_quantity_sold"),
         F.sum("net").alias("net"),
@@ -144,11 +153,12 @@ def product_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
         F.sum("price_sum").alias("price_sum"),
         F.sum("price_n").alias("price_n"),
     )
-    names = best_description(lines)
-    p = stats.join(names, "stock_code", "left")
+    names = best_description(lines, by)
+    p = stats.join(names, [*by, "stock_code"], "left")
     # exact mean of the line prices, rounded half up to cents
     avg_cents = F.expr("(price_sum * 200 + price_n) div (price_n * 2)")
     return p.select(
+        *by,
         surrogate_key("stock_code", null_token=cfg.surrogate_null_token).alias("product_key"),
         "stock_code",
         F.coalesce(F.col("description"), F.lit(UNKNOWN_DESCRIPTION)).alias("description"),
