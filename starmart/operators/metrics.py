@@ -103,13 +103,14 @@ def customer_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
         F.min("first_ts").alias("first_order_date"),
         F.max("last_ts").alias("last_order_date"),
     )
-    # dataset max date: one row (per ``by`` group), broadcast
+    # dataset max date: a scalar subquery (computed once), or one row per
+    # ``by`` group joined on the group key (broadcast: one row per group)
     if by:
         bounds = per_customer.groupBy(*by).agg(F.max("last_order_date").alias("max_date"))
         c = per_customer.join(F.broadcast(bounds), list(by))
     else:
-        bounds = per_customer.agg(F.max("last_order_date").alias("max_date"))
-        c = per_customer.crossJoin(F.broadcast(bounds))
+        c = per_customer.withColumn(
+            "max_date", per_customer.agg(F.max("last_order_date")).scalar())
     return c.select(
         *by,
         surrogate_key("customer_id", null_token=cfg.surrogate_null_token).alias("customer_key"),

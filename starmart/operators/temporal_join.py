@@ -47,10 +47,8 @@ def heavy_keys(df: DataFrame, key: str, weight: str | None = None,
     facts."""
     w = F.col(weight) if weight else F.lit(1)
     per_key = df.groupBy(key).agg(F.sum(w).alias("__w"))
-    total = per_key.agg(F.sum("__w").alias("__total"))
-    return (per_key.crossJoin(F.broadcast(total))
-            .filter(F.col("__w") * parts >= F.col("__total"))
-            .select(key))
+    total = per_key.agg(F.sum("__w")).scalar()          # scalar subquery, computed once
+    return per_key.filter(F.col("__w") * parts >= total).select(key)
 
 
 def _range_cond(left: DataFrame, right: DataFrame, key: str, ts: str,
