@@ -46,10 +46,6 @@ class HistoryBatch:
     open: DataFrame
     combined: DataFrame | None = None      # both parts, tagged with ``PART``
 
-    def history(self, closed_before: DataFrame | None = None) -> DataFrame:
-        parts = [p for p in (closed_before, self.newly_closed, self.open) if p is not None]
-        return reduce(lambda a, b: a.unionByName(b), parts)
-
 
 def _scd_id(key: str, ts: Column) -> Column:
     """md5 of the natural key and the batch time."""
@@ -73,7 +69,7 @@ def snapshot_check(open_rows: DataFrame | None, source: DataFrame, key: str,
     """One snapshot batch against the open versions (``None`` = first run)."""
     if open_rows is None:
         first = _as_version(source, key, batch_ts)
-        return HistoryBatch(first.limit(0), first, first.withColumn(PART, F.lit("open")))
+        return HistoryBatch(first.where(F.lit(False)), first, first.withColumn(PART, F.lit("open")))
 
     cols = source.columns
     src = source.select(*[F.col(c).alias(_S + c) for c in cols])
