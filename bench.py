@@ -44,9 +44,15 @@ def main() -> None:
     REGISTRY["raw_order_lines"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the rest
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"{name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         timings[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
 
@@ -57,6 +63,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
