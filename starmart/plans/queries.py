@@ -299,8 +299,9 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     wh = b.Warehouse(spark)
     stg = wh.materialize(staging(spark, sf_dir), "staging")
     rollup = wh.materialize(metrics.line_rollup(stg), "line-rollup")
-    cm = metrics.customer_metrics(stg, cfg, rollup)
-    pm = metrics.product_metrics(stg, cfg, rollup)
+    # read by several relations (metrics, history, dims, fact): written once
+    cm = wh.materialize(metrics.customer_metrics(stg, cfg, rollup), "customer-metrics")
+    pm = wh.materialize(metrics.product_metrics(stg, cfg, rollup), "product-metrics")
     calendar = cal.calendar(cal.calendar_bounds(stg))
     ch = snapshot_check(None, cm.select(*b.CUSTOMER_SNAPSHOT_COLUMNS), "customer_id",
                         cfg.customer_check_cols, AS_OF).open
