@@ -132,3 +132,26 @@ def test_join_as_of_falls_back_when_hot_versions_too_many(spark):
     got = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"], hot,
                      max_broadcast_versions=1).collect()
     assert [(r.id, r.customer_key) for r in got] == [("o1", "K1")]
+
+
+def test_run_batch_full_refresh_rebuilds_same_fact(spark):
+    from starmart.plans import build as b
+    from starmart.sources import raw_order_lines
+
+    raw = raw_order_lines(spark, "/root/testdata/sf0.001")
+    state = b.BuildState()
+    b.run_batch(spark, b.cut_before(raw, dt.date(1999, 1, 1), "invoice_date"),
+                dt.datetime(1999, 1, 1, 6), state)
+    b.run_batch(spark, raw, dt.datetime(2001, 8, 2), state)
+    incremental = b.fact(spark, state)
+    first_path = state.fact_path
+    b.run_batch(spark, raw, dt.datetime(2001, 8, 3), state, full_refresh=True)
+    assert state.fact_path != first_path
+    rebuilt = b.fact(spark, state)
+    assert rebuilt.count() == incremental.count() == 5942
+    assert rebuilt.exceptAll(incremental).count() == 0
+    # history: the second and third runs closed versions, one open version per key
+    hist = state.customers.all()
+    assert hist.filter("dbt_valid_to IS NULL").groupBy("customer_id").count() \
+        .filter("count > 1").count() == 0
+    assert hist.filter("dbt_valid_to IS NOT NULL").count() > 0
