@@ -222,9 +222,8 @@ def _incremental_build(spark, sf_dir, loads):
 def q_sales_fact(spark, sf_dir):
     """Full build: one run over everything, histories from three loads."""
     from starmart.operators.fact import fact_output, sales_fact
-    from starmart.plans import build as b
-
     from starmart.operators.temporal_join import heavy_keys
+    from starmart.plans import build as b
 
     stg = b.Warehouse(spark).materialize(staging(spark, sf_dir), "staging")
     customers = _history(spark, sf_dir, "customer", stg).all()
@@ -253,8 +252,7 @@ LATE_SPAN_DAYS = 3                   # second load: the next days, plus everythi
 @query("sales_fact_late_rows")
 def q_sales_fact_late_rows(spark, sf_dir):
     """Rows a second run (re)writes: those at or after max(target) - 3 days."""
-    from starmart.operators.fact import fact_output
-    from starmart.operators.fact import target_max_ts as target_max_ts_of
+    from starmart.operators.fact import fact_output, target_max_ts
     from starmart.plans import build as b
 
     second = LATE_CUT + dt.timedelta(days=LATE_SPAN_DAYS)
@@ -262,12 +260,11 @@ def q_sales_fact_late_rows(spark, sf_dir):
     first = b.fact(spark, state)
     first_ids = b.Warehouse(spark).materialize(
         first.select("order_item_id", F.lit(True).alias("was_loaded")), "first-load")
-    first_max = target_max_ts_of(first)
+    first_max = target_max_ts(first)
     b.run_batch(spark, b.cut_before(raw_order_lines(spark, sf_dir), second, "invoice_date"),
                 dt.datetime(2000, 1, 4, 6), state)
     floor = first_max - dt.timedelta(days=PipelineConfig().lookback_days)
-    touched = b.fact(spark, state).filter(
-        F.col("invoice_date") >= ts_lit(floor))
+    touched = b.fact(spark, state).filter(F.col("invoice_date") >= ts_lit(floor))
     marked = touched.join(first_ids, "order_item_id", "left").withColumn(
         "was_loaded", F.coalesce("was_loaded", F.lit(False)))
     return fact_output(marked, ("was_loaded",))
