@@ -98,3 +98,21 @@ def test_freshness_levels(spark):
                                 ("c", dt.datetime(2020, 1, 7, 0))], "src string, ts timestamp_ntz")
     got = {r.src: r.status for r in freshness(df, "ts", AS_OF, group_by=("src",)).collect()}
     assert got == {"a": "pass", "b": "warn", "c": "error"}
+
+
+def test_csv_to_staging_end_to_end(spark):
+    from starmart.operators.staging import clean_order_lines
+
+    dirty = [
+        " ,SKU1,x,1,2025-01-15 12:00:00,1.00,1,UK",          # space-only invoice: kept as ''
+        "INVX,SKU1,x,1,not a date,1.00,1,UK",                 # unparseable date: kept, NULL
+        "INVY,SKU1,x,1,2025-01-15 12:00:00,0,1,UK",           # zero price: dropped
+        "INVZ,SKU1,x,abc,2025-01-15 12:00:00,2.50,,UK",       # bad quantity, blank customer
+        '"INVQ","SKU2","comma, inside",2,2025-01-15 12:00:00,3.00,7,UK',
+    ]
+    raw = read_order_csv(spark, _csv(_good(20) + dirty), dt.datetime(2025, 1, 16))
+    stg = {r.invoice_no: r for r in clean_order_lines(raw.drop("_ingested_at")).collect()}
+    assert len(stg) == 24 and "INVY" not in stg
+    assert stg[""].stock_code == "SKU1" and stg["INVX"].invoice_date is None
+    assert stg["INVZ"].quantity is None and stg["INVZ"].customer_id == "__missing"
+    assert stg["INVQ"].description == "comma, inside"
