@@ -86,11 +86,12 @@ def write_fact(spark: SparkSession, fact: DataFrame, path: str,
     """Write fact rows month-partitioned and clustered by (date_key,
     customer_key).  With ``months`` only those partitions are replaced.
 
-    Range partitioning (ending in the unique key) splits a month that holds a
-    large share of the rows over many tasks instead of one."""
-    df = with_month(fact).repartitionByRange(
-        MONTH, "date_key", "customer_key", "order_item_id"
-    ).sortWithinPartitions(MONTH, "date_key", "customer_key")
+    ``rebalance`` on the month lets AQE cut each month into advisory-size
+    pieces (a month holding a large share of the rows is split over many
+    tasks, small months are merged), so file sizes stay even at any scale;
+    each piece is sorted by (date_key, customer_key) for min/max pruning."""
+    df = with_month(fact).hint("rebalance", MONTH) \
+        .sortWithinPartitions(MONTH, "date_key", "customer_key")
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
      .partitionBy(MONTH).parquet(path))
