@@ -99,3 +99,18 @@ def scramble(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the column ``text`` by ``packed``: its UTF-8 bytes under zstd (null stays null), for shuffles of whole texts."""
+    for b in batches:
+        at = b.schema.get_field_index("text")
+        raw = b.column(at).cast(pa.binary()).to_pylist()
+        packed = pa.array([None if t is None else len(t).to_bytes(8, "little") + pa.compress(t, "zstd", asbytes=True) for t in raw], pa.binary())
+        yield b.set_column(at, "packed", packed)
+
+
+def unpack(packed: pa.Array) -> pa.Array:
+    """Texts of a ``packed`` column."""
+    raw = [None if t is None else pa.decompress(t[8:], int.from_bytes(t[:8], "little"), "zstd", asbytes=True) for t in packed.to_pylist()]
+    return pa.array(raw, pa.binary()).cast(pa.string())

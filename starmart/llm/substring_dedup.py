@@ -1,19 +1,25 @@
 """Substring dedup: repeated windows of ``WINDOW`` words become removal intervals.
 
-Every window of 50 consecutive words has a Rabin-Karp hash (two independent
-64-bit hashes).  Counting all of them would shuffle several times the input,
-so an exact prefilter comes first: a window is represented by its minimizer,
-the smallest of the Rabin-Karp hashes of its 20-word runs.  Equal windows have
-equal minimizers, so a window whose minimizer occurs in one document only
-cannot repeat.  Minimizers are 1/16 of the words; Spark counts them, and then
-counts the full hashes of every window whose minimizer is shared.  A window
-found in a document with a smaller id is removed; removed windows merge into
-maximal intervals of words.
-
-Hot passages: both counts are aggregates with a map-side step, and the way back
-to the documents is an equi-join whose other side is unique, which adaptive
-execution splits when one hash holds many rows.  No group is gathered but the
-positions of one document.
+Every window of 50 consecutive words has a Rabin-Karp hash.  Counting all of
+them would shuffle several times the input, so exact reductions come first:
+
+1. Equal texts collapse: of a group of copies only those with the smallest id go
+   on; every window of the others starts in a document with a smaller id.
+2. A window is represented by its minimizer, the smallest of the Rabin-Karp
+   hashes of its 20-word runs.  Equal windows have equal minimizers, so a window
+   whose minimizer occurs in one text only cannot repeat.  Minimizers are 1/14 of
+   the words; Spark counts them, with the smallest document (leader) of each.
+3. The windows of one minimizer occurrence travel as one row.  A window that is
+   also one of its leader's is settled there; no document is before the leader.
+4. The rest, windows that their leader lacks, are counted one by one: the
+   smallest document of each (minimizer, window) pair of 64-bit hashes.
+
+Removed windows merge into maximal intervals of words.
+
+Hot passages: the counts are aggregates with a map-side step, and every way back
+is an equi-join whose other side is unique, which adaptive execution splits when
+one hash holds many rows.  No group is gathered but the windows of one document.
+Whole texts are shuffled under zstd.
 
 Defined cases: a null text has no words; a text shorter than a window loses
 nothing; repeated rows with one doc_id do not remove each other (no smaller
@@ -23,7 +29,6 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import (bounded_batches, hash_words, materialize, rolling, scramble, split_words,
-                                 text_slices)
+from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, rolling, scramble, split_words,
+                                 text_slices, unpack)
 
 WINDOW = 50
 RUN = 20
@@ -76,46 +81,100 @@ def _anchors(window: int, run: int):
     return scan
 
 
+def _member(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """One number for (row, value): rows of a batch are few, values random."""
+    return scramble(value + scramble(row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C55)))
+
+
 def _windows(window: int, run: int):
-    kind = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("pos", pa.int32())])
+    """A row for each occurrence of a shared minimizer: its windows start at ``pos``, ``pos + 1``, ..."""
+    kind = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("leads", pa.bool_()), ("pos", pa.int32()),
+                      ("v", pa.list_(pa.int64()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text, hits = b.column("text"), b.column("hits")
-            for lo, hi in text_slices(text, 2 << 20):
+            text, hits = unpack(b.column("packed")), b.column("hits")
+            for lo, hi in text_slices(text, 4 << 20):
                 codes, starts, words = split_words(text.slice(lo, hi - lo))
                 h = hash_words(words)[codes] if len(codes) else np.empty(0, np.uint64)
-                first, value, _ = _minimizers(h, starts, window, run)
+                first, value, least = _minimizers(h, starts, window, run)
+                if not len(first):
+                    continue
                 row = np.searchsorted(starts, first, side="right") - 1
                 own = hits.slice(lo, hi - lo)
-                shared = own.flatten().to_numpy().view(np.uint64)
-                owner = pc.list_parent_indices(own).to_numpy()
-                wanted = np.isin(value, shared)  # then exactly, document by document
-                first, value, row = first[wanted], value[wanted], row[wanted]
-                pair = np.unique(np.rec.fromarrays([owner.astype(np.int64), shared], names="r,h"))
-                mine = np.isin(np.rec.fromarrays([row.astype(np.int64), value], names="r,h"), pair) if len(row) else np.empty(0, bool)
-                first, row = first[mine], row[mine]
-                w1 = rolling(h, window, BASES[0])[first]
-                w2 = rolling(hash_words(words, 7)[codes], window, BASES[1])[first] if len(first) else w1
-                take = pa.array(lo + row)
+                shared = own.flatten()
+                leader = shared.field("lo").to_numpy()
+                shared = _member(pc.list_parent_indices(own).to_numpy(), shared.field("h").to_numpy().view(np.uint64))
+                order = np.argsort(shared)
+                shared, leader = shared[order], leader[order]
+                mine = _member(row, value)
+                at = np.minimum(np.searchsorted(shared, mine), len(shared) - 1)
+                wanted = shared[at] == mine
+                first, value, least, row, leader = first[wanted], value[wanted], least[wanted], row[wanted], leader[at[wanted]]
+                if not len(first):
+                    continue
+                w = rolling(hash_words(words, 7)[codes], window, BASES[1])[first]
+                v = scramble(w + (least - first).astype(np.uint64))
+                new = np.concatenate(([True], (least[1:] != least[:-1]) | (first[1:] != first[:-1] + 1)))
+                begin = np.flatnonzero(new)
+                take = pa.array(lo + row[begin])
+                doc = b.column("doc_id").take(take)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(take), b.column("tkey").take(take), pa.array(w1.view(np.int64)),
-                     pa.array(w2.view(np.int64)), pa.array((first - starts[row]).astype(np.int32))], schema=kind)
+                    [pa.array(value[begin].view(np.int64)), doc, b.column("tkey").take(take), pa.array(doc.to_numpy() == leader[begin]),
+                     pa.array((first - starts[row])[begin].astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(np.append(begin, len(v)).astype(np.int32)), pa.array(v.view(np.int64)))], schema=kind)
 
     return scan
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of followers' windows: starts of those that the leader has, and (start, v) of the others."""
+    other = pa.struct([("pos", pa.int32()), ("v", pa.int64())])
+    for b in batches:
+        v, lead = b.column("v"), b.column("lead")
+        row = pc.list_parent_indices(v).to_numpy()
+        value = v.flatten().to_numpy()
+        pos = b.column("pos").to_numpy()[row] + np.arange(len(row)) - np.searchsorted(row, row)
+        held = np.isin(_member(row, value.view(np.uint64)), _member(pc.list_parent_indices(lead).to_numpy(), lead.flatten().to_numpy().view(np.uint64)))
+
+        def lists(of: np.ndarray, values: pa.Array) -> pa.Array:
+            at = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=b.num_rows))))
+            return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values)
+
+        rest = pa.StructArray.from_arrays([pa.array(pos[~held].astype(np.int32)), pa.array(value[~held])], fields=list(other))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tkey"), b.column("h"), lists(row[held], pa.array(pos[held].astype(np.int32))),
+                                          lists(row[~held], rest)], names=["doc_id", "tkey", "h", "gone", "rest"])
+
+
 def removal_windows(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """(doc_id, tkey, positions): starts of the windows to remove; ``docs`` has doc_id, tkey, text."""
+    """(doc_id, tkey, positions, whole): starts of the windows to remove; ``whole``: the text is a later copy, all of them.
+
+    ``docs`` has doc_id, tkey, text.
+    """
     docs = docs.where("doc_id is not null")
-    anchors = materialize(docs.mapInArrow(_anchors(window, run), "doc_id long, tkey long, h long"), "anchors")
-    shared = anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
-    hits = anchors.join(shared, "h").groupBy("doc_id", "tkey").agg(F.collect_set("h").alias("hits"))
-    found = docs.join(hits, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "hits")
-    windows = materialize(found.mapInArrow(_windows(window, run), "doc_id long, tkey long, w1 long, w2 long, pos int"), "windows")
-    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("w1", "w2", "lo")
-    gone = windows.join(least, ["w1", "w2"]).where("doc_id > lo")
-    return gone.groupBy("doc_id", "tkey").agg(F.collect_set("pos").alias("positions"))
+    texts = docs.select("doc_id", "tkey", F.xxhash64("text", F.lit(1)).alias("tkey2"))
+    first = texts.groupBy("tkey", "tkey2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    copies = materialize(texts.join(first, ["tkey", "tkey2"]).where("doc_id > least").select("doc_id", "tkey").distinct(), "copies")
+
+    anchors = materialize(docs.select("doc_id", "tkey", "text").mapInArrow(_anchors(window, run), "doc_id long, tkey long, h long"), "anchors")
+    shared = anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.min("tkey").alias("a"), F.max("tkey").alias("b")).where("a < b").select("h", "lo")
+    hits = anchors.join(shared, "h").groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("h", "lo")).alias("hits"))
+    hits = hits.join(copies, ["doc_id", "tkey"], "left_anti")
+    packed = docs.select("doc_id", "tkey", "text").mapInArrow(pack, "doc_id long, tkey long, packed binary")
+    windows = materialize(packed.join(hits, ["doc_id", "tkey"]).select("doc_id", "tkey", "packed", "hits").mapInArrow(
+        _windows(window, run), "h long, doc_id long, tkey long, leads boolean, pos int, v array<long>"), "windows")
+
+    lead = windows.where("leads").groupBy("h").agg(F.flatten(F.collect_list("v")).alias("lead"))
+    settled = windows.where("not leads").select("h", "doc_id", "tkey", "pos", "v").join(lead, "h").mapInArrow(
+        _settle, "doc_id long, tkey long, h long, gone array<int>, rest array<struct<pos:int,v:long>>")
+    settled = materialize(settled, "settled")
+    rest = settled.where(F.size("rest") > 0).select("doc_id", "tkey", "h", F.explode("rest").alias("r")).select("doc_id", "tkey", "h", "r.v", "r.pos")
+    least = rest.groupBy("h", "v").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "v", "lo")
+    late = rest.join(least, ["h", "v"]).where("doc_id > lo").groupBy("doc_id", "tkey").agg(F.collect_list("pos").alias("gone"))
+    gone = settled.where(F.size("gone") > 0).select("doc_id", "tkey", "gone").unionByName(late)
+    gone = gone.groupBy("doc_id", "tkey").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("positions"))
+    return gone.withColumn("whole", F.lit(False)).unionByName(copies.select(
+        "doc_id", "tkey", F.array().cast("array<int>").alias("positions"), F.lit(True).alias("whole")))
 
 
 def intervals(positions: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -134,12 +193,15 @@ def _apply(window: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text, positions = b.column("text"), b.column("positions")
+            text, positions, whole = unpack(b.column("packed")), b.column("positions"), b.column("whole")
             for lo, hi in text_slices(text):
                 total, removed, kept, out = [], [], [], []
-                for t, p in zip(text.slice(lo, hi - lo).cast(pa.binary()).to_pylist(), positions.slice(lo, hi - lo)):
+                for t, p, every in zip(text.slice(lo, hi - lo).cast(pa.binary()).to_pylist(), positions.slice(lo, hi - lo),
+                                       whole.slice(lo, hi - lo).to_pylist()):
                     words = (t or b"").split()
                     gaps = intervals(np.array(p.as_py() or [], np.int64), window)
+                    if every and len(words) >= window:
+                        gaps = [(0, len(words))]
                     total.append(len(words))
                     left = 0
                     rest: list[bytes] = []
@@ -160,10 +222,8 @@ def dedup_substrings(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "
     """(doc_id, n_words, n_removed, kept, spans) for every row: kept words joined by one space, removed word intervals."""
     bounded_batches(docs.sparkSession)
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tkey"))
-    gone = removal_windows(d, window, run).select(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt"), "positions")
-    out = d.join(gone, (F.col("doc_id") == F.col("gd")) & (F.col("tkey") == F.col("gt")), "left").select("doc_id", "text", "positions")
+    gone = removal_windows(d, window, run).select(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt"), "positions", "whole")
+    out = d.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
+        gone, (F.col("doc_id") == F.col("gd")) & (F.col("tkey") == F.col("gt")), "left").select("doc_id", "packed", "positions", "whole")
     return out.mapInArrow(_apply(window), "doc_id long, n_words long, n_removed long, kept string, spans array<struct<first:int,end:int>>")
 
-
-def sha256_hex(text: bytes) -> str:
-    return hashlib.sha256(text).hexdigest()
