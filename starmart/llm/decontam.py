@@ -155,7 +155,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", t
     blocks = build_blocks(benchmark, item_col, item_text_col, k, threshold)
     d = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
     got = d.select("doc_id", leak_column(F.col("text"), blocks, spark).alias("leaks"))
-    return got.select("doc_id", F.explode("leaks").alias("l")).select(
+    # explode_outer: no filter is inferred below it, which would search every text twice
+    return got.select("doc_id", F.explode_outer("leaks").alias("l")).where("l is not null").select(
         "doc_id", F.col("l.item").alias("item_id"), F.col("l.shared").alias("shared"), F.col("l.size").alias("size"),
         (F.col("l.shared") / F.col("l.size")).alias("containment"))
 
