@@ -4,7 +4,7 @@
 and one end token after each document.  What is learnt, over all training
 documents: the count of every word, classes, class transitions, emissions.
 
-Documents are coded in blocks of about 16 MB of text: word codes, and the
+Documents are coded in blocks of about 8 MB of text: word codes, and the
 block's own vocabulary as (64-bit word hash, training count).  Spark sums the
 counts of every word over the blocks.  The units that are clustered are words
 with ``MIN_COUNT`` training tokens and a share of at least ``SHARE`` (so at most
@@ -47,7 +47,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, hash_words, materialize, split_words, text_slices
+from starmart.llm.common import (bounded_batches, hash_words, materialize, split_words, squeeze, text_slices,
+                                 unsqueeze)
 
 CLASSES = 64
 ENDINGS = 1024
@@ -57,7 +58,7 @@ SWEEPS = 4
 PRIOR = 64.0
 ALPHA = 0.1
 DISCOUNT = 0.5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 RANGES = 16  # ranges of units, one task each
 #: the end token's class, after those of the units
 END = CLASSES
@@ -89,10 +90,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = hash_words(pc.utf8_slice_codeunits(words, -2), 11)[order]
         return pa.RecordBatch.from_pydict({
             "block": pa.array([block], pa.int64()), "doc_id": pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-            "held": pa.array([out.tobytes()], pa.binary()), "ends": pa.array([starts[1:].tobytes()], pa.binary()),
-            "codes": pa.array([codes.astype(np.int32).tobytes()], pa.binary()), "hashes": pa.array([h[order].tobytes()], pa.binary()),
-            "counts": pa.array([count.tobytes()], pa.binary()),
-            "ending": pa.array([(tail % np.uint64(ENDINGS)).astype(np.int32).tobytes()], pa.binary()),
+            "held": pa.array([squeeze(out)], pa.binary()), "ends": pa.array([squeeze(starts[1:])], pa.binary()),
+            "codes": pa.array([squeeze(codes.astype(np.int32))], pa.binary()), "hashes": pa.array([h[order].tobytes()], pa.binary()),
+            "counts": pa.array([squeeze(count)], pa.binary()),
+            "ending": pa.array([squeeze((tail % np.uint64(ENDINGS)).astype(np.int32))], pa.binary()),
             "tokens": pa.array([int((~out).sum() + train.sum())], pa.int64())})
 
     for b in batches:
@@ -103,6 +104,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= BLOCK_BYTES:
                 yield close()
                 held, size, block = [], 0, block + 1
+                pa.default_memory_pool().release_unused()
     if held:
         yield close()
 
@@ -112,7 +114,8 @@ BLOCK_SCHEMA = ("block long, doc_id array<long>, held binary, ends binary, codes
 
 
 def _numbers(row: pa.RecordBatch, name: str, kind: type, i: int = 0) -> np.ndarray:
-    return np.frombuffer(row.column(name)[i].as_py(), kind)
+    raw = row.column(name)[i].as_py()
+    return np.frombuffer(raw, kind) if name == "hashes" else unsqueeze(raw, kind)
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,20 +144,16 @@ class Units:
         return np.where(self.hashes[at] == h, at, rare)
 
 
-def _units(row: pa.RecordBatch, i: int, units: Units) -> np.ndarray:
-    return units.find(_numbers(row, "hashes", np.uint64, i), _numbers(row, "ending", np.int32, i))
-
-
-def _streams(row: pa.RecordBatch, i: int, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one block: (unit or -1, class) of every token with the end tokens put in, ends' places, training mask."""
+def _streams(row: pa.RecordBatch, i: int, of: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one block whose words have units ``of``: (unit or -1, class) of every token with the end tokens put in, ends' places, training mask."""
     codes, ends = _numbers(row, "codes", np.int32, i), _numbers(row, "ends", np.int64, i)
     last = ends + np.arange(len(ends))
     total = len(codes) + len(ends)
     real = np.ones(total, bool)
     real[last] = False
-    unit, klass = np.full(total, -1, np.int64), np.full(total, END, np.int64)
-    unit[real] = _units(row, i, units)[codes]
-    klass[real] = units.classes[unit[real]]
+    unit, klass = np.full(total, -1, np.int32), np.full(total, END, np.int32)
+    unit[real] = of.astype(np.int32)[codes]
+    klass[real] = classes.astype(np.int32)[unit[real]]
     train = np.repeat(~_numbers(row, "held", bool, i), np.diff(np.concatenate(([-1], last))))
     return unit, klass, last, train
 
@@ -167,13 +166,15 @@ def _count_contexts(sent):
         after, before, pairs = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(CONTEXTS * CONTEXTS, np.int64)
         for b in batches:
             for i in range(b.num_rows):
-                unit, klass, _, train = _streams(b, i, units)
+                of = units.find(_numbers(b, "hashes", np.uint64, i), _numbers(b, "ending", np.int32, i))
+                unit, klass, _, train = _streams(b, i, of, units.classes)
                 prev = np.concatenate(([END], klass[:-1]))
-                nxt = np.concatenate((klass[1:], [END]))
-                pairs += np.bincount((prev * CONTEXTS + klass)[train], minlength=len(pairs))
+                pairs += np.bincount(prev[train] * CONTEXTS + klass[train], minlength=len(pairs))
                 real = train & (unit >= 0)
-                for held, context in ((after, nxt), (before, prev)):
-                    np.add.at(held, unit[real] * CONTEXTS + context[real], 1)
+                at = unit[real].astype(np.int64) * CONTEXTS
+                np.add.at(after, at + np.concatenate((klass[1:], [END]))[real], 1)
+                np.add.at(before, at + prev[real], 1)
+                pa.default_memory_pool().release_unused()
         at = np.flatnonzero(pairs)
         rows = [(-1, 0, at.astype(np.int64), pairs[at])]
         edge = [len(units.classes) * k // RANGES * CONTEXTS for k in range(RANGES + 1)]
@@ -185,8 +186,8 @@ def _count_contexts(sent):
         for k, side, at, n in rows:
             gaps = np.diff(at, prepend=0)
             yield pa.RecordBatch.from_pydict({"range": pa.array([k], pa.int32()), "side": pa.array([side], pa.int32()),
-                                              "at": pa.array([gaps.astype(np.int32).tobytes()], pa.binary()),
-                                              "n": pa.array([n.astype(np.int64 if k < 0 else np.int32).tobytes()], pa.binary())})
+                                              "at": pa.array([squeeze(gaps.astype(np.int32))], pa.binary()),
+                                              "n": pa.array([squeeze(n.astype(np.int64))], pa.binary())})
 
     return run
 
@@ -196,7 +197,7 @@ def class_bigrams(counted: DataFrame) -> np.ndarray:
     def add(t: pa.Table) -> pa.Table:
         total = np.zeros(CONTEXTS * CONTEXTS, np.int64)
         for at, n in zip(t.column("at"), t.column("n")):
-            total[np.cumsum(np.frombuffer(at.as_py(), np.int32))] += np.frombuffer(n.as_py(), np.int64)
+            total[np.cumsum(unsqueeze(at.as_py(), np.int32))] += unsqueeze(n.as_py(), np.int64)
         return pa.table({"n": pa.array([total.tobytes()], pa.binary())})
 
     got = counted.where("range = -1").groupBy("range").applyInArrow(add, "n binary").collect()
@@ -229,7 +230,7 @@ def cluster(spark: SparkSession, blocks: DataFrame, hashes: np.ndarray, counts:
     for sweep in count():
         units = Units(hashes, counts, classes)
         sent = spark.sparkContext.broadcast(units)
-        counted = materialize(blocks.coalesce(tasks).mapInArrow(_count_contexts(sent), "range int, side int, at binary, n binary"), "contexts")
+        counted = materialize(blocks.select("held", "ends", "codes", "hashes", "ending").coalesce(tasks).mapInArrow(_count_contexts(sent), "range int, side int, at binary, n binary"), "contexts")
         bigrams = class_bigrams(counted)
         if sweep == sweeps:
             return units, bigrams
@@ -240,7 +241,7 @@ def cluster(spark: SparkSession, blocks: DataFrame, hashes: np.ndarray, counts:
             n = edge[k + 1] - edge[k]
             both = np.zeros((2, n * CONTEXTS), np.float32)
             for side, at, c in zip(t.column("side").to_pylist(), t.column("at"), t.column("n")):
-                both[side][np.cumsum(np.frombuffer(at.as_py(), np.int32))] += np.frombuffer(c.as_py(), np.int32)
+                both[side][np.cumsum(unsqueeze(at.as_py(), np.int32))] += unsqueeze(c.as_py(), np.int64)
             out = np.empty(n, np.int64)
             for i in range(0, n, 4096):
                 a, b = (x.reshape(n, CONTEXTS)[i:i + 4096].astype(np.float64) for x in both)
@@ -296,28 +297,29 @@ def _score(model):
 
     def run(blocks: pa.Table, words: pa.Table) -> pa.Table:
         m, out = model.value, []
-        order = np.argsort(words.column("h").to_numpy().view(np.uint64))
-        total = words.column("c").to_numpy()[order]
+        h = words.column("h").to_numpy().view(np.uint64)
+        order = np.argsort(h)  # as the block's codes go
+        h, total, ending = h[order], words.column("c").to_numpy()[order], words.column("ending").to_numpy()[order]
+        of = m.units.find(h, ending)
+        emit, base = emissions(m, of, total), np.log10((total + 1) / (m.tokens + m.words + 1))
+        end = math.log10((m.ends + 1) / (m.tokens + m.words + 1))
         for row in blocks.to_batches():
             for i in range(row.num_rows):
-                emit = emissions(m, _units(row, i, m.units), total)
-                base = np.log10((total + 1) / (m.tokens + m.words + 1))
-                codes, ends = _numbers(row, "codes", np.int32, i), _numbers(row, "ends", np.int64, i)
-                _, klass, last, _ = _streams(row, i, m.units)
+                _, klass, last, _ = _streams(row, i, of, m.units.classes)
+                codes = _numbers(row, "codes", np.int32, i)
                 real = np.ones(len(klass), bool)
                 real[last] = False
-                each = m.transition[np.concatenate(([END], klass[:-1])), klass]
-                each[real] += emit[codes]
-                plain = np.full(len(klass), math.log10((m.ends + 1) / (m.tokens + m.words + 1)))
-                plain[real] = base[codes]
-                hit = np.full(len(klass), m.ends > 0)
-                hit[real] = (total > 0)[codes]
                 first = np.concatenate(([0], last[:-1] + 1))
-                n = len(last)
+
+                def sums(each: np.ndarray, words: np.ndarray) -> pa.Array:
+                    each[real] += words[codes]
+                    return pa.array(np.add.reduceat(each, first))
+
                 out.append(pa.RecordBatch.from_arrays([
                     pa.array(row.column("doc_id")[i].as_py(), pa.int64()), pa.array(_numbers(row, "held", bool, i)), pa.array(last - first + 1),
-                    pa.array(np.add.reduceat(hit.astype(np.int64), first)), pa.array(np.full(n, m.tokens, np.int64)),
-                    pa.array(np.add.reduceat(plain, first)), pa.array(np.add.reduceat(each, first))], schema=kind))
+                    sums((~real & (m.ends > 0)).astype(np.int64), (total > 0).astype(np.int64)), pa.array(np.full(len(last), m.tokens, np.int64)),
+                    sums(np.where(real, 0.0, end), base),
+                    sums(m.transition[np.concatenate(([END], klass[:-1])), klass], emit)], schema=kind))
         return pa.Table.from_batches(out, kind)
 
     return run
@@ -331,8 +333,9 @@ def score_documents(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     blocks = materialize(d.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
     vocab = blocks.select("block", "hashes", "counts", "ending").mapInArrow(_vocabulary, "block long, h long, n long, ending int")
     same = Window.partitionBy("h")
-    words = materialize(vocab.select("block", "h", "ending", F.sum("n").over(same).alias("c"), F.min("block").over(same).alias("lead")), "words")
-    once = words.where("block = lead and c > 0")
+    words = vocab.select("block", "h", "ending", F.sum("n").over(same).alias("c"), F.min("block").over(same).alias("lead"))
+    words = materialize(words.withColumn("lead", F.col("block") == F.col("lead")), "words")
+    once = words.where("lead and c > 0")
     tokens = int(blocks.agg(F.sum("tokens")).first()[0] or 0)
     floor = max(MIN_COUNT, math.ceil(SHARE * tokens))
     often = once.where(F.col("c") >= floor).select("h", "c").toPandas()
@@ -345,5 +348,6 @@ def score_documents(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     ends = tokens - int(c.sum() + mass.sum())
     model = spark.sparkContext.broadcast(Model(units, transitions(bigrams), unit_emissions(units, bigrams), seen, tokens,
                                                len(h) + int(seen.sum()) + (ends > 0), ends))
-    return blocks.groupBy("block").cogroup(words.select("block", "h", "c").groupBy("block")).applyInArrow(
+    coded = blocks.select("block", "doc_id", "held", "ends", "codes")
+    return coded.groupBy("block").cogroup(words.select("block", "h", "ending", "c").groupBy("block")).applyInArrow(
         _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -114,3 +114,15 @@ def unpack(packed: pa.Array) -> pa.Array:
     """Texts of a ``packed`` column."""
     raw = [None if t is None else pa.decompress(t[8:], int.from_bytes(t[:8], "little"), "zstd", asbytes=True) for t in packed.to_pylist()]
     return pa.array(raw, pa.binary()).cast(pa.string())
+
+
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Bytes of an integer array by place value (all lowest bytes first, and so on), under zstd."""
+    raw = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T).tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(data[8:], n * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, n).T).reshape(-1).view(kind)
