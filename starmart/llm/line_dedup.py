@@ -35,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, hash_words, materialize, scramble, split_words, text_slices
+from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, scramble, split_words, text_slices,
+                                 unpack)
 from starmart.llm.components import components
 
 RADIUS = 3
@@ -61,11 +62,16 @@ def simhash(codes: np.ndarray, starts: np.ndarray, words: pa.Array) -> np.ndarra
     out = np.zeros(n, np.uint64)
     at = starts[:-1][full]
     size = np.diff(starts)[full]
-    votes = np.zeros(len(at), np.int64)
-    for bit in range(64):
-        one = np.uint64(bit)
-        votes = np.add.reduceat(((h >> one) & np.uint64(1)).astype(np.int32) + np.where(last, 0, (pair >> one) & np.uint64(1)).astype(np.int32), at)
-        out[full] |= (2 * votes > 2 * size - 1).astype(np.uint64) << one
+    # bits j, j + lane, ... of all hashes are counted in one sum: 64 / lane counters side by side
+    lane = 16 if 2 * size.max() < 1 << 16 else 32
+    ones = np.uint64(sum(1 << k for k in range(0, 64, lane)))
+    pair[last] = 0
+    for j in range(lane):
+        shift = np.uint64(j)
+        votes = np.add.reduceat((h >> shift & ones) + (pair >> shift & ones), at)
+        for k in range(0, 64, lane):
+            count = (votes >> np.uint64(k)) & np.uint64((1 << lane) - 1)
+            out[full] |= (2 * count.astype(np.int64) > 2 * size - 1).astype(np.uint64) << np.uint64(j + k)
     return out
 
 
@@ -93,52 +99,66 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, tkey, line, norm) of the wanted line numbers."""
     for b in batches:
-        for i in range(b.num_rows):
-            lines = normalise(pa.array((b.column("text")[i].as_py()).split("\n"), pa.string())).to_pylist()
-            wanted = b.column("lines")[i].as_py()
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(i, 1).take(pa.array([0] * len(wanted))),
-                                              "tkey": b.column("tkey").slice(i, 1).take(pa.array([0] * len(wanted))),
-                                              "line": pa.array(wanted, pa.int32()), "norm": pa.array([lines[x] for x in wanted], pa.string())})
-
-
-def pair_tables(lines: DataFrame) -> DataFrame:
-    """Distinct lines (h1, sim, size) under each table number ``n`` and its ``key``: the bits of two blocks."""
-    at, ranges = 0, []
-    for width in BLOCKS:
-        ranges.append(F.shiftrightunsigned("sim", at).bitwiseAND(F.lit((1 << width) - 1)))
-        at += width
-    keys = [F.struct(F.lit(n).alias("n"), (F.shiftleft(ranges[i], 13) + ranges[j]).alias("key"))
-            for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    return lines.select("h1", "sim", "size", F.explode(F.array(*keys)).alias("k")).select("h1", "sim", "size", "k.n", "k.key")
-
-
-def near_in_buckets(key: np.ndarray, sim: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one bucket within the radius, of lengths that allow the similarity; rows sorted by key."""
-    n = len(key)
-    for d in range(1, n):
-        same = np.flatnonzero(key[d:] == key[:-d])
-        if not len(same):
+        wanted, raw, owner = [], [], []
+        for i, (text, lines) in enumerate(zip(unpack(b.column("packed")).to_pylist(), b.column("lines").to_pylist())):
+            parts = text.split("\n")
+            wanted += lines
+            raw += [parts[x] for x in lines]
+            owner += [i] * len(lines)
+        take = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("tkey").take(take), pa.array(wanted, pa.int32()),
+                                          normalise(pa.array(raw, pa.string()))], names=["doc_id", "tkey", "line", "norm"])
+
+
+#: bit range of each block, and the two ranges of each table as one mask
+_EDGES = np.concatenate(([0], np.cumsum(BLOCKS))).tolist()
+_RANGES = [((1 << (b - a)) - 1) << a for a, b in zip(_EDGES, _EDGES[1:])]
+TABLES = [x | y for x, y in combinations(_RANGES, 2)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def in_tables(lines: DataFrame, n_groups: int) -> DataFrame:
+    """``lines`` under each table number ``n``, with the group ``g`` of its bucket (equal bits of two blocks)."""
+    each = F.array(*[F.struct(F.lit(n).alias("n"), F.col("sim").bitwiseAND(F.lit(_signed(m))).alias("key")) for n, m in enumerate(TABLES)])
+    return bucketed(lines.withColumn("k", F.explode(each)).withColumn("n", F.col("k.n")).drop("k"), n_groups)
+
+
+def bucketed(rows: DataFrame, n_groups: int) -> DataFrame:
+    masks = F.array(*[F.lit(_signed(m)) for m in TABLES])
+    return rows.withColumn("g", F.pmod(F.xxhash64("n", F.col("sim").bitwiseAND(F.get(masks, F.col("n")))), F.lit(n_groups)).cast("int"))
+
+
+def near_in_buckets(n: np.ndarray, sim: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within the radius of one bucket, each in the first table that shows it; rows sorted by (n, key)."""
+    masks = np.array(TABLES, np.uint64)
+    key = sim & masks[n]
+    for d in range(1, len(n)):
+        a = np.flatnonzero((key[d:] == key[:-d]) & (n[d:] == n[:-d]))
+        if not len(a):
             return
-        a, b = same, same + d
-        near = np.bitwise_count(sim[a] ^ sim[b]) <= RADIUS
-        a, b = a[near], b[near]
-        fit = np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b]) - 1e-9
-        yield a[fit], b[fit]
+        apart = sim[a] ^ sim[a + d]
+        near = np.bitwise_count(apart) <= RADIUS
+        a, apart = a[near], apart[near]
+        first = ((apart[:, None] & masks[None, :]) == 0).argmax(axis=1) == n[a]
+        yield a[first], a[first] + d
 
 
-def _bucket_rows(t: pa.Table) -> tuple[np.ndarray, ...]:
-    key = t.column("n").to_numpy().astype(np.int64) << 32 | t.column("key").to_numpy()
-    order = np.argsort(key, kind="stable")
-    return (order, key[order], t.column("sim").to_numpy().view(np.uint64)[order], t.column("size").to_numpy()[order])
+def _by_bucket(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, sim = t.column("n").to_numpy(), t.column("sim").to_numpy().view(np.uint64)
+    order = np.lexsort((sim & np.array(TABLES, np.uint64)[n], n))
+    return order, n[order], sim[order]
 
 
 def _partnered(t: pa.Table) -> pa.Table:
-    """Rows that have a candidate partner in their bucket."""
-    order, key, sim, size = _bucket_rows(t)
+    """(sim, n) of fingerprints with a partner in their bucket."""
+    order, n, sim = _by_bucket(t)
     has = np.zeros(len(order), bool)
-    for a, b in near_in_buckets(key, sim, size):
+    for a, b in near_in_buckets(n, sim):
         has[a] = has[b] = True
-    return t.take(pa.array(order[has]))
+    return pa.table({"sim": pa.array(sim[has].view(np.int64)), "n": pa.array(n[has])})
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -177,8 +197,10 @@ def similar(a: str, b: str) -> bool:
 
 def _verified(t: pa.Table) -> pa.Table:
     """Star edges of the verified links; a pair already in one local group needs no check."""
-    order, key, sim, size = _bucket_rows(t)
-    ids, norm = t.column("h1").to_numpy()[order], t.column("norm").take(pa.array(order))
+    order, n, sim = _by_bucket(t)
+    at = pa.array(order)
+    ids, norm = t.column("h1").to_numpy()[order], t.column("norm").take(at).to_pylist()
+    size = t.column("size").to_numpy()[order]
     up = np.arange(len(order))
 
     def root(i: int) -> int:
@@ -187,10 +209,11 @@ def _verified(t: pa.Table) -> pa.Table:
             i = up[i]
         return i
 
-    for a, b in near_in_buckets(key, sim, size):
-        for i, j in zip(a.tolist(), b.tolist()):
+    for a, b in near_in_buckets(n, sim):
+        fit = np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b]) - 1e-9
+        for i, j in zip(a[fit].tolist(), b[fit].tolist()):
             x, y = root(i), root(j)
-            if x != y and similar(norm[i].as_py(), norm[j].as_py()):
+            if x != y and similar(norm[i], norm[j]):
                 up[max(x, y)] = min(x, y)
     top = np.array([root(i) for i in range(len(up))], np.int64)
     star = top != np.arange(len(up))
@@ -204,21 +227,21 @@ def groups(rows: int) -> int:
 
 def links(lines: DataFrame, docs: DataFrame) -> DataFrame:
     """Star edges (a, b) over line hashes: their components are those of all verified links."""
-    keyed = pair_tables(lines)
-    n = groups(10 * lines.count())
-    where = F.pmod(F.xxhash64("n", "key"), F.lit(n))
-    near = materialize(keyed.withColumn("g", where).groupBy("g").applyInArrow(
-        _partnered, "h1 long, sim long, size int, n int, key long, g long").drop("g"), "line-near")
+    sims = materialize(lines.groupBy("sim").agg(F.count("*").alias("lines")), "line-sims")
+    n_groups = groups(len(TABLES) * sims.count())
+    partnered = in_tables(sims.select("sim"), n_groups).groupBy("g").applyInArrow(_partnered, "sim long, n int")
+    same = sims.where("lines > 1").select("sim", F.lit(0).alias("n"))  # equal fingerprints meet in the first table
+    partnered = materialize(partnered.unionByName(same).distinct(), "line-near")
     # the wanted lines' texts, from their first occurrence
-    first = lines.select("h1", "doc_id", "tkey", "line").join(near.select("h1").distinct(), "h1", "left_semi")
-    wanted = first.groupBy(F.col("doc_id").alias("wd"), F.col("tkey").alias("wt")).agg(F.collect_list("line").alias("lines"))
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wd")) & (F.col("tkey") == F.col("wt"))).dropDuplicates(["doc_id", "tkey"]).select(
-        "doc_id", "tkey", "text", "lines").mapInArrow(_texts, "doc_id long, tkey long, line int, norm string")
+    near = lines.join(partnered, "sim").select("h1", "sim", "size", "n", "doc_id", "tkey", "line")
+    wanted = near.groupBy(F.col("doc_id").alias("wd"), F.col("tkey").alias("wt")).agg(F.collect_set("line").alias("lines"))
+    texts = docs.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("wd")) & (F.col("tkey") == F.col("wt"))).dropDuplicates(["doc_id", "tkey"]).select(
+        "doc_id", "tkey", "packed", "lines").mapInArrow(_texts, "doc_id long, tkey long, line int, norm string")
     texts = texts.select(F.col("doc_id").alias("xd"), F.col("tkey").alias("xt"), F.col("line").alias("xl"), "norm")
-    named = first.join(texts, F.col("doc_id").eqNullSafe(F.col("xd")) & (F.col("tkey") == F.col("xt")) & (F.col("line") == F.col("xl")))
-    named = named.select(F.col("h1").alias("th"), "norm")
-    full = near.join(named, F.col("h1") == F.col("th")).select("h1", "sim", "size", "n", "key", "norm")
-    return full.withColumn("g", where).groupBy("g").applyInArrow(_verified, "a long, b long")
+    full = near.join(texts, F.col("doc_id").eqNullSafe(F.col("xd")) & (F.col("tkey") == F.col("xt")) & (F.col("line") == F.col("xl")))
+    full = bucketed(full.select("h1", "sim", "size", "n", "norm"), n_groups)
+    return full.groupBy("g").applyInArrow(_verified, "a long, b long")
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
@@ -247,8 +270,8 @@ def line_groups(docs: DataFrame) -> DataFrame:
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         total, removed, kept = [], [], []
-        for t, gone in zip(b.column("text"), b.column("gone")):
-            lines = [] if t.as_py() is None else t.as_py().split("\n")
+        for t, gone in zip(unpack(b.column("packed")).to_pylist(), b.column("gone")):
+            lines = [] if t is None else t.split("\n")
             out = set(gone.as_py() or ())
             total.append(len(lines))
             removed.append(len(out))
@@ -263,5 +286,6 @@ def dedup_lines(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tkey"))
     gone = line_groups(d).where("not keep").groupBy(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt")).agg(
         F.collect_set("line").alias("gone"))
-    out = d.join(gone, F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("tkey") == F.col("gt")), "left")
-    return out.select("doc_id", "text", "gone").mapInArrow(_apply, "doc_id long, n_lines long, n_removed long, kept string")
+    out = d.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
+        gone, F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("tkey") == F.col("gt")), "left")
+    return out.select("doc_id", "packed", "gone").mapInArrow(_apply, "doc_id long, n_lines long, n_removed long, kept string")
