@@ -5,7 +5,7 @@ Plan shape (large scale): staging is shuffled once on customer_id for the
 customer range join and once on stock_code for the product range join
 (either becomes a broadcast hash join when Spark's size check finds the
 history small); the calendar is broadcast because its size is bounded by the
-number of days in the data span.  Heavy keys bypass the shuffle (see
+number of days in the data span.  Heavy keys are salted (see
 ``temporal_join``).
 """
 

@@ -6,16 +6,16 @@ the join is an equi join on the natural key with the half-open range
 matches, so the join never fans out.
 
 Skew: one natural key (e.g. the blank-customer sentinel) may own a large
-share of the fact rows.  Keys known to be heavy are split off: their rows are
-joined map-side against a broadcast of just their versions (bounded: the
-heavy-key list is bounded by construction, see ``heavy_keys``), while the
-remaining rows take the ordinary shuffle join.  AQE's skew-join splitting
-remains enabled as a second line of defence for keys that were not known.
+share of the fact rows.  Rows of keys known to be heavy get a salt, as many
+values as the key's share of the rows fills shuffle partitions; the versions
+of those keys are repeated once per salt value and the join runs on (key,
+salt) in one pass.  The salts of all heavy keys add up to at most twice the
+number of partitions (see ``heavy_keys``), whatever the size of the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.config import FIRST_VERSION_FROM, OPEN_VERSION_TO
@@ -24,6 +24,8 @@ from starmart.operators.scd2 import VALID_FROM, VALID_TO
 
 _FROM = "__valid_from"
 _TO = "__valid_to"
+_SALT = "__salt"
+SALTS = "salts"
 
 
 def version_ranges(history: DataFrame, key: str, payload: list[str]) -> DataFrame:
@@ -41,48 +43,36 @@ def version_ranges(history: DataFrame, key: str, payload: list[str]) -> DataFram
 def heavy_keys(df: DataFrame, key: str, weight: str | None = None,
                parts: int = 64) -> DataFrame:
     """Keys holding at least 1/``parts`` of the total weight (rows if
-    ``weight`` is None).  At most ``parts`` keys can qualify, so the result is
-    a bounded, broadcast-safe relation.  Pass an already-aggregated table
-    (e.g. customer metrics with their line counts) to avoid a pass over the
-    facts."""
+    ``weight`` is None), with the number of salt values each is spread over.
+    At most ``parts`` keys can qualify, so the result is a bounded,
+    broadcast-safe relation.  Pass an already-aggregated table (e.g. customer
+    metrics with their line counts) to avoid a pass over the facts."""
     w = F.col(weight) if weight else F.lit(1)
     per_key = df.groupBy(key).agg(F.sum(w).alias("__w"))
     total = per_key.agg(F.sum("__w")).scalar()          # scalar subquery, computed once
-    return per_key.filter(F.col("__w") * parts >= total).select(key)
-
-
-def _range_cond(left: DataFrame, right: DataFrame, key: str, ts: str,
-                rkey: str) -> Column:
-    return ((left[key] == right[rkey])
-            & (left[ts] >= right[_FROM]) & (left[ts] < right[_TO]))
-
-
-MAX_BROADCAST_VERSIONS = 1_000_000   # size check for the heavy keys' version list
+    share = F.col("__w") * parts
+    return per_key.filter(share >= total).select(
+        key, F.ceil(F.try_divide(share, total)).cast("int").alias(SALTS))
 
 
 def join_as_of(left: DataFrame, ranges: DataFrame, key: str, ts: str,
-               payload: list[str], hot: DataFrame | None = None,
-               max_broadcast_versions: int = MAX_BROADCAST_VERSIONS) -> DataFrame:
+               payload: list[str], hot: DataFrame | None = None) -> DataFrame:
     """Left join ``left`` to the version valid at ``left[ts]``; adds ``payload``.
 
-    With ``hot`` keys, their versions are counted first (a tiny job over a
-    bounded relation); above ``max_broadcast_versions`` the split is skipped
-    and the shuffle join with AQE skew handling is used for all rows."""
-    rkey = "__k_" + key
-    r = ranges.select(F.col(key).alias(rkey), *payload, _FROM, _TO)
-    out = [*[left[c] for c in left.columns], *[r[p] for p in payload]]
-
-    def _join(lhs: DataFrame, rhs: DataFrame) -> DataFrame:
-        return lhs.join(rhs, _range_cond(lhs, rhs, key, ts, rkey), "left").select(
-            *[lhs[c] for c in left.columns], *[rhs[p] for p in payload])
-
-    if hot is None:
-        return left.join(r, _range_cond(left, r, key, ts, rkey), "left").select(*out)
-
-    hot_keys = F.broadcast(hot.select(F.col(key).alias(rkey)).distinct())
-    hot_ranges = r.join(hot_keys, rkey, "left_semi")
-    if hot_ranges.count() > max_broadcast_versions:
-        return left.join(r, _range_cond(left, r, key, ts, rkey), "left").select(*out)
-    hot_rows = left.join(hot_keys, left[key] == hot_keys[rkey], "left_semi")
-    cold_rows = left.join(hot_keys, left[key] == hot_keys[rkey], "left_anti")
-    return _join(hot_rows, F.broadcast(hot_ranges)).unionByName(_join(cold_rows, r))
+    ``hot`` is the output of ``heavy_keys``; rows of its keys are salted by a
+    hash of the whole row.  A row whose key is null matches no version."""
+    rkey, rsalt = "__k_" + key, "__r_salt"
+    rows = left.select(*left.columns, F.lit(0).alias(_SALT))
+    r = ranges.select(F.col(key).alias(rkey), *payload, _FROM, _TO, F.lit(0).alias(rsalt))
+    if hot is not None:
+        heavy = F.broadcast(hot.select(F.col(key).alias("__hot"), F.col(SALTS)))
+        salt = F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.col(SALTS))
+        rows = left.join(heavy, left[key] == F.col("__hot"), "left").select(
+            *[left[c] for c in left.columns], F.coalesce(salt, F.lit(0)).cast("int").alias(_SALT))
+        r = r.drop(rsalt).join(heavy, F.col(rkey) == F.col("__hot"), "left").select(
+            rkey, *payload, _FROM, _TO,
+            F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1)).alias(rsalt))
+    match = ((rows[key] == r[rkey]) & (rows[_SALT] == r[rsalt])
+             & (rows[ts] >= r[_FROM]) & (rows[ts] < r[_TO]))
+    return rows.join(r, match, "left").select(*[rows[c] for c in left.columns],
+                                              *[r[p] for p in payload])

@@ -142,8 +142,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
         if target is not None else stg
     # a key is heavy when it would fill more than one shuffle partition on its own
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot_c = heavy_keys(cm, "customer_id", "total_items", parts)
-    hot_p = heavy_keys(rollup, "stock_code", "lines", parts)
+    hot_c = wh.materialize(heavy_keys(cm, "customer_id", "total_items", parts), "hot-customers")
+    hot_p = wh.materialize(heavy_keys(rollup, "stock_code", "lines", parts), "hot-products")
     batch = sales_fact(todo, state.customers.all(), state.products.all(), calendar,
                        hot_c, hot_p)
     if target is not None:

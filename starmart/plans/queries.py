@@ -44,6 +44,21 @@ def q_raw_order_lines(spark, sf_dir):
     return raw_order_lines(spark, sf_dir)
 
 
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    """Raw order lines written as CSV, with quotes, commas and newlines in the
+    description, and read back by the CSV source."""
+    from starmart.session import scratch_path
+    from starmart.sources import read_order_csv
+    from starmart.sources.csv_orders import write_order_csv
+
+    raw = raw_order_lines(spark, sf_dir).withColumn("description", F.concat(
+        "description", F.lit(', "'), "stock_code", F.lit('"\n'), "country"))
+    path = scratch_path(spark, "raw-csv")
+    write_order_csv(raw, path)
+    return read_order_csv(spark, path, AS_OF).drop("_ingested_at")
+
+
 @query("load_validation")
 def q_load_validation(spark, sf_dir):
     return raw_load_profile(raw_order_lines(spark, sf_dir), PipelineConfig().min_load_rows)
@@ -152,8 +167,8 @@ LOAD_CUTS = (
 )
 
 
-def _history(spark, sf_dir, which: str, stg: DataFrame | None = None):
-    """History after the three loads of LOAD_CUTS.  The metrics as of every
+def _history(spark, sf_dir, which: str, stg: DataFrame | None = None, loads=LOAD_CUTS):
+    """History after ``loads`` (the three of LOAD_CUTS).  The metrics as of every
     cut are computed in one pass (each staged line is tagged with the cuts it
     belongs to), written once, and the snapshot batches then run in order."""
     from starmart.plans import build as b
@@ -164,7 +179,7 @@ def _history(spark, sf_dir, which: str, stg: DataFrame | None = None):
     cfg = PipelineConfig()
     cut_ids = F.array(*[
         F.when(F.lit(True) if cut is None else F.col("invoice_date") < ts_lit(cut), F.lit(i))
-        for i, (cut, _) in enumerate(LOAD_CUTS)])
+        for i, (cut, _) in enumerate(loads)])
     tagged = stg.withColumn("__cut", F.explode(F.filter(cut_ids, lambda x: x.isNotNull())))
     by = ("__cut",)
     if which == "customer":
@@ -175,7 +190,7 @@ def _history(spark, sf_dir, which: str, stg: DataFrame | None = None):
         check, key = cfg.product_check_cols, "stock_code"
     per_cut = wh.materialize(src, f"{which}-metrics-by-cut", partition_by=by)
     hist = b.History(key)
-    for i, (_, ts) in enumerate(LOAD_CUTS):
+    for i, (_, ts) in enumerate(loads):
         batch = per_cut.filter(F.col("__cut") == i).drop("__cut")
         hist = b.snapshot_step(wh, hist, batch, check, ts, f"{which}-history")
     return hist
@@ -229,9 +244,32 @@ def q_sales_fact(spark, sf_dir):
     customers = _history(spark, sf_dir, "customer", stg).all()
     products = _history(spark, sf_dir, "product", stg).all()
     calendar = cal.calendar(cal.calendar_bounds(stg))
-    # heavy natural keys (>= 1/64 of the lines) take the map-side join path
-    return fact_output(sales_fact(stg, customers, products, calendar,
-                                  heavy_keys(stg, "customer_id"), heavy_keys(stg, "stock_code")))
+    # heavy natural keys (>= 1/64 of the lines) are salted
+    hot = [b.Warehouse(spark).materialize(heavy_keys(stg, k), f"hot-{k}")
+           for k in ("customer_id", "stock_code")]
+    return fact_output(sales_fact(stg, customers, products, calendar, *hot))
+
+
+@query("fact_versions")
+def q_fact_versions(spark, sf_dir):
+    """The customer and product version each staged line joins to, over
+    histories of the first two loads only: keys first seen later have none."""
+    from starmart.operators.scd2 import SCD_ID
+    from starmart.operators.temporal_join import heavy_keys, join_as_of, version_ranges
+    from starmart.plans import build as b
+
+    wh = b.Warehouse(spark)
+    stg = wh.materialize(staging(spark, sf_dir), "staging")
+    out = stg.select("order_item_id", "customer_id", "stock_code", "invoice_date")
+    for which, key in (("customer", "customer_id"), ("product", "stock_code")):
+        versions = _history(spark, sf_dir, which, stg, LOAD_CUTS[:2]).all()
+        ranges = version_ranges(versions.withColumnRenamed(SCD_ID, f"{which}_version"), key,
+                                [f"{which}_version"])
+        hot = wh.materialize(heavy_keys(stg, key), f"hot-{key}")
+        out = join_as_of(out, ranges, key, "invoice_date", [f"{which}_version"], hot)
+    return out.select("order_item_id",
+                      *[F.coalesce(f"{w}_version", F.lit("-1")).alias(f"{w}_version")
+                        for w in ("customer", "product")])
 
 
 @query("sales_fact_incremental")
@@ -290,6 +328,7 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     rest lazy)."""
     from starmart.operators.fact import sales_fact
     from starmart.operators.scd2 import current_rows, snapshot_check
+    from starmart.operators.temporal_join import heavy_keys
     from starmart.plans import build as b
 
     cfg = PipelineConfig()
@@ -300,6 +339,8 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     cm = wh.materialize(metrics.customer_metrics(stg, cfg, rollup), "customer-metrics")
     pm = wh.materialize(metrics.product_metrics(stg, cfg, rollup), "product-metrics")
     calendar = cal.calendar(cal.calendar_bounds(stg))
+    hot_c = wh.materialize(heavy_keys(cm, "customer_id", "total_items"), "hot-customers")
+    hot_p = wh.materialize(heavy_keys(rollup, "stock_code", "lines"), "hot-products")
     ch = snapshot_check(None, cm.select(*b.CUSTOMER_SNAPSHOT_COLUMNS), "customer_id",
                         cfg.customer_check_cols, AS_OF).open
     ph = snapshot_check(None, pm.select(*b.PRODUCT_SNAPSHOT_COLUMNS), "stock_code",
@@ -314,7 +355,7 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
         "product_history": ph,
         "dim_customers": current_rows(ch, b.CUSTOMER_SNAPSHOT_COLUMNS),
         "dim_products": current_rows(ph, b.PRODUCT_SNAPSHOT_COLUMNS),
-        "fact": sales_fact(stg, ch, ph, calendar),
+        "fact": sales_fact(stg, ch, ph, calendar, hot_c, hot_p),
     }
 
 

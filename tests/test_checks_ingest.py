@@ -83,6 +83,38 @@ def test_validate_and_read_csv(spark):
     assert res.rows == 4 and res.malformed == 1 and w
 
 
+def test_csv_quotes_newlines_and_several_files(spark, tmp_path):
+    header = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+    quoted = 'A1,S1,"5"" CAKE STAND, ""RETRO""",1,2025-01-15 12:00:00,1.50,7,UK'
+    broken = 'A2,S2,"two\nlines",2,2025-01-15 12:00:00,2.50,"",UK'
+    (tmp_path / "a.csv").write_text("\ufeff" + header + "\n" + quoted + "\n\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text(header + "\n" + broken + "\n", encoding="utf-8")
+    res = validate_order_csv(spark, str(tmp_path))
+    assert (res.rows, res.malformed) == (2, 0)
+    got = {r.invoice_no: r for r in read_order_csv(spark, str(tmp_path), AS_OF).collect()}
+    assert got["A1"].description == '5" CAKE STAND, "RETRO"' and got["A1"].quantity == "1"
+    assert got["A2"].description == "two\nlines" and got["A2"].customer_id == ""
+    flat = read_order_csv(spark, str(tmp_path / "a.csv"), AS_OF, multi_line=False).collect()
+    assert [r.description for r in flat] == ['5" CAKE STAND, "RETRO"']
+    (tmp_path / "c.csv").write_text(header.replace("Price", "Cost") + "\n" + quoted + "\n")
+    with pytest.raises(ValueError):
+        validate_order_csv(spark, str(tmp_path))
+
+
+def test_csv_write_and_read_back(spark, tmp_path):
+    from starmart.sources.csv_orders import write_order_csv
+
+    raw = spark.createDataFrame(
+        [("i", "s", t, "1", "2025-01-15", "1.0", c, None)
+         for t, c in (('a "b", c', ""), (" padded ", None), ("x\ny", "7"), (None, "back\\slash"))],
+        "invoice_no string, stock_code string, description string, quantity string, "
+        "invoice_date string, unit_price string, customer_id string, country string")
+    path = str(tmp_path / "out")
+    write_order_csv(raw, path)
+    back = read_order_csv(spark, path, AS_OF).drop("_ingested_at")
+    assert raw.exceptAll(back).count() == 0 and back.count() == 4
+
+
 def test_publish_gate_keeps_old_version(spark):
     good = read_order_csv(spark, _csv(_good(20)), dt.datetime(2025, 1, 16))
     publish(spark, good, "raw_orders_gate", min_rows=5)

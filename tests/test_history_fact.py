@@ -125,13 +125,24 @@ def test_read_declared_refuses_drift(spark, tmp_path):
         read_declared(spark, path, df.withColumn("extra", F.lit(1)).schema)
 
 
-def test_join_as_of_falls_back_when_hot_versions_too_many(spark):
-    facts = spark.createDataFrame([("o1", "c1", T2)], "id string, customer_id string, ts timestamp_ntz")
-    ranges = version_ranges(_history(spark), "customer_id", ["customer_key"])
-    hot = spark.createDataFrame([("c1",)], "customer_id string")
-    got = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"], hot,
-                     max_broadcast_versions=1).collect()
-    assert [(r.id, r.customer_key) for r in got] == [("o1", "K1")]
+def test_join_as_of_salts_a_hot_key_without_losing_or_repeating_rows(spark):
+    day = dt.timedelta(days=1)
+    facts = spark.createDataFrame(
+        [(f"o{i}", "c1", T1 + i * day) for i in range(60)]
+        + [(f"p{i}", "c2", T2 + i * day) for i in range(3)]
+        + [("n1", None, T1), ("n2", "c1", None)],
+        "id string, customer_id string, ts timestamp_ntz")
+    hist = _history(spark).withColumn("customer_key", F.date_format("dbt_valid_from", "MM"))
+    ranges = version_ranges(hist, "customer_id", ["customer_key"])
+    hot = heavy_keys(facts, "customer_id", parts=8)
+    assert {(r.customer_id, r.salts) for r in hot.collect()} == {("c1", 8)}   # ceil(61 * 8 / 65)
+    plain = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"])
+    salted = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"], hot)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+    assert salted.count() == 65 and salted.filter("customer_key IS NULL").count() == 2
+    none = join_as_of(facts.limit(0), ranges, "customer_id", "ts", ["customer_key"],
+                      heavy_keys(facts.limit(0), "customer_id"))
+    assert none.count() == 0
 
 
 def test_run_batch_full_refresh_rebuilds_same_fact(spark):

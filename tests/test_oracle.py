@@ -12,7 +12,7 @@ from .conftest import SMOKE
 FAST = ["raw_order_lines", "load_validation", "source_freshness", "clean_order_lines",
         "safe_cast_matrix", "order_metrics", "customer_metrics", "customer_segments_custom",
         "product_metrics", "product_best_name", "calendar", "check_grain",
-        "daily_metrics", "churn_features", "check_accepted_values", "sales_fact_late_rows",
+        "csv_round_trip", "fact_versions", "daily_metrics", "churn_features", "check_accepted_values", "sales_fact_late_rows",
         # stateful: three loads of history, incremental = full refresh, file stream
         "customer_history", "sales_fact_incremental", "stream_fact_upsert"]
 
