@@ -26,25 +26,41 @@ def _not_return(col: str) -> Column:
 
 def exact_mean_cents(total: Column, n: Column) -> Column:
     """Mean of a cents-valued total over ``n`` items, rounded half up to cents,
-    in exact integer arithmetic: floor((200 * total + n) / (2 * n)) cents."""
+    in exact integer arithmetic: floor((200 * total + n) / (2 * n)) cents; NULL if ``n`` is 0."""
     a = (total.cast("decimal(38,2)") * 200).cast("bigint") + n
-    d = n * 2
-    cents = ((a - F.pmod(a, d)) / d).cast("bigint")
-    return F.when(n > 0, (cents / F.lit(100)).cast("decimal(20,2)").cast("double"))
+    d = F.when(n > 0, n * 2)
+    cents = F.call_function("div", a - F.pmod(a, d), d).cast("decimal(19,0)")
+    return (cents / F.lit(100)).cast("decimal(20,2)").cast("double")
+
+
+def with_distinct_counts(df: DataFrame, keys: tuple[str, ...], sums: list[Column],
+                         distinct: dict[str, str]) -> DataFrame:
+    """``sums`` per ``keys``, and for each name in ``distinct`` the number of
+    distinct non-null values of its column.
+
+    Every distinct count is two plain aggregations of its own, brought together
+    by key: one ``count_distinct`` per column in a single aggregation would make
+    Spark copy each row once per column (Expand) before the shuffle."""
+    out = df.groupBy(*keys).agg(*sums)
+    for name, col in distinct.items():
+        values = df.where(F.col(col).isNotNull()).select(*keys, col).distinct()
+        out = out.unionByName(values.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)),
+                              allowMissingColumns=True)
+    one = [F.max(c).alias(c) for c in out.columns if c not in keys and c not in distinct]
+    return out.groupBy(*keys).agg(*one, *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in distinct])
 
 
 # ------------------------------------------------------------------ daily metrics (M1, M2)
 def daily_metrics(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     days = F.broadcast(calendar.select("date_key", "full_date"))
-    daily = fact.join(days, "date_key").groupBy(F.col("full_date").alias("date_day")).agg(
-        F.count_distinct("order_item_id").alias("order_item_count"),
-        F.count_distinct("invoice_no").alias("order_count"),
+    lines = fact.join(days, "date_key").withColumnRenamed("full_date", "date_day")
+    daily = with_distinct_counts(lines, ("date_day",), [
+        F.count("order_item_id").alias("order_item_count"),     # the fact's key: no two alike
         F.sum(_not_return("revenue")).alias("gross"),
         F.sum("revenue").alias("net"),
         F.sum(F.when(F.col("is_return"), 1).otherwise(0)).alias("return_item_count"),
-        F.count_distinct("customer_key").alias("active_customers"),
-        F.count_distinct("product_key").alias("active_products"),
-    )
+    ], {"order_count": "invoice_no", "active_customers": "customer_key",
+        "active_products": "product_key"})
     # one row per calendar day: the ordered window runs over a bounded series
     w = Window.orderBy("date_day")
     return daily.select(
@@ -73,14 +89,13 @@ def daily_metrics_by_country(fact: DataFrame, calendar: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ churn (M3, M4)
 def churn_features(fact: DataFrame) -> DataFrame:
-    months = fact.groupBy("customer_key", month_start("invoice_date").alias("month")).agg(
-        F.count_distinct("invoice_no").alias("orders_in_month"),
+    lines = fact.withColumn("month", month_start("invoice_date"))
+    months = with_distinct_counts(lines, ("customer_key", "month"), [
         F.sum("quantity").alias("quantity_in_month"),
         F.sum(_not_return("revenue")).alias("gross"),
         F.sum(F.when(F.col("is_return"), 1).otherwise(0)).alias("returns_in_month"),
-        F.count_distinct("product_key").alias("products_in_month"),
-        F.count_distinct("country").alias("countries_in_month"),
-    )
+    ], {"orders_in_month": "invoice_no", "products_in_month": "product_key",
+        "countries_in_month": "country"})
     by_cust = Window.partitionBy("customer_key").orderBy("month")
     prev3 = by_cust.rowsBetween(-3, -1)
     prev_month = F.lag("month", 1).over(by_cust)

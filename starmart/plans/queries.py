@@ -323,9 +323,10 @@ def q_fact_layout(spark, sf_dir):
 
 
 # --------------------------------------------------------------- data-quality checks
-def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    """All ten relations of one build run at AS_OF (staging written once, the
-    rest lazy)."""
+def star_tables(spark, sf_dir, write_fact: bool = False) -> dict[str, DataFrame]:
+    """All ten relations of one build run at AS_OF (staging, rollup and metrics
+    written once, the rest lazy; the fact too is written for queries that read
+    it more than once)."""
     from starmart.operators.fact import sales_fact
     from starmart.operators.scd2 import current_rows, snapshot_check
     from starmart.operators.temporal_join import heavy_keys
@@ -345,6 +346,7 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
                         cfg.customer_check_cols, AS_OF).open
     ph = snapshot_check(None, pm.select(*b.PRODUCT_SNAPSHOT_COLUMNS), "stock_code",
                         cfg.product_check_cols, AS_OF).open
+    fact = sales_fact(stg, ch, ph, calendar, hot_c, hot_p)
     return {
         "staging": stg,
         "order_metrics": metrics.order_metrics(stg, cfg, rollup),
@@ -355,7 +357,7 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
         "product_history": ph,
         "dim_customers": current_rows(ch, b.CUSTOMER_SNAPSHOT_COLUMNS),
         "dim_products": current_rows(ph, b.PRODUCT_SNAPSHOT_COLUMNS),
-        "fact": sales_fact(stg, ch, ph, calendar, hot_c, hot_p),
+        "fact": wh.materialize(fact, "fact") if write_fact else fact,
     }
 
 
@@ -364,7 +366,9 @@ def _checks_query(select):
         from starmart.operators.checks import run_checks
         from starmart.plans.check_ledger import ledger
 
-        return run_checks(star_tables(spark, sf_dir), [c for c in ledger() if select(c)], AS_OF)
+        checks = [c for c in ledger() if select(c)]
+        several = any(c.kind in ("relationships", "unique") for c in checks)
+        return run_checks(star_tables(spark, sf_dir, write_fact=several), checks, AS_OF)
     return run
 
 
@@ -421,7 +425,7 @@ def q_history_depth(spark, sf_dir):
 
 # --------------------------------------------------------------- marts
 def _marts_inputs(spark, sf_dir):
-    t = star_tables(spark, sf_dir)
+    t = star_tables(spark, sf_dir, write_fact=True)
     return t, t["fact"], t["calendar"]
 
 
@@ -544,6 +548,28 @@ def q_check_moving_stdev(spark, sf_dir):
 
 
 # --------------------------------------------------------------- model and stream
+@query("churn_split")
+def q_churn_split(spark, sf_dir):
+    """Rows and churned rows of the training and the test months."""
+    from starmart.operators import marts
+    from starmart.operators.churn import split_profile
+
+    _, fact, _ = _marts_inputs(spark, sf_dir)
+    return split_profile(marts.churn_features(fact).filter("is_churned IN (0, 1)"))
+
+
+@query("churn_training_report")
+def q_churn_training_report(spark, sf_dir):
+    """Held-out metrics of the churned class, row counts and feature importances."""
+    from starmart.operators import marts
+    from starmart.operators.churn import train_churn
+    from starmart.plans import build as b
+
+    _, fact, _ = _marts_inputs(spark, sf_dir)
+    features = b.Warehouse(spark).materialize(marts.churn_features(fact), "churn-features")
+    return train_churn(spark, features)[1]
+
+
 @query("churn_scores")
 def q_churn_scores(spark, sf_dir):
     """Train on the labelled monthly features (time-ordered split) and score

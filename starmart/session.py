@@ -30,7 +30,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
 

@@ -85,3 +85,27 @@ def test_exact_mean_rounds_half_up(spark):
                                "t decimal(10,2), n long")
     got = [r[0] for r in df.select(marts.exact_mean_cents(F.col("t"), F.col("n"))).collect()]
     assert got == [1.01, -1.0, 0.33]
+
+
+def test_distinct_counts_without_expand(spark):
+    rows = [("a", 1, "x", 10), ("a", 1, "x", 5), ("a", 2, None, 1), ("b", None, None, 2), (None, 3, "y", 4)]
+    df = spark.createDataFrame(rows, "k string, o int, p string, v int")
+    out = marts.with_distinct_counts(df, ("k",), [F.sum("v").alias("total")], {"orders": "o", "products": "p"})
+    got = {r.k: (r.total, r.orders, r.products) for r in out.collect()}
+    assert got == {"a": (16, 2, 1), "b": (2, 0, 0), None: (4, 1, 1)}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mean_cents_is_exact_and_null_without_items(spark):
+    df = spark.createDataFrame([("1.00", 3), ("90000000000000.01", 1), ("0.05", 2), ("1.00", 0)], "t string, n long")
+    got = df.select(marts.exact_mean_cents(F.col("t").cast("decimal(20,2)"), F.col("n")).alias("m")).collect()
+    assert [r.m for r in got] == [0.33, 90000000000000.01, 0.03, None]
+
+
+def test_churn_split_counts_both_sides(spark):
+    from starmart.operators.churn import split_profile
+
+    rows = [(dt.datetime(2020, m, 1), int(m % 2)) for m in range(1, 11)]
+    got = split_profile(spark.createDataFrame(rows, "month timestamp_ntz, is_churned int")).collect()[0]
+    assert (got.split_month, got.train_rows, got.train_churned, got.test_rows, got.test_churned) == (
+        dt.datetime(2020, 8, 1), 8, 4, 2, 1)
