@@ -112,8 +112,8 @@ def churn_features(fact: DataFrame) -> DataFrame:
         F.col("products_in_month").cast("bigint").alias("products_in_month"),
         F.col("countries_in_month").cast("bigint").alias("countries_in_month"),
         F.sum("orders_in_month").over(prev3).cast("bigint").alias("orders_prev_3m"),
-        exact_mean_cents(F.sum("gross").over(prev3), F.count("gross").over(prev3))
-        .alias("avg_revenue_prev_3m"),
+        F.try_divide(F.sum("gross").over(prev3).cast("double"),
+                     F.count("gross").over(prev3).cast("double")).alias("avg_revenue_prev_3m"),
         (F.col("gross") - F.lag("gross", 1).over(by_cust)).cast("double")
         .alias("revenue_change_mom"),
         F.when(prev_month.isNotNull(), month_diff(prev_month, F.col("month")))
@@ -190,32 +190,41 @@ Z80 = 1.2815515655446004   # fixed: standard normal quantiles for 80 % / 95 % ba
 Z95 = 1.959963984540054
 
 
-def seasonal_forecast(series: DataFrame, horizon: int = 30, period: int = 7) -> DataFrame:
+EPOCH = dt.date(1970, 1, 1)
+
+
+def seasonal_forecast(series: DataFrame, horizon: int = 30, period: int = 7,
+                      step: str = "day") -> DataFrame:
     """Seasonal-naive forecast per series with residual-stddev bands.
 
-    yhat(last + k) = y(last + k - period * ceil(k / period)) (0 when that day
-    has no row); sigma = sample stddev of y(t) - y(t - period) over the
-    history; the band half-width grows with sqrt(seasons ahead).  Everything
-    is joined/aggregated by series id, so series are processed in parallel."""
-    s = series.select("unique_id", "ds", "y")
-    lagged = s.select("unique_id", F.date_add("ds", period).alias("ds"), F.col("y").alias("y_lag"))
-    resid = s.join(lagged, ["unique_id", "ds"]).select(
-        "unique_id", (F.col("y") - F.col("y_lag")).alias("r"))
-    sigma = resid.groupBy("unique_id").agg(F.stddev_samp("r").alias("sigma"))
-    last = s.groupBy("unique_id").agg(F.max("ds").alias("last_ds"))
-    steps = last.select("unique_id", "last_ds",
-                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k"))
-    seasons = F.ceil(F.col("k") / F.lit(period))
-    steps = steps.select(
-        "unique_id", "k", seasons.alias("m"),
-        F.date_add("last_ds", F.col("k")).alias("ds"),
-        F.date_add("last_ds", (F.col("k") - seasons * period).cast("int")).alias("src_ds"))
-    src = s.select("unique_id", F.col("ds").alias("src_ds"), F.col("y").alias("y_src"))
-    f = steps.join(src, ["unique_id", "src_ds"], "left").join(sigma, "unique_id", "left")
-    yhat = F.coalesce(F.col("y_src"), F.lit(0.0))
-    half = F.col("sigma") * F.sqrt(F.col("m").cast("double"))
+    ``step`` is the distance of two points, "day" or "month" (then ``ds`` is
+    any time of the month; the forecast's is its first day).  yhat of a point
+    is the latest value at a whole number m of periods before it: a missing
+    point falls back to the season before; NULL if no season has it.  sigma =
+    sample stddev of y(t) - y(t - period) over the history; the band half-width
+    grows with sqrt(m).  Everything is joined and aggregated by series id."""
+    if step == "day":
+        at, back = F.datediff("ds", F.lit(EPOCH)), F.date_add(F.lit(EPOCH), F.col("t"))
+    elif step == "month":
+        at = (F.year("ds") - EPOCH.year) * 12 + F.month("ds") - 1
+        back = F.add_months(F.lit(EPOCH), F.col("t"))
+    else:
+        raise ValueError(f"step must be 'day' or 'month', not {step!r}")
+    phase = F.pmod("t", F.lit(period)).alias("phase")
+    s = series.select("unique_id", at.alias("t"), F.col("y").cast("double").alias("y"))
+    lagged = s.select("unique_id", (F.col("t") + period).alias("t"), F.col("y").alias("y_lag"))
+    sigma = s.join(lagged, ["unique_id", "t"]).groupBy("unique_id").agg(
+        F.stddev_samp(F.col("y") - F.col("y_lag")).alias("sigma"))
+    source = s.groupBy("unique_id", phase).agg(
+        F.max_by("y", "t").alias("yhat"), F.max("t").alias("src_t"))
+    steps = s.groupBy("unique_id").agg(F.max("t").alias("last_t")).select(
+        "unique_id", F.explode(F.sequence(F.col("last_t") + 1, F.col("last_t") + horizon)).alias("t"))
+    f = steps.select("*", phase).join(source, ["unique_id", "phase"], "left") \
+        .join(sigma, "unique_id", "left")
+    yhat = F.col("yhat")
+    half = F.col("sigma") * F.sqrt((F.col("t") - F.col("src_t")) / F.lit(float(period)))
     return f.select(
-        "unique_id", "ds", F.lit("SeasonalNaive").alias("model_name"),
+        "unique_id", back.alias("ds"), F.lit("SeasonalNaive").alias("model_name"),
         F.round(yhat, 2).alias("yhat"),
         F.round(yhat - Z80 * half, 2).alias("yhat_lower_80"),
         F.round(yhat + Z80 * half, 2).alias("yhat_upper_80"),
@@ -246,16 +255,15 @@ def forecast_vs_actual(daily: DataFrame, forecasts: DataFrame, as_of: dt.datetim
 
 # ------------------------------------------------------------------ exposures (M10-M13)
 def customer_360(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    per = fact.groupBy("customer_key").agg(
-        F.count_distinct("invoice_no").alias("orders"),
+    lines = fact.withColumn("month", month_start("invoice_date"))
+    per = with_distinct_counts(lines, ("customer_key",), [
         F.count(F.lit(1)).alias("lines"),
         F.sum("revenue").alias("net"),
         F.sum(F.when(F.col("is_return"), 1).otherwise(0)).alias("return_lines"),
         F.sum(F.when(F.col("is_return"), F.col("revenue")).otherwise(F.lit(0))).alias("ret_value"),
         F.min("invoice_date").alias("first_invoice"),
         F.max("invoice_date").alias("last_invoice"),
-        F.count_distinct(month_start("invoice_date")).alias("active_months"),
-    )
+    ], {"orders": "invoice_no", "active_months": "month"})
     c = customers.select("customer_key", "customer_id", "customer_segment")
     j = c.join(per, "customer_key", "left")
     return j.select(

@@ -142,20 +142,23 @@ def product_metrics(lines: DataFrame, cfg: PipelineConfig | None = None,
                     rollup: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     cfg = cfg or PipelineConfig()
     r = rollup if rollup is not None else line_rollup(lines, by)
-    stats = r.groupBy(*by, "stock_code").agg(
-        F.count_distinct("invoice_no").alias("order_count"),
+    totals = [F.sum("net").alias("net"), F.sum("gross").alias("gross"),
+              F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n")]
+    # distinct invoices: one row per (product, invoice) first, then a plain count
+    bills = r.groupBy(*by, "stock_code", "invoice_no").agg(
+        F.sum("qty").alias("qty"), F.sum("returns").alias("returns"),
+        F.min("price_min").alias("price_min"), F.max("price_max").alias("price_max"), *totals)
+    stats = bills.groupBy(*by, "stock_code").agg(
+        F.count(F.lit(1)).alias("order_count"),
         F.sum("qty").alias("total_quantity_sold"),
-        F.sum("net").alias("net"),
-        F.sum("gross").alias("gross"),
         F.sum("returns").alias("return_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         F.min("price_min").alias("min_price"),
-        F.max("price_max").alias("max_price"),
-        F.sum("price_sum").alias("price_sum"),
-        F.sum("price_n").alias("price_n"),
+        F.max("price_max").alias("max_price"), *totals,
     )
+    buyers = r.select(*by, "stock_code", "customer_id").distinct().groupBy(*by, "stock_code").agg(
+        F.count(F.lit(1)).alias("unique_customers"))
     names = best_description(lines, by)
-    p = stats.join(names, [*by, "stock_code"], "left")
+    p = stats.join(buyers, [*by, "stock_code"]).join(names, [*by, "stock_code"], "left")
     # exact mean of the line prices, rounded half up to cents
     avg_cents = F.expr("(price_sum * 200 + price_n) div (price_n * 2)")
     return p.select(

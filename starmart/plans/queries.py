@@ -15,6 +15,7 @@ from starmart.operators import calendar as cal
 from starmart.operators import metrics
 from starmart.operators.staging import clean_order_lines
 from starmart.sources import freshness, raw_load_profile, raw_order_lines, table
+from starmart.sources.driver_tables import arrival_delay, dirty_order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,6 +25,8 @@ AS_OF = dt.datetime(2001, 8, 2, 12, 0, 0)         # "now" for time-relative quer
 CUSTOM_THRESHOLDS = Thresholds(high_value_min_orders=10,
                                high_value_min_revenue=1_500_000.0,
                                medium_value_min_orders=8)
+NO_REVENUE_NEEDED = Thresholds(high_value_min_orders=3, high_value_min_revenue=-1e12,
+                               medium_value_min_orders=2)
 LOAD_DELAY_HOURS = 30                              # raw rows land this long after the order
 
 
@@ -250,10 +253,17 @@ def q_sales_fact(spark, sf_dir):
     return fact_output(sales_fact(stg, customers, products, calendar, *hot))
 
 
+# Two loads so early that some customers and products are not in them.
+EARLY_CUTS = (
+    (dt.date(1995, 4, 1), dt.datetime(1995, 4, 1, 6, 0, 0)),
+    (dt.date(1996, 1, 1), dt.datetime(1996, 1, 1, 6, 0, 0)),
+)
+
+
 @query("fact_versions")
 def q_fact_versions(spark, sf_dir):
     """The customer and product version each staged line joins to, over
-    histories of the first two loads only: keys first seen later have none."""
+    histories of two early loads only: keys first seen later have none."""
     from starmart.operators.scd2 import SCD_ID
     from starmart.operators.temporal_join import heavy_keys, join_as_of, version_ranges
     from starmart.plans import build as b
@@ -262,7 +272,7 @@ def q_fact_versions(spark, sf_dir):
     stg = wh.materialize(staging(spark, sf_dir), "staging")
     out = stg.select("order_item_id", "customer_id", "stock_code", "invoice_date")
     for which, key in (("customer", "customer_id"), ("product", "stock_code")):
-        versions = _history(spark, sf_dir, which, stg, LOAD_CUTS[:2]).all()
+        versions = _history(spark, sf_dir, which, stg, EARLY_CUTS).all()
         ranges = version_ranges(versions.withColumnRenamed(SCD_ID, f"{which}_version"), key,
                                 [f"{which}_version"])
         hot = wh.materialize(heavy_keys(stg, key), f"hot-{key}")
@@ -308,6 +318,22 @@ def q_sales_fact_late_rows(spark, sf_dir):
     return fact_output(marked, ("was_loaded",))
 
 
+@query("late_arrivals")
+def q_late_arrivals(spark, sf_dir):
+    """Lines arrive 0 to 4 days after their order.  The second load holds all
+    that has arrived; of what is new in it, the fact takes the lines at most
+    three days older than its newest line, and later ones stay out."""
+    from starmart.operators.fact import fact_output
+    from starmart.plans import build as b
+
+    raw = raw_order_lines(spark, sf_dir)
+    arrived = F.date_add(F.to_date(F.col("invoice_date").try_cast("timestamp_ntz")), arrival_delay())
+    state = b.BuildState()
+    b.run_batch(spark, raw.filter(arrived < F.lit(LATE_CUT)), dt.datetime(2000, 1, 1, 6), state)
+    b.run_batch(spark, raw, AS_OF, state)
+    return fact_output(b.fact(spark, state))
+
+
 @query("fact_layout")
 def q_fact_layout(spark, sf_dir):
     """Month-partitioned, clustered fact re-compacted into a new location."""
@@ -323,10 +349,12 @@ def q_fact_layout(spark, sf_dir):
 
 
 # --------------------------------------------------------------- data-quality checks
-def star_tables(spark, sf_dir, write_fact: bool = False) -> dict[str, DataFrame]:
-    """All ten relations of one build run at AS_OF (staging, rollup and metrics
-    written once, the rest lazy; the fact too is written for queries that read
-    it more than once)."""
+def star_tables(spark, sf_dir, write_fact: bool = False,
+                raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All ten relations of one build run at AS_OF over ``raw`` (by default the
+    driver tables' order lines); staging, rollup and metrics are written once,
+    the rest is lazy; the fact too is written for queries that read it more
+    than once."""
     from starmart.operators.fact import sales_fact
     from starmart.operators.scd2 import current_rows, snapshot_check
     from starmart.operators.temporal_join import heavy_keys
@@ -334,7 +362,8 @@ def star_tables(spark, sf_dir, write_fact: bool = False) -> dict[str, DataFrame]
 
     cfg = PipelineConfig()
     wh = b.Warehouse(spark)
-    stg = wh.materialize(staging(spark, sf_dir), "staging")
+    lines = staging(spark, sf_dir) if raw is None else clean_order_lines(raw)
+    stg = wh.materialize(lines, "staging")
     rollup = wh.materialize(metrics.line_rollup(stg), "line-rollup")
     # read by several relations (metrics, history, dims, fact): written once
     cm = wh.materialize(metrics.customer_metrics(stg, cfg, rollup), "customer-metrics")
@@ -361,14 +390,15 @@ def star_tables(spark, sf_dir, write_fact: bool = False) -> dict[str, DataFrame]
     }
 
 
-def _checks_query(select):
+def _checks_query(select, source=raw_order_lines):
     def run(spark, sf_dir):
         from starmart.operators.checks import run_checks
         from starmart.plans.check_ledger import ledger
 
         checks = [c for c in ledger() if select(c)]
         several = any(c.kind in ("relationships", "unique") for c in checks)
-        return run_checks(star_tables(spark, sf_dir, write_fact=several), checks, AS_OF)
+        tables = star_tables(spark, sf_dir, several, source(spark, sf_dir))
+        return run_checks(tables, checks, AS_OF)
     return run
 
 
@@ -384,6 +414,27 @@ CHECK_GROUPS = {
 }
 for _name, _sel in CHECK_GROUPS.items():
     REGISTRY[_name] = _checks_query(_sel)
+# the whole ledger over the order lines as they are, and over lines with faults
+REGISTRY["check_all"] = _checks_query(lambda c: True)
+REGISTRY["check_failures"] = _checks_query(lambda c: True, dirty_order_lines)
+
+
+@query("dirty_staging")
+def q_dirty_staging(spark, sf_dir):
+    """Staging of order lines with faults."""
+    return clean_order_lines(dirty_order_lines(spark, sf_dir)) \
+        .withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
+@query("dirty_segment_revenue")
+def q_dirty_segment_revenue(spark, sf_dir):
+    """High-value customers without positive gross revenue: those who only sent
+    goods back, under thresholds that let them in."""
+    from starmart.operators.checks import high_value_negative
+
+    cfg = PipelineConfig(thresholds=NO_REVENUE_NEEDED)
+    lines = clean_order_lines(dirty_order_lines(spark, sf_dir), cfg)
+    return high_value_negative(metrics.customer_metrics(lines, cfg))
 
 
 @query("check_row_parity")
@@ -400,9 +451,7 @@ def q_check_segment_revenue(spark, sf_dir):
     custom thresholds so the high-value segment is populated."""
     from starmart.operators.checks import high_value_negative
 
-    cfg = PipelineConfig(thresholds=Thresholds(high_value_min_orders=3,
-                                               high_value_min_revenue=-1e12,
-                                               medium_value_min_orders=2))
+    cfg = PipelineConfig(thresholds=NO_REVENUE_NEEDED)
     return high_value_negative(metrics.customer_metrics(staging(spark, sf_dir, cfg), cfg))
 
 
@@ -487,6 +536,16 @@ def q_seasonal_forecast(spark, sf_dir):
     return marts.seasonal_forecast(marts.daily_series(_daily(spark, sf_dir), FORECAST_AS_OF))
 
 
+@query("product_forecast")
+def q_product_forecast(spark, sf_dir):
+    """Three months of demand per product, by the same month of earlier years."""
+    from starmart.operators import marts
+
+    t, fact, _ = _marts_inputs(spark, sf_dir)
+    demand = marts.product_demand_series(fact, t["product_history"])
+    return marts.seasonal_forecast(demand, horizon=3, period=12, step="month")
+
+
 @query("forecast_vs_actual")
 def q_forecast_vs_actual(spark, sf_dir):
     from starmart.operators import marts
@@ -547,6 +606,19 @@ def q_check_moving_stdev(spark, sf_dir):
                               group_by=("country",))
 
 
+def _moving_stdev_query(column, **options):
+    def run(spark, sf_dir):
+        from starmart.operators.checks import moving_stdev_check
+
+        return moving_stdev_check(_daily(spark, sf_dir), "date_day", column, AS_OF, **options)
+    return run
+
+
+REGISTRY["check_moving_stdev_log"] = _moving_stdev_query("order_count", take_logs=True)
+REGISTRY["check_moving_stdev_revenue"] = _moving_stdev_query("net_revenue")
+REGISTRY["check_moving_stdev_returns"] = _moving_stdev_query("return_item_count")
+
+
 # --------------------------------------------------------------- model and stream
 @query("churn_split")
 def q_churn_split(spark, sf_dir):

@@ -12,7 +12,7 @@ large scale they become shuffle joins instead of oversized broadcasts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW_COLUMNS = ("invoice_no", "stock_code", "description", "quantity",
@@ -59,3 +59,44 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer.alias("customer_id"),
         F.col("n_name").alias("country"),
     )
+
+
+def dirty_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw order lines, with faults put into rows chosen by their numbers:
+    unparseable and missing dates, future dates, blank codes, zero, missing and
+    text prices, zero, fractional and text quantities, missing descriptions and
+    countries, padded text, customers who only send goods back, and lines that
+    arrive twice with another description."""
+    raw = raw_order_lines(spark, sf_dir)
+    fault = F.pmod(F.col("invoice_no").cast("bigint") * 7 + F.col("stock_code").cast("bigint") * 3,
+                   F.lit(97))
+    only_returns = F.pmod(F.col("customer_id").try_cast("bigint"), F.lit(11)) == 0
+    rows = raw.select(*RAW_COLUMNS, fault.alias("f"), only_returns.alias("back"))
+    quantity = (F.when(F.col("back"), F.concat(F.lit("-"), F.ltrim("quantity", F.lit("-"))))
+                .otherwise(F.col("quantity")))
+    return rows.select(
+        F.when(F.col("f") == 1, "").otherwise(F.col("invoice_no")).alias("invoice_no"),
+        F.when(F.col("f") == 2, F.lit(None)).otherwise(F.col("stock_code")).alias("stock_code"),
+        F.explode(F.when(F.col("f") == 3, F.array(F.lit(None).cast("string")))
+                  .when(F.col("f").between(4, 6), F.array(
+                      F.col("description"), F.concat(F.lit("  "), "description", F.lit(" (spare) "))))
+                  .otherwise(F.array("description"))).alias("description"),
+        F.when(F.col("f") == 7, "0").when(F.col("f") == 8, "2.5")
+        .when(F.col("f") == 9, "many").otherwise(quantity).alias("quantity"),
+        F.when(F.col("f") == 10, F.concat(F.lit("x"), "invoice_date"))
+        .when(F.col("f") == 11, F.lit(None)).when(F.col("f") == 12, "2003-02-03 04:05:06")
+        .otherwise(F.col("invoice_date")).alias("invoice_date"),
+        F.when(F.col("f") == 13, "0").when(F.col("f") == 14, "free")
+        .when(F.col("f") == 15, F.lit(None)).when(F.col("f") == 16, "-1.00")
+        .otherwise(F.col("unit_price")).alias("unit_price"),
+        F.when(F.col("f") == 17, F.lit(None)).when(F.col("f") == 18, "  ")
+        .otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(F.col("f") == 19, F.lit(None)).when(F.col("f") == 20, F.concat(F.lit(" "), "country"))
+        .otherwise(F.col("country")).alias("country"),
+    )
+
+
+def arrival_delay() -> Column:
+    """Days by which an order line arrives late: 0, 2, 3 or 4, by its invoice."""
+    return F.element_at(F.array(*[F.lit(d) for d in (0, 2, 3, 4)]),
+                        (F.pmod(F.col("invoice_no").cast("bigint"), F.lit(4)) + 1).cast("int"))
