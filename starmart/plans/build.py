@@ -7,6 +7,13 @@ Every layer with more than one consumer is *written* to the shared work
 folder (``spark.checkpoint.dir``) and read back: that cuts the lineage (a lost
 executor recomputes from the last written layer, not from the raw files) and
 stops Spark from recomputing staging once per consumer.
+
+The lasting tables are kept in a warehouse folder, one sub-folder per batch:
+``customers`` and ``products`` (history, ``batch=n/__part=open|closed``), ``fact``
+(``batch=n/date_month=m``) and ``state`` (``batch=n``, one row: the batch whose
+files hold each month of the fact).  A batch only adds folders; writing its one
+state row, last, makes all of it current at once.  A run that dies before leaves
+the tables as they were, and the next run writes over its folders.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +30,13 @@ from starmart.config import PipelineConfig
 from starmart.operators import calendar as cal
 from starmart.operators import metrics
 from starmart.operators.fact import (
-    assert_same_schema, keep_latest, lookback_filter, sales_fact,
+    assert_same_schema, keep_latest, lookback_filter, sales_fact, target_max_ts, upsert_by_key,
 )
 from starmart.operators.scd2 import PART, HistoryBatch, current_rows, snapshot_check
 from starmart.operators.staging import clean_order_lines
 from starmart.operators.temporal_join import heavy_keys
 from starmart.session import scratch_path
-from starmart.sources.tables import fact_max_ts, read_fact, upsert_fact
+from starmart.sources.tables import MONTH, batch_months, write_fact
 
 CUSTOMER_SNAPSHOT_COLUMNS = (
     "customer_key", "customer_id", "total_orders", "total_revenue", "gross_revenue",
@@ -78,12 +86,14 @@ class History:
 
 
 def snapshot_step(wh: Warehouse, hist: History, source: DataFrame,
-                  check_cols: tuple[str, ...], batch_ts: dt.datetime, name: str) -> History:
-    """Run one snapshot batch and write its output once, partitioned into the
-    new open part and the newly closed rows (appended to the closed part)."""
+                  check_cols: tuple[str, ...], batch_ts: dt.datetime, name: str,
+                  path: str | None = None) -> History:
+    """Run one snapshot batch and write its output once (to ``path``, or to the
+    work folder), partitioned into the new open part and the newly closed rows
+    (appended to the closed part)."""
     hb: HistoryBatch = snapshot_check(hist.open, source, hist.key, check_cols, batch_ts)
-    path = scratch_path(wh.spark, name)
-    hb.combined.write.partitionBy(PART).parquet(path)
+    path = path or scratch_path(wh.spark, name)
+    hb.combined.write.mode("overwrite").partitionBy(PART).parquet(path)
     written = wh.spark.read.parquet(path)
     new_open = written.filter(F.col(PART) == "open").drop(PART)
     newly_closed = written.filter(F.col(PART) == "closed").drop(PART)
@@ -97,8 +107,49 @@ def snapshot_step(wh: Warehouse, hist: History, source: DataFrame,
 class BuildState:
     customers: History = field(default_factory=lambda: History("customer_id"))
     products: History = field(default_factory=lambda: History("stock_code"))
-    fact_path: str | None = None
-    fact_exists: bool = False
+    root: str | None = None                 # warehouse folder (None: one in the work folder)
+    batch: int = 0                          # last finished batch
+    months: dict[int, int] = field(default_factory=dict)   # fact month -> batch that holds it
+
+    @property
+    def fact_path(self) -> str | None:
+        """Folder of the last fact batch that wrote anything."""
+        return f"{self.root}/fact/batch={max(self.months.values())}" if self.months else None
+
+    @property
+    def fact_exists(self) -> bool:
+        return bool(self.months)
+
+
+STATE_SCHEMA = "batch_ts timestamp_ntz, months map<int,int>"
+
+
+def save_state(spark: SparkSession, state: BuildState, batch_ts: dt.datetime) -> None:
+    """Make the batch current: one row in one file, so it is there or it is not."""
+    spark.createDataFrame([(batch_ts, state.months)], STATE_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{state.root}/state/batch={state.batch}")
+
+
+def load_state(spark: SparkSession, root: str) -> BuildState:
+    """The state after the last finished batch of the warehouse folder ``root``;
+    an empty state if no batch has been finished there."""
+    state = BuildState(root=root.rstrip("/"))
+    try:
+        stored = spark.read.schema(STATE_SCHEMA + ", batch int").parquet(f"{state.root}/state")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return state
+    last = stored.orderBy(F.col("batch").desc()).limit(1).collect()
+    if not last:
+        return state
+    state.batch, state.months = int(last[0]["batch"]), dict(last[0]["months"])
+    for hist, name in ((state.customers, "customers"), (state.products, "products")):
+        stored = spark.read.parquet(f"{state.root}/{name}")
+        part, batch = F.col(PART), F.col("batch")
+        hist.open = stored.filter((part == "open") & (batch == state.batch)).drop(PART, "batch")
+        hist.closed = stored.filter((part == "closed") & (batch <= state.batch)).drop(PART, "batch")
+    return state
 
 
 @dataclass
@@ -114,9 +165,12 @@ class BatchOutputs:
 def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
               state: BuildState, cfg: PipelineConfig | None = None,
               full_refresh: bool = False) -> BatchOutputs:
-    """One daily run over the raw relation loaded so far."""
+    """One daily run over the raw relation loaded so far; its results are stored
+    in ``state.root``, and ``state`` is what ``load_state`` finds there next."""
     cfg = cfg or PipelineConfig()
     wh = Warehouse(spark)
+    state.root = state.root or scratch_path(spark, "warehouse")
+    number = state.batch + 1
     # staging partitioned by invoice month: the look-back read prunes to recent months
     stg = wh.materialize(
         clean_order_lines(raw, cfg).withColumn(STAGING_MONTH, _month_of("invoice_date")),
@@ -130,31 +184,42 @@ def run_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime,
 
     state.customers = snapshot_step(wh, state.customers,
                                     cm.select(*CUSTOMER_SNAPSHOT_COLUMNS),
-                                    cfg.customer_check_cols, batch_ts, "customer-history")
+                                    cfg.customer_check_cols, batch_ts, "customer-history",
+                                    f"{state.root}/customers/batch={number}")
     state.products = snapshot_step(wh, state.products, pm.select(*PRODUCT_SNAPSHOT_COLUMNS),
-                                   cfg.product_check_cols, batch_ts, "product-history")
-
-    if full_refresh or state.fact_path is None:
-        state.fact_path = scratch_path(spark, "fact")
-        state.fact_exists = False
-    target = read_fact(spark, state.fact_path) if state.fact_exists else None
-    todo = lookback_filter(stg, fact_max_ts(spark, state.fact_path), cfg.lookback_days) \
-        if target is not None else stg
+                                   cfg.product_check_cols, batch_ts, "product-history",
+                                   f"{state.root}/products/batch={number}")
+
+    target = fact(spark, state) if state.months and not full_refresh else None
+    # the newest fact row lies in the newest month: only that one is read
+    todo = stg if target is None else lookback_filter(
+        stg, target_max_ts(fact(spark, state, [max(state.months)])), cfg.lookback_days)
     # a key is heavy when it would fill more than one shuffle partition on its own
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     hot_c = wh.materialize(heavy_keys(cm, "customer_id", "total_items", parts), "hot-customers")
     hot_p = wh.materialize(heavy_keys(rollup, "stock_code", "lines", parts), "hot-products")
     batch = sales_fact(todo, state.customers.all(), state.products.all(), calendar,
                        hot_c, hot_p)
-    if target is not None:
+    path = f"{state.root}/fact/batch={number}"
+    if target is None:
+        write_fact(spark, batch, path)
+        written = spark.read.parquet(path).select(MONTH).distinct().collect()  # one row a month
+        months = {r[0]: number for r in written}
+    else:
         # incremental runs only: defensive one-row-per-key pass over the
         # (look-back sized) batch, refuse schema drift, and write the batch
-        # once: the upsert reads it twice (touched months, then the merge)
+        # once: it is read twice (touched months, then the merge)
         batch = keep_latest(batch, "order_item_id")
         assert_same_schema(target, batch)
         batch = wh.materialize(batch, "fact-batch")
-    upsert_fact(spark, state.fact_path, batch, "order_item_id", state.fact_exists)
-    state.fact_exists = True
+        touched = batch_months(batch)
+        if touched:
+            # a key hashes the invoice time, so it lies in one month: the other months stay
+            old = fact(spark, state, touched)
+            write_fact(spark, upsert_by_key(old, batch, "order_item_id"), path)
+        months = state.months | {m: number for m in touched}
+    state.batch, state.months = number, months
+    save_state(spark, state, batch_ts)
     return BatchOutputs(stg, om, cm, pm, calendar, batch)
 
 
@@ -166,10 +231,16 @@ def current_products(state: BuildState) -> DataFrame:
     return current_rows(state.products.all(), PRODUCT_SNAPSHOT_COLUMNS)
 
 
-def fact(spark: SparkSession, state: BuildState) -> DataFrame:
+def fact(spark: SparkSession, state: BuildState, months: list[int] | None = None) -> DataFrame:
+    """The current fact rows (of ``months`` only): of each month the files of the
+    batch that wrote it last, which partition pruning picks."""
     if not state.fact_exists:
         raise ValueError("fact has not been built")
-    return read_fact(spark, state.fact_path)
+    wanted = {m: n for m, n in state.months.items() if months is None or m in months}
+    current = F.lit(False)
+    for n in sorted(set(wanted.values())):
+        current |= (F.col("batch") == n) & F.col(MONTH).isin([m for m in wanted if wanted[m] == n])
+    return spark.read.parquet(f"{state.root}/fact").filter(current).drop(MONTH, "batch")
 
 
 def cut_before(raw_or_lines: DataFrame, cut: dt.date | None, ts_col: str) -> DataFrame:

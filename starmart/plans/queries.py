@@ -226,14 +226,16 @@ def q_current_products(spark, sf_dir):
 
 
 def _incremental_build(spark, sf_dir, loads):
-    """Run the daily build over cumulative raw loads; returns the state."""
+    """Run the daily build over cumulative raw loads, each from the stored
+    tables alone, as a new process would; returns the stored state."""
     from starmart.plans import build as b
+    from starmart.session import scratch_path
 
     raw = raw_order_lines(spark, sf_dir)
-    state = b.BuildState()
+    root = scratch_path(spark, "warehouse")
     for cut, ts in loads:
-        b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, state)
-    return state
+        b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, b.load_state(spark, root))
+    return b.load_state(spark, root)
 
 
 @query("sales_fact")
@@ -320,7 +322,7 @@ def q_sales_fact_late_rows(spark, sf_dir):
 
 @query("late_arrivals")
 def q_late_arrivals(spark, sf_dir):
-    """Lines arrive 0 to 4 days after their order.  The second load holds all
+    """Lines arrive 0 to 30 days after their order.  The second load holds all
     that has arrived; of what is new in it, the fact takes the lines at most
     three days older than its newest line, and later ones stay out."""
     from starmart.operators.fact import fact_output
@@ -390,7 +392,7 @@ def star_tables(spark, sf_dir, write_fact: bool = False,
     }
 
 
-def _checks_query(select, source=raw_order_lines):
+def _checks_query(select, source=raw_order_lines, damage=None):
     def run(spark, sf_dir):
         from starmart.operators.checks import run_checks
         from starmart.plans.check_ledger import ledger
@@ -398,10 +400,33 @@ def _checks_query(select, source=raw_order_lines):
         checks = [c for c in ledger() if select(c)]
         several = any(c.kind in ("relationships", "unique") for c in checks)
         tables = star_tables(spark, sf_dir, several, source(spark, sf_dir))
+        for name, (again, columns) in (damage or {}).items():
+            t = tables[name].withColumns({c: F.expr(e) for c, e in columns.items()})
+            tables[name] = t.unionByName(t.filter(again))
         return run_checks(tables, checks, AS_OF)
     return run
 
 
+# Damage done to built tables so that every kind of check has failures: rows that are
+# there twice, and columns replaced by an expression (plain SQL, used by the oracle too).
+_OTHER_SEGMENT = {"customer_segment": "CASE WHEN total_orders = 7 THEN 'vip' ELSE customer_segment END"}
+_NO_PRICE = {"min_price": "CASE WHEN order_count = 5 THEN 0 ELSE min_price END"}
+DAMAGE = {
+    "staging": ("quantity = 7", {"unit_price": "CASE WHEN quantity = 5 THEN -unit_price ELSE unit_price END"}),
+    "order_metrics": ("line_item_count = 3", {
+        "unique_items": "CASE WHEN line_item_count = 2 THEN 0 ELSE unique_items END"}),
+    "customer_metrics": ("total_orders = 5", _OTHER_SEGMENT),
+    "product_metrics": ("order_count = 9", _NO_PRICE),
+    "dim_customers": ("total_orders = 4", _OTHER_SEGMENT),
+    "dim_products": ("order_count = 8", {"avg_price": "CASE WHEN order_count = 5 THEN NULL ELSE avg_price END"}),
+    "calendar": ("day = 31", {"day_name": "CASE WHEN month = 2 THEN NULL ELSE day_name END"}),
+    "fact": ("quantity = 6", {"customer_key": "CASE WHEN quantity = 4 THEN 'gone' ELSE customer_key END",
+                              "unit_price": "CASE WHEN quantity = 5 THEN 0 ELSE unit_price END"}),
+    "customer_history": ("total_orders = 6", _OTHER_SEGMENT),
+    "product_history": ("order_count = 7", _NO_PRICE),
+}
+
+
 CHECK_GROUPS = {
     "check_not_null": lambda c: c.kind == "not_null",
     "check_unique": lambda c: c.kind == "unique" and not c.where,
@@ -414,9 +439,9 @@ CHECK_GROUPS = {
 }
 for _name, _sel in CHECK_GROUPS.items():
     REGISTRY[_name] = _checks_query(_sel)
-# the whole ledger over the order lines as they are, and over lines with faults
+# the whole ledger over the order lines as they are, and over faulty lines and damaged tables
 REGISTRY["check_all"] = _checks_query(lambda c: True)
-REGISTRY["check_failures"] = _checks_query(lambda c: True, dirty_order_lines)
+REGISTRY["check_failures"] = _checks_query(lambda c: True, dirty_order_lines, DAMAGE)
 
 
 @query("dirty_staging")
@@ -663,7 +688,8 @@ def q_churn_scores(spark, sf_dir):
 @query("stream_fact_upsert")
 def q_stream_fact_upsert(spark, sf_dir):
     """Three raw loads arrive as files; each availableNow run of the stream
-    upserts the fact.  Must equal the full-refresh fact."""
+    starts from the stored tables and upserts the fact.  Must equal the
+    full-refresh fact."""
     from starmart.operators.fact import fact_output
     from starmart.plans import build as b
     from starmart.session import scratch_path
@@ -671,8 +697,7 @@ def q_stream_fact_upsert(spark, sf_dir):
 
     raw = raw_order_lines(spark, sf_dir)
     in_dir, raw_dir, ckpt = (scratch_path(spark, n) for n in ("inbox", "raw", "stream-ckpt"))
-    state = b.BuildState()
-    times: dict[int, dt.datetime] = {}
+    root = scratch_path(spark, "warehouse")
     lower = None
     for cut, ts in LOAD_CUTS:
         load = b.cut_before(raw, cut, "invoice_date")
@@ -681,7 +706,7 @@ def q_stream_fact_upsert(spark, sf_dir):
                                >= ts_lit(lower))
         load.write.mode("append").parquet(in_dir)
         lower = cut
-        q = stream_upsert(spark, in_dir, raw_dir, ckpt, state,
-                          lambda epoch, ts=ts: times.setdefault(epoch, ts))
+        q = stream_upsert(spark, in_dir, raw_dir, ckpt, b.load_state(spark, root),
+                          lambda epoch, ts=ts: ts)
         q.awaitTermination()
-    return fact_output(b.fact(spark, state))
+    return fact_output(b.fact(spark, b.load_state(spark, root)))

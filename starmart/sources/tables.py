@@ -1,14 +1,10 @@
-"""Table sinks: versioned publish with a row gate, and the month-partitioned
-fact with dynamic partition overwrite.
+"""Table sinks: versioned publish with a row gate, and the month-partitioned fact.
 
 * ``publish`` writes a *new* directory, checks it, and only then points the
   catalog table at it (``ALTER TABLE ... SET LOCATION``).  Readers of the old
   version are never disturbed; a failed gate leaves the old version current.
-* The fact lives in one directory partitioned by month.  An incremental run
-  rewrites only the months its batch touches (``partitionOverwriteMode =
-  dynamic``); the merged months are first written to the shared work folder,
-  which cuts the lineage and avoids reading and overwriting one path in the
-  same job.
+* Fact folders are partitioned by month; a batch writes the months it touches
+  into a folder of its own (``plans.build``), never over files that are read.
 """
 
 from __future__ import annotations
@@ -81,10 +77,8 @@ def with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
 
 
-def write_fact(spark: SparkSession, fact: DataFrame, path: str,
-               months: Sequence[int] | None = None) -> None:
-    """Write fact rows month-partitioned and clustered by (date_key,
-    customer_key).  With ``months`` only those partitions are replaced.
+def write_fact(spark: SparkSession, fact: DataFrame, path: str) -> None:
+    """Write fact rows month-partitioned and clustered by (date_key, customer_key).
 
     ``rebalance`` on the month lets AQE cut each month into advisory-size
     pieces (a month holding a large share of the rows is split over many
@@ -92,9 +86,8 @@ def write_fact(spark: SparkSession, fact: DataFrame, path: str,
     each piece is sorted by (date_key, customer_key) for min/max pruning."""
     df = with_month(fact).hint("rebalance", MONTH) \
         .sortWithinPartitions(MONTH, "date_key", "customer_key")
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
-     .partitionBy(MONTH).parquet(path))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy(MONTH).parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str, months: Sequence[int] | None = None) -> DataFrame:
@@ -104,47 +97,12 @@ def read_fact(spark: SparkSession, path: str, months: Sequence[int] | None = Non
     return df.drop(MONTH)
 
 
-def fact_max_ts(spark: SparkSession, path: str, ts_col: str = "invoice_date"):
-    """max(ts_col) of the fact, reading only its newest month partition.
-
-    The month list comes from the file listing the reader needs anyway, so
-    the daily run scans one month of one column instead of the whole fact."""
-    import re
-
-    df = spark.read.parquet(path)
-    months = {int(m.group(1)) for f in df.inputFiles()
-              if (m := re.search(rf"{MONTH}=(\d+)", f))}
-    if not months:
-        return None
-    return df.filter(F.col(MONTH) == max(months)).agg(F.max(ts_col)).collect()[0][0]
-
-
 def batch_months(batch: DataFrame) -> list[int]:
     """Distinct months of a batch (bounded by the calendar months it spans)."""
     rows = with_month(batch).select(MONTH).distinct().collect()
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
-def upsert_fact(spark: SparkSession, path: str, batch: DataFrame, key: str,
-                exists: bool) -> None:
-    """Delete+insert on ``key`` restricted to the months the batch touches.
-
-    A key always maps to one month (the key hashes the invoice timestamp), so
-    rows outside those months can never be affected."""
-    from starmart.operators.fact import upsert_by_key  # local: avoid an import cycle
-
-    if not exists:
-        write_fact(spark, batch, path)
-        return
-    months = batch_months(batch)
-    if not months:
-        return
-    merged = upsert_by_key(read_fact(spark, path, months), batch, key)
-    staged = scratch_path(spark, "fact-merge")
-    with_month(merged).write.parquet(staged)
-    write_fact(spark, spark.read.parquet(staged).drop(MONTH), path, months)
-
-
 def compact_fact(spark: SparkSession, path: str, new_path: str) -> None:
     """Re-cluster the whole fact into a new location (weekly compaction)."""
     write_fact(spark, read_fact(spark, path), new_path)

@@ -166,3 +166,38 @@ def test_run_batch_full_refresh_rebuilds_same_fact(spark):
     assert hist.filter("dbt_valid_to IS NULL").groupBy("customer_id").count() \
         .filter("count > 1").count() == 0
     assert hist.filter("dbt_valid_to IS NOT NULL").count() > 0
+
+
+def test_next_day_runs_from_the_stored_tables(spark, tmp_path):
+    from starmart.plans import build as b
+    from starmart.sources import raw_order_lines
+
+    raw = raw_order_lines(spark, "/root/testdata/sf0.001")
+    root = str(tmp_path / "warehouse")
+    days = ((dt.date(2000, 1, 10), dt.datetime(2000, 1, 10, 6)),
+            (dt.date(2000, 1, 12), dt.datetime(2000, 1, 12, 6)))
+    kept = b.BuildState()
+    for cut, ts in days:
+        b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, kept)
+    assert b.load_state(spark, root).batch == 0
+    cut, ts = days[0]
+    b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, b.load_state(spark, root))
+    before = b.load_state(spark, root)
+    # what a run that died left behind: rows of a batch that no state row makes current
+    b.fact(spark, before).withColumn("date_month", F.lit(200001)).write \
+        .partitionBy("date_month").parquet(f"{root}/fact/batch=2")
+    assert b.fact(spark, b.load_state(spark, root)).count() == b.fact(spark, before).count()
+    cut, ts = days[1]
+    b.run_batch(spark, b.cut_before(raw, cut, "invoice_date"), ts, b.load_state(spark, root))
+    after = b.load_state(spark, root)
+    assert after.batch == 2 and after.months == kept.months
+    # the second batch holds only the months it touched
+    second = spark.read.parquet(f"{root}/fact/batch=2").select("date_month").distinct().collect()
+    assert {r[0] for r in second} == {m for m, n in after.months.items() if n == 2} == {200001}
+    for one, two in ((b.fact(spark, after), b.fact(spark, kept)),
+                     (after.customers.all(), kept.customers.all()),
+                     (after.products.all(), kept.products.all())):
+        two = two.select(*one.columns)
+        assert one.count() == two.count() > 0 and one.exceptAll(two).count() == 0
+    # the state as it was before the second batch still reads the first one's fact
+    assert b.fact(spark, before).filter("invoice_date >= TIMESTAMP_NTZ'2000-01-10'").count() == 0
