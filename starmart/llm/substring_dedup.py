@@ -17,8 +17,9 @@ them would shuffle several times the input, so exact reductions come first:
 Removed windows merge into maximal intervals of words.
 
 Hot passages: the counts are aggregates with a map-side step, and every way back
-is an equi-join whose other side is unique, which adaptive execution splits when
-one hash holds many rows.  No group is gathered but the windows of one document.
+is an equi-join whose other side is unique and written first (an aggregate in the
+join's own stage would keep adaptive execution from splitting it), so that a hash
+that holds many rows is split, or the small side broadcast by its known size.  No group is gathered but the windows of one document.
 Whole texts are shuffled under zstd.
 
 Defined cases: a null text has no words; a text shorter than a window loses
@@ -154,10 +155,12 @@ def removal_windows(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Da
     docs = docs.where("doc_id is not null")
     texts = docs.select("doc_id", "tkey", F.xxhash64("text", F.lit(1)).alias("tkey2"))
     first = texts.groupBy("tkey", "tkey2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    first = materialize(first, "first")
     copies = materialize(texts.join(first, ["tkey", "tkey2"]).where("doc_id > least").select("doc_id", "tkey").distinct(), "copies")
 
     anchors = materialize(docs.select("doc_id", "tkey", "text").mapInArrow(_anchors(window, run), "doc_id long, tkey long, h long"), "anchors")
     shared = anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.min("tkey").alias("a"), F.max("tkey").alias("b")).where("a < b").select("h", "lo")
+    shared = materialize(shared, "shared")
     hits = anchors.join(shared, "h").groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("h", "lo")).alias("hits"))
     hits = hits.join(copies, ["doc_id", "tkey"], "left_anti")
     packed = docs.select("doc_id", "tkey", "text").mapInArrow(pack, "doc_id long, tkey long, packed binary")
@@ -165,11 +168,13 @@ def removal_windows(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Da
         _windows(window, run), "h long, doc_id long, tkey long, leads boolean, pos int, v array<long>"), "windows")
 
     lead = windows.where("leads").groupBy("h").agg(F.flatten(F.collect_list("v")).alias("lead"))
+    lead = materialize(lead, "lead")
     settled = windows.where("not leads").select("h", "doc_id", "tkey", "pos", "v").join(lead, "h").mapInArrow(
         _settle, "doc_id long, tkey long, h long, gone array<int>, rest array<struct<pos:int,v:long>>")
     settled = materialize(settled, "settled")
     rest = settled.where(F.size("rest") > 0).select("doc_id", "tkey", "h", F.explode("rest").alias("r")).select("doc_id", "tkey", "h", "r.v", "r.pos")
     least = rest.groupBy("h", "v").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "v", "lo")
+    least = materialize(least, "least")
     late = rest.join(least, ["h", "v"]).where("doc_id > lo").groupBy("doc_id", "tkey").agg(F.collect_list("pos").alias("gone"))
     gone = settled.where(F.size("gone") > 0).select("doc_id", "tkey", "gone").unionByName(late)
     gone = gone.groupBy("doc_id", "tkey").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("positions"))
