@@ -27,6 +27,8 @@ HEADLINE = [
     "daily_metrics",
     "churn_features",
     "customer_360",
+    "check_relationships",
+    "sales_fact_incremental",
 ]
 
 

@@ -37,6 +37,7 @@ class PipelineConfig:
     row_parity_tolerance: float = 0.001  # fact vs staging row count
     min_load_rows: int = 1000            # ingest gate
 
+    # The columns whose change opens a new version.
     customer_check_cols: tuple[str, ...] = (
         "customer_segment", "total_orders", "total_revenue", "gross_revenue",
         "return_count", "total_items", "total_quantity", "recency_days",

@@ -125,6 +125,7 @@ def churn_features(fact: DataFrame) -> DataFrame:
     )
 
 
+# The columns the churn model reads.
 CHURN_FEATURES = ("orders_in_month", "quantity_in_month", "gross_revenue_in_month",
                   "returns_in_month", "products_in_month", "countries_in_month",
                   "orders_prev_3m", "avg_revenue_prev_3m", "revenue_change_mom",

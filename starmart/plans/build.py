@@ -38,6 +38,7 @@ from starmart.operators.temporal_join import heavy_keys
 from starmart.session import scratch_path
 from starmart.sources.tables import MONTH, batch_months, write_fact
 
+# The columns of the histories.
 CUSTOMER_SNAPSHOT_COLUMNS = (
     "customer_key", "customer_id", "total_orders", "total_revenue", "gross_revenue",
     "return_count", "total_items", "total_quantity", "first_order_date", "last_order_date",

@@ -13,7 +13,7 @@ from starmart.config import PipelineConfig, Thresholds
 from starmart.functions import safe_decimal, safe_int, safe_timestamp, ts_lit
 from starmart.operators import calendar as cal
 from starmart.operators import metrics
-from starmart.operators.staging import clean_order_lines
+from starmart.operators.staging import clean_order_lines, typed_order_lines
 from starmart.sources import freshness, raw_load_profile, raw_order_lines, table
 from starmart.sources.driver_tables import arrival_delay, dirty_order_lines
 
@@ -158,7 +158,8 @@ def q_product_best_name(spark, sf_dir):
 
 @query("calendar")
 def q_calendar(spark, sf_dir):
-    return cal.calendar(cal.calendar_bounds(staging(spark, sf_dir)))
+    # the date is part of the staging grain: its bounds are the same before the dedup
+    return cal.calendar(cal.calendar_bounds(typed_order_lines(raw_order_lines(spark, sf_dir))))
 
 
 # --------------------------------------------------------------- history and fact
