@@ -300,6 +300,39 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def edited_lines(kind: str, share: float, seed: int) -> list[tuple[str, str]]:
+    """Lines of 8 to 80 words and a copy of each with whole words or single characters replaced, up to a share of the characters."""
+    r, out = random.Random(seed), []
+    for i in range(200):
+        a = [r.choice(VOCAB) for _ in range(r.choice((8, 12, 20, 40, 80)))]
+        b, left = list(a), share * len(" ".join(a))
+        if kind == "word":
+            for k in r.sample(range(len(a)), len(a)):
+                if b != a and len(a[k]) > left:
+                    break
+                b[k], left = "".join(r.choice("vwxz") for _ in a[k]), left - len(a[k])
+            out.append((" ".join(a), " ".join(b)))
+        else:
+            c = list(" ".join(a))
+            for k in r.sample([k for k, x in enumerate(c) if x != " "], max(1, int(left))):
+                c[k] = r.choice("vwxz")
+            out.append((" ".join(a), "".join(c)))
+    return out
+
+
+@pytest.mark.parametrize("kind,share,least", [("word", 0, 0.98), ("word", 0.1, 0.98), ("word", 0.19, 0.9), ("character", 0.05, 0.95), ("character", 0.1, 0.75)])
+def test_line_dedup_recall(spark, kind, share, least):
+    pairs = edited_lines(kind, share, 8)
+    data = [(i, t) for i, t in enumerate([a for a, _ in pairs] + [b for _, b in pairs])]
+    texts = [t for _, t in data]
+    label = brute_components(lambda i, j: line_dedup.similar(texts[i], texts[j]), len(texts)) if share == 0 else None
+    want = {i for i, x in enumerate(label) if x != i} if label else {i + len(pairs) for i, (a, b) in enumerate(pairs) if line_dedup.similar(a, b)}
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).where("n_removed = 1").collect()}
+    assert len(want) > 190 and got <= want
+    print(f"line dedup recall: {kind} {share}: {len(got)} of {len(want)}")
+    assert len(got) >= least * len(want)
+
+
 def test_edit_distance():
     r = random.Random(1)
     for _ in range(300):
