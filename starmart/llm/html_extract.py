@@ -6,9 +6,10 @@ aggregated and divided by the number of blocks with that path (text and
 punctuation to path ratios); each block takes its path's ratios, the two
 sequences are smoothed in page order by a Gaussian, fused by their geometric
 mean, and paths whose mean reaches ``LAMBDA`` standard deviations are content
-paths.  The content region is the deepest element that holds most of the
-selected score; inside it blocks of content paths are kept, and so are short
-headings and paragraphs whose own path is too rare to pass, unless mostly links.
+paths.  The content region is the article or main element that holds most of the
+selected score, and the whole page if there is none; inside it blocks of content
+paths are kept, and so are headings and paragraphs whose own path is too rare to
+pass, unless mostly links.
 
 Subtrees whose element or class names say menu, header, footer, sidebar, notice,
 advert, form, comments and the like score nothing and are never kept.  A class
@@ -50,6 +51,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "tt", "u", "var", "wbr", "br", "input", "nobr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BODY_TEXT = HEADINGS | {"p", "blockquote", "pre", "li", "dd", "dt", "td", "th", "figcaption", "caption"}
+ARTICLES = {"article", "main"}
 WRAPS = {"html", "body", "article", "main"} | HEADINGS
 BOILERPLATE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs",
                "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer",
@@ -263,7 +265,9 @@ def extract(page: str | None) -> str:
     mean = np.bincount(which, fused) / count
     content = mean >= LAMBDA * fused.std()
     chosen = content[which] & (plain > 0)
-    # region: from the root down while one child holds most of the selected score
+    fits = [chosen[i] or b.element.tag in BODY_TEXT and b.links < 0.5 * len(b.text) for i, b in enumerate(blocks)]
+    # region: from the root down while one child holds most of the selected score, to an article or main if there is one;
+    # only blocks outside all articles are left behind, and none on a page without any
     total = 0.0
     chains: list[list[Element]] = []
     for i, b in enumerate(blocks):
@@ -277,15 +281,19 @@ def extract(page: str | None) -> str:
             total += gain
             for e in chain:
                 e.score += gain
+    articles = [any(e.tag in ARTICLES for e in c) for c in chains]
     region, depth = chains[0][0], 0
     while total:
         below = {id(c[depth + 1]): c[depth + 1] for c in chains if len(c) > depth + 1 and c[depth] is region}
         best = max(below.values(), key=lambda e: e.score, default=None)
-        if best is None or best.tag in BODY_TEXT or best.score < REGION_SHARE * total:
+        if best is None or best.tag in BODY_TEXT or best.score < REGION_SHARE * total or region.tag in ARTICLES:
+            break
+        beside = [i for i, c in enumerate(chains) if fits[i] and len(c) > depth and c[depth] is region and (len(c) == depth + 1 or c[depth + 1] is not best)]
+        leads = any(len(c) > depth + 1 and c[depth + 1] is best and articles[i] for i, c in enumerate(chains))
+        if any(not leads or articles[i] for i in beside):
             break
         region, depth = best, depth + 1
-    kept = [b.text for i, b in enumerate(blocks) if len(chains[i]) > depth and chains[i][depth] is region
-            and (chosen[i] or b.element.tag in BODY_TEXT and b.links < 0.5 * len(b.text))]
+    kept = [b.text for i, b in enumerate(blocks) if len(chains[i]) > depth and chains[i][depth] is region and fits[i]]
     return "\n".join(kept)
 
 

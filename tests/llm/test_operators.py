@@ -406,3 +406,13 @@ def test_html_extraction(spark):
     got = html_extract.extract_pages(frame).collect()
     assert sorted((r.page_id, r.n_chars) for r in got) == [(1, len(html_extract.extract(page)))] * 2 + [(2, 0)]
     assert html_extract.extract_pages(frame.limit(0)).count() == 0
+
+
+def test_html_title_and_lead_outside_the_body():
+    body = "".join(f"<p>Sentence {i}, with a good deal of text in it. And more.</p>" for i in range(20))
+    for outer in ("article", "main", "div"):
+        page = f"<body><{outer}><h1>Title</h1><p class=lead>The lead, in short.</p><div class=body>{body}</div><section><p>The end, at last.</p></section></{outer}>"
+        got = html_extract.extract(page).split("\n")
+        assert (got[0], got[1], got[-1], len(got)) == ("Title", "The lead, in short.", "The end, at last.", 23)
+    for rest in ("<div><p>A teaser, out of it.</p></div>", "<p>A teaser, out of it.</p>"):
+        assert "teaser" not in html_extract.extract(f"<body><article><h1>Title</h1>{body}</article>{rest}")
