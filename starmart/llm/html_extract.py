@@ -14,7 +14,9 @@ pass, unless mostly links.
 Subtrees whose element or class names say menu, header, footer, sidebar, notice,
 advert, form, comments and the like score nothing and are never kept.  A class
 name or a form that wraps the article itself (contains an article, main or h1
-element) does not count.
+element) does not count, nor does a reader-comment name around the page's first
+of these if no paragraph comes before it; of a class name the whole, the first and the last part are looked at, and
+names of a state (``no-sidebar``, ``comments-open``) say nothing.
 
 Parsing follows how browsers read broken markup: raw-text elements, implied end
 tags, unclosed and stray tags, unquoted or unclosed attributes, comments.
@@ -60,6 +62,9 @@ BOILERPLATE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
                "toolbar", "topbar", "widget", "header"}
 READERS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond"}
+#: first and last parts of class names that speak of a page's state, not of the element
+STATE_FIRST = {"no", "non", "not", "has", "with", "without", "overflow"}
+STATE_LAST = {"open", "opened", "closed", "enabled", "disabled"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu", "menubar", "form"}
 #: an element closes these open elements first
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -69,7 +74,7 @@ SCOPES = {"ul", "ol", "dl", "table", "select", "div", "article", "section", "bod
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)
 |<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>
 |<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)""", re.S | re.X)
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _MARK = re.compile(r"[.,;:!?…、。，！？]")
 
@@ -82,6 +87,7 @@ class Element:
     marked: set[str] = field(default_factory=set)  # class names that say boilerplate
     dropped: bool = False  # for certain
     wraps: bool = False  # contains an article, main or h1
+    holds: bool = False  # contains the page's first of them, no reader's comment and with no paragraph before
     score: float = 0.0
 
     def out(self) -> bool:
@@ -91,7 +97,7 @@ class Element:
         if self.tag in WRAPS:
             return bool(self.marked & READERS) and self.tag == "article"
         if self.marked & READERS:
-            return True
+            return not self.holds
         return bool(self.marked) and not self.wraps
 
 
@@ -103,14 +109,23 @@ class Block:
     links: int
 
 
+def _names(value: str) -> set[str]:
+    """Boilerplate names that a class or id attribute gives: a whole class name, its first or its last part."""
+    out = set()
+    for name in value.split():
+        parts = [x.lower() for x in _NAME.findall(name)]
+        if parts and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST:
+            out |= {parts[0], parts[-1], "".join(parts)} & BOILERPLATE
+    return out
+
+
 def _attributes(tag: str, raw: str) -> tuple[set[str], bool, str]:
     """(boilerplate names, hidden, first class)."""
     marked, hidden, first = set(), False, ""
     for key, value in _ATTR.findall(raw):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            names = {x.lower() for x in _NAME.findall(value)}
-            marked |= names & BOILERPLATE
+            marked |= _names(value)
             if key == "class":
                 first = value.split(" ")[0]
         elif key == "role":
@@ -120,7 +135,7 @@ def _attributes(tag: str, raw: str) -> tuple[set[str], bool, str]:
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif key == "aria-hidden":
             hidden |= value.lower() == "true"
-        elif not value:
+        elif key == "hidden" and not value:
             hidden = True
     return marked, hidden, first
 
@@ -134,6 +149,7 @@ class Reader:
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.links, self.at, self.empty = 0, self.root, True
+        self.found = False
         pos, size = 0, len(page)
         while pos < size:
             m = _TAG.search(page, pos)
@@ -208,8 +224,12 @@ class Reader:
         elif tag == "form":
             e.marked = e.marked | {"form"}
         if tag in ("article", "main", "h1"):
+            first_one = not self.found and not (tag == "article" and marked & READERS) and not any(
+                b.element.tag == "p" and _kept(b.element, False) for b in self.blocks)
+            self.found |= first_one
             for x in self.stack:
                 x.wraps = True
+                x.holds |= first_one
         self.stack.append(e)
 
     def pop(self, tags: set[str], stop: set[str]) -> None:

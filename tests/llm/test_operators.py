@@ -416,3 +416,14 @@ def test_html_title_and_lead_outside_the_body():
         assert (got[0], got[1], got[-1], len(got)) == ("Title", "The lead, in short.", "The end, at last.", 23)
     for rest in ("<div><p>A teaser, out of it.</p></div>", "<p>A teaser, out of it.</p>"):
         assert "teaser" not in html_extract.extract(f"<body><article><h1>Title</h1>{body}</article>{rest}")
+
+
+@pytest.mark.parametrize("outer", ["div class='page comments-open'", "section class='post no-comments'", "div class=comments", "article data-title='The hidden valley'",
+                                   "div title=\"no class='ad' here\"", "div class='no-sidebar has-header overflow-hidden'", "article class='post comments-closed'"])
+def test_html_loose_names(outer):
+    body = "".join(f"<p>Sentence {i}, with a good deal of text in it. And more.</p>" for i in range(5))
+    tag = outer.split(" ")[0]
+    inner = f"<article>{body}</article>" if "comments" in outer and tag != "article" else body
+    got = html_extract.extract(f"<body><{outer}>{inner}</{tag}><div id=comments><article><p>I like it, really. I do.</p></article></div>"
+                               "<div class='site-header'><p>Head, of the site.</p></div><div hidden><p>Not seen, at all.</p></div>")
+    assert got.count("\n") == 4 and got.startswith("Sentence 0")
