@@ -7,9 +7,10 @@ documents: the count of every word, classes, class transitions, emissions.
 Documents are coded in blocks of about 8 MB of text: word codes, and the
 block's own vocabulary as (64-bit word hash, training count).  Spark sums the
 counts of every word over the blocks.  The units that are clustered are words
-with ``MIN_COUNT`` training tokens and a share of at least ``SHARE`` (so at most
-1 / SHARE of them: the bound of what is broadcast) and, for rarer words, seen or
-not, ``ENDINGS`` groups by a hash of their last two characters.
+with at least ``MIN_COUNT`` training tokens and, for rarer words, seen or not,
+``ENDINGS`` groups by a hash of their last two characters.  Hash, count and class
+of the units (17 bytes each) are broadcast; context counts are kept sparse, in
+ranges whose number grows with the vocabulary.
 
 Exchange clustering: units start in classes by frequency rank.  In a sweep every
 block counts, for each unit, the classes of the tokens before and after it;
@@ -53,13 +54,13 @@ from starmart.llm.common import (bounded_batches, hash_words, materialize, split
 CLASSES = 64
 ENDINGS = 1024
 MIN_COUNT = 8
-SHARE = 2e-6
 SWEEPS = 4
 PRIOR = 64.0
 ALPHA = 0.1
 DISCOUNT = 0.5
 BLOCK_BYTES = 8 << 20
-RANGES = 16  # ranges of units, one task each
+RANGE_UNITS = 16384  # units of a range; a range is one task
+PENDING = 1 << 20  # context counts held before they are summed up
 #: the end token's class, after those of the units
 END = CLASSES
 CONTEXTS = END + 1
@@ -153,36 +154,63 @@ def _streams(row: pa.RecordBatch, i: int, of: np.ndarray, classes: np.ndarray) -
     real[last] = False
     unit, klass = np.full(total, -1, np.int32), np.full(total, END, np.int32)
     unit[real] = of.astype(np.int32)[codes]
-    klass[real] = classes.astype(np.int32)[unit[real]]
+    klass[real] = classes[unit[real]]
     train = np.repeat(~_numbers(row, "held", bool, i), np.diff(np.concatenate(([-1], last))))
     return unit, klass, last, train
 
 
-def _count_contexts(sent):
-    """Per task: sparse (range, left and right context counts of units) and the class bigrams."""
+class _Sparse:
+    """Counts by place, summed up as they come: as large as the places seen, not as all units by all classes."""
+
+    def __init__(self):
+        self.at, self.n, self.new, self.size = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+    def add(self, at: np.ndarray) -> None:
+        self.new.append(np.unique(at, return_counts=True))
+        self.size += len(self.new[-1][0])
+        if self.size > PENDING:
+            self.merge()
+
+    def merge(self) -> None:
+        at, n = (np.concatenate(x) for x in zip((self.at, self.n), *self.new))
+        order = np.argsort(at, kind="stable")
+        at, n = at[order], n[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        self.at, self.n = at[first], np.add.reduceat(n, first) if len(first) else n
+        self.new, self.size = [], 0
+
+
+def edges(units: int) -> list[int]:
+    """Bounds of the ranges of units; their number grows with the vocabulary."""
+    ranges = max(16, -(-units // RANGE_UNITS))
+    return [units * k // ranges for k in range(ranges + 1)]
+
+
+def _count_contexts(sent, contexts: bool):
+    """Per task: the class bigrams and, if wanted, sparse (range, left and right context counts of units)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = sent.value
-        size = len(units.classes) * CONTEXTS
-        after, before, pairs = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(CONTEXTS * CONTEXTS, np.int64)
+        after, before, pairs = _Sparse(), _Sparse(), np.zeros(CONTEXTS * CONTEXTS, np.int64)
         for b in batches:
             for i in range(b.num_rows):
                 of = units.find(_numbers(b, "hashes", np.uint64, i), _numbers(b, "ending", np.int32, i))
                 unit, klass, _, train = _streams(b, i, of, units.classes)
                 prev = np.concatenate(([END], klass[:-1]))
                 pairs += np.bincount(prev[train] * CONTEXTS + klass[train], minlength=len(pairs))
-                real = train & (unit >= 0)
-                at = unit[real].astype(np.int64) * CONTEXTS
-                np.add.at(after, at + np.concatenate((klass[1:], [END]))[real], 1)
-                np.add.at(before, at + prev[real], 1)
+                if contexts:
+                    real = train & (unit >= 0)
+                    at = unit[real].astype(np.int64) * CONTEXTS
+                    after.add(at + np.concatenate((klass[1:], [END]))[real])
+                    before.add(at + prev[real])
                 pa.default_memory_pool().release_unused()
         at = np.flatnonzero(pairs)
         rows = [(-1, 0, at.astype(np.int64), pairs[at])]
-        edge = [len(units.classes) * k // RANGES * CONTEXTS for k in range(RANGES + 1)]
+        edge = np.array(edges(len(units.classes)), np.int64) * CONTEXTS
         for side, held in enumerate((after, before)):
-            for k in range(RANGES):
-                at = np.flatnonzero(held[edge[k]:edge[k + 1]])
-                if len(at):
-                    rows.append((k, side, at, held[edge[k] + at]))
+            held.merge()
+            cut = np.searchsorted(held.at, edge)
+            for k in np.flatnonzero(np.diff(cut)).tolist():
+                rows.append((k, side, held.at[cut[k]:cut[k + 1]] - edge[k], held.n[cut[k]:cut[k + 1]]))
         for k, side, at, n in rows:
             gaps = np.diff(at, prepend=0)
             yield pa.RecordBatch.from_pydict({"range": pa.array([k], pa.int32()), "side": pa.array([side], pa.int32()),
@@ -223,14 +251,14 @@ def best_classes(after: np.ndarray, before: np.ndarray, now: np.ndarray, bigrams
 
 def cluster(spark: SparkSession, blocks: DataFrame, hashes: np.ndarray, counts: np.ndarray, sweeps: int = SWEEPS) -> tuple[Units, np.ndarray]:
     """Classes of the units, and the class bigrams under them."""
-    classes = np.empty(len(counts), np.int64)
+    classes = np.empty(len(counts), np.uint8)
     classes[np.argsort(-counts, kind="stable")] = np.arange(len(counts)) % CLASSES
-    edge = [len(counts) * k // RANGES for k in range(RANGES + 1)]
+    edge = edges(len(counts))
     tasks = 2 * spark.sparkContext.defaultParallelism  # each task sends one merged table
     for sweep in count():
         units = Units(hashes, counts, classes)
         sent = spark.sparkContext.broadcast(units)
-        counted = materialize(blocks.select("held", "ends", "codes", "hashes", "ending").coalesce(tasks).mapInArrow(_count_contexts(sent), "range int, side int, at binary, n binary"), "contexts")
+        counted = materialize(blocks.select("held", "ends", "codes", "hashes", "ending").coalesce(tasks).mapInArrow(_count_contexts(sent, sweep < sweeps), "range int, side int, at binary, n binary"), "contexts")
         bigrams = class_bigrams(counted)
         if sweep == sweeps:
             return units, bigrams
@@ -337,12 +365,11 @@ def score_documents(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     words = materialize(words.withColumn("lead", F.col("block") == F.col("lead")), "words")
     once = words.where("lead and c > 0")
     tokens = int(blocks.agg(F.sum("tokens")).first()[0] or 0)
-    floor = max(MIN_COUNT, math.ceil(SHARE * tokens))
-    often = once.where(F.col("c") >= floor).select("h", "c").toPandas()
+    often = once.where(F.col("c") >= MIN_COUNT).select("h", "c").toPandas()
     h, c = often["h"].to_numpy(np.int64).view(np.uint64), often["c"].to_numpy(np.int64)
     order = np.argsort(h)
     seen, mass = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
-    for r in once.where(F.col("c") < floor).groupBy("ending").agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect():
+    for r in once.where(F.col("c") < MIN_COUNT).groupBy("ending").agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect():
         seen[r["ending"]], mass[r["ending"]] = r["n"], r["c"]
     units, bigrams = cluster(spark, blocks, h[order], np.concatenate((c[order], mass)), sweeps)
     ends = tokens - int(c.sum() + mass.sum())

@@ -427,3 +427,15 @@ def test_html_loose_names(outer):
     got = html_extract.extract(f"<body><{outer}>{inner}</{tag}><div id=comments><article><p>I like it, really. I do.</p></article></div>"
                                "<div class='site-header'><p>Head, of the site.</p></div><div hidden><p>Not seen, at all.</p></div>")
     assert got.count("\n") == 4 and got.startswith("Sentence 0")
+
+
+def test_brown_clusters_every_frequent_word(spark, monkeypatch):
+    often = [f"word{chr(97 + i % 26)}{i}" for i in range(40)]
+    filler = " ".join(["the"] * 250_000)  # 8 of 4.5 million tokens are a share below 2e-6
+    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    data = [(train[0], " ".join(often * 8))] + [(i, filler) for i in train[1:19]]
+    seen, cluster = [], brown.cluster
+    monkeypatch.setattr(brown, "cluster", lambda spark, blocks, h, counts, *a: seen.append((len(h), len(counts))) or cluster(spark, blocks, h, counts, *a))
+    got = brown.score_documents(spark.createDataFrame(data, "doc_id long, text string"), sweeps=1).collect()
+    assert len(got) == len(data) and got[0].train_tokens > 4_000_000
+    assert seen == [(41, 41 + brown.ENDINGS)]
