@@ -22,9 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, limit: int = ARROW_BATCH_BYTES) -> None:
     """Bound Arrow batches by bytes as well as by rows, so that long texts cannot fill a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import (brown, decontam, fingerprints, html_extract, langid, line_dedup, mixing,
+from starmart.llm import (brown, decontam, fingerprints, html_extract, langid, line_dedup, mixing, packing,
                           substring_dedup, token_store, vptree)
 from starmart.llm.common import table
 
@@ -89,10 +89,16 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_source_mixing, op3_token_output, op4_brown_scoring, op5_substring_dedup, op6_line_dedup,
-        op7_simhash_fingerprints, op8_language_id, op9_decontamination, op10_simhash_near_dedup)
+        op7_simhash_fingerprints, op8_language_id, op9_decontamination, op10_simhash_near_dedup,
+        op11_mixture_packing)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,9 @@ from starmart.session import scratch_path
 END_ID = 1
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+#: text encoded at once, and Arrow batch, in bytes
+BATCH_BYTES = 4 << 20
 SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 WRITER = {
     "parquet.block.size": str(ROW_GROUP_BYTES),
@@ -54,85 +57,83 @@ WRITER = {
     "compression": "zstd",
 }
 #: Trailing ASCII marks that the pre-tokenizer always parts from a word (no apostrophe, no angle brackets or bars).
-_MARKS = re.compile(rb"[.,!?;:$%&*#()]+$")
+MARKS = ".,!?;:$%&*#()"
+#: Lower-case words of letters below U+0250: one run for the pre-tokenizer, unchanged by the normaliser.
+_PLAIN = re.compile("[a-zß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĵķĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżž]+").fullmatch
+#: The byte-level alphabet as a rule: printable Latin-1 bytes stand for themselves, the others for 256, 257, ... in order.
+_ALPHABET = dict(zip((b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)), range(256, 512)))
 _held: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Ids of white-space separated chunks, through a cache of words."""
+    """Ids of white-space separated chunks, through a cache of words in two generations (the older one is dropped when the newer is full)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
-        self.cache: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode words that the cache lacks: plain words in one call, parted at their word ends; others one by one."""
-        plain, other = [], []
-        for w in dict.fromkeys(words):
-            t = w.decode()
-            simple = t.isalpha() and all(c < "\u0250" and c != "\u0130" for c in t)
-            (plain if simple else other).append((w, t))
-        for i in range(0, len(plain), 20_000):
-            some = plain[i:i + 20_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(t for _, t in some)], add_special_tokens=False)[0].ids, np.int32)
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) != len(some):
-                other += some
-                continue
-            lo = 0
-            for (w, _), hi in zip(some, cut.tolist()):
-                self.cache[w] = ids[lo:hi].tobytes()
-                lo = hi
-        if other:
-            for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
-                self.cache[w] = np.array(e.ids, np.int32).tobytes()
-
-    def chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids (int32 bytes) of each chunk."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        parts = []
-        for c in chunks:
-            if b"<" in c or b"|" in c:  # may hold a special token: as it is
-                parts.append((c, b""))
-                continue
-            c = c.lower()  # ASCII only; the normaliser lower-cases everything
-            m = _MARKS.search(c)
-            if m and m.start() and c[:m.start()].decode()[-1].isalnum():
-                parts.append((c[:m.start()], m.group()))
-            else:
-                parts.append((c, b""))
-        cache = self.cache
-        self.learn([x for p in parts for x in p if x and x not in cache])
-        return [cache[a] + cache[b] if b else cache[a] for a, b in parts]
-
-    def texts(self, text: pa.Array, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each ended by END_ID; counts)."""
+        self.model = self.tokenizer.model
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids (int32 bytes) of each word."""
+        new, old = self.new, self.old
+        out = list(map(new.get, words))
+        todo = [i for i, x in enumerate(out) if x is None]
+        other, at = [], []
+        for i in todo:
+            w = words[i]
+            got = old.get(w)
+            if got is None:
+                if not _PLAIN(w):
+                    other.append(w)
+                    at.append(i)
+                    continue
+                got = array("i", [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(_ALPHABET))]).tobytes()
+            out[i] = new[w] = got
+        for i, w, e in zip(at, other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else ()):
+            out[i] = new[w] = np.array(e.ids, np.int32).tobytes()
+        if len(new) > CACHE_WORDS:
+            self.old, self.new = new, {}
+        return out
+
+    def chunks(self, chunks: pa.Array) -> list[bytes]:
+        """Ids (int32 bytes) of each distinct chunk: a word and the marks that end it are looked up apart."""
+        special = pc.match_substring_regex(chunks, r"[<|]")  # may hold a special token: as it is
+        low = pc.ascii_lower(chunks)
+        core = pc.utf8_rtrim(low, MARKS)
+        parted = pc.and_(pc.match_substring_regex(core, r"[\p{L}\p{N}]$"), pc.invert(special))
+        core = pc.if_else(parted, core, pc.if_else(special, chunks, low))
+        coded = core.dictionary_encode()
+        ids = self.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        out = [ids[i] for i in coded.indices.to_numpy().tolist()]
+        cut = pc.binary_length(core).to_numpy()
+        tail = np.flatnonzero(pc.binary_length(chunks).to_numpy() > cut)
+        ends = [c.encode()[k:].decode() for c, k in zip(chunks.take(pa.array(tail)).to_numpy(zero_copy_only=False), cut[tail].tolist())]
+        for i, x in zip(tail.tolist(), self.words(ends)):
+            out[i] += x
+        return out
+
+    def texts(self, text: pa.Array, whole: bool, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each ended by ``end_id``; counts)."""
         if whole:
-            got = [np.array(e.ids + [END_ID], np.int32) for e in self.tokenizer.encode_batch_fast(
+            got = [np.array(e.ids + [end_id], np.int32) for e in self.tokenizer.encode_batch_fast(
                 [t or "" for t in text.to_pylist()], add_special_tokens=False)]
             return (np.concatenate(got) if got else np.empty(0, np.int32)), np.array([len(x) for x in got], np.int64)
         lists = pc.ascii_split_whitespace(pc.fill_null(text, ""))
         coded = lists.flatten().dictionary_encode()
         codes, ends = coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
-        ids = self.chunks([w for w in words if w])
-        table = iter(ids)
-        each = [next(table) if w else b"" for w in words]
-        size = np.fromiter((len(x) // 4 for x in each), np.int64, len(each))
+        each = self.chunks(coded.dictionary)
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         flat = np.frombuffer(b"".join(each), np.int32)
         start = np.cumsum(size) - size
         n = size[codes]
         total = np.concatenate(([0], np.cumsum(n)))
         count = total[ends[1:]] - total[ends[:-1]]
         at = np.arange(total[-1]) - np.repeat(total[:-1] - start[codes], n)
-        out = np.full(total[-1] + len(count), END_ID, np.int32)
+        out = np.full(total[-1] + len(count), end_id, np.int32)
         gap = np.ones(len(out), bool)
         gap[np.cumsum(count + 1) - 1] = False
         out[gap] = flat[at]
@@ -153,7 +154,7 @@ def _encode(path: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, offset = encoder(path), 0
         for b in batches:
-            for lo, hi in text_slices(b.column("text"), 4 << 20):
+            for lo, hi in text_slices(b.column("text"), BATCH_BYTES):
                 ids, count = enc.texts(b.column("text").slice(lo, hi - lo), whole)
                 at = np.concatenate(([0], np.cumsum(count)))
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
@@ -167,7 +168,7 @@ def _encode(path: str, whole: bool):
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, doc_col: str = "doc_id", text_col: str = "text",
                  whole: bool = False, partitions: int | None = None) -> None:
     """Encode all rows and write them to ``path`` in ascending doc_id order."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
