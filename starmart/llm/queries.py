@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import (brown, decontam, fingerprints, html_extract, langid, line_dedup, mixing, packing,
+from starmart.llm import (brown, collocations, decontam, fingerprints, html_extract, langid, line_dedup, mixing, packing,
                           substring_dedup, token_store, vptree)
 from starmart.llm.common import table
 
@@ -94,11 +94,15 @@ def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_source_mixing, op3_token_output, op4_brown_scoring, op5_substring_dedup, op6_line_dedup,
         op7_simhash_fingerprints, op8_language_id, op9_decontamination, op10_simhash_near_dedup,
-        op11_mixture_packing)
+        op11_mixture_packing, op12_phrase_collocations)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -142,5 +146,23 @@ sh AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS g
 item AS (SELECT id AS item_id, g, count(*) OVER (PARTITION BY id) AS size FROM sh WHERE kind = 'i')
 SELECT d.id AS doc_id, item_id, count(*)::BIGINT AS shared, any_value(size)::BIGINT AS size, count(*)::DOUBLE / any_value(size) AS containment
 FROM item JOIN sh d ON d.kind = 'd' AND d.g = item.g GROUP BY d.id, item_id HAVING count(*) >= 0.8 * any_value(size)
+""",
+    "op12_phrase_collocations": rf"""
+WITH piece AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS x FROM documents)),
+place AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM piece WHERE len(w) > 0),
+f AS (SELECT lang, k, w[i:i + k - 1] AS ph, count(*) AS f FROM place, (VALUES (1), (2), (3), (4)) AS t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT c.lang, c.ph, c.f, c.j, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS s
+        FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM c) c
+        JOIN f l ON l.lang = c.lang AND l.ph = c.ph[1:c.j] JOIN f r ON r.lang = c.lang AND r.ph = c.ph[c.j + 1:c.k]),
+worst AS (SELECT lang, ph, f, l, r, s FROM cut QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY s, j) = 1),
+part AS (SELECT DISTINCT lang, ph[i:i + m - 1] AS ph, f FROM (
+  SELECT lang, ph, f, m, unnest(generate_series(1, k - m + 1)) AS i FROM c, (VALUES (2), (3)) AS t(m) WHERE m < k)),
+kept AS (SELECT * FROM worst w WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.lang = w.lang AND p.ph = w.ph AND 100::HUGEINT * p.f >= 80::HUGEINT * w.f)),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY s DESC, f DESC, array_to_string(ph, ' '))::BIGINT AS rank,
+  array_to_string(ph, ' ') AS phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, s::BIGINT AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """,
 }
