@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import (brown, collocations, decontam, fingerprints, html_extract, langid, line_dedup, mixing, packing,
-                          substring_dedup, token_store, vptree)
+                          substring_dedup, token_align, token_store, vptree)
 from starmart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,11 +98,16 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return token_align.align(table(spark, sf_dir, "documents"), *files)[0]
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_source_mixing, op3_token_output, op4_brown_scoring, op5_substring_dedup, op6_line_dedup,
         op7_simhash_fingerprints, op8_language_id, op9_decontamination, op10_simhash_near_dedup,
-        op11_mixture_packing, op12_phrase_collocations)
+        op11_mixture_packing, op12_phrase_collocations, op13_token_alignment)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
