@@ -1,16 +1,21 @@
 """Point-in-time (as-of) join of facts to type-2 history.
 
-Spark has no native as-of join; the history ranges per key are disjoint, so
-the join is an equi join on the natural key with the half-open range
-``valid_from <= ts < valid_to`` as a residual condition.  At most one version
-matches, so the join never fans out.
+Spark has no native as-of join, and an equi join on the key with the validity
+range as a residual compares each fact with every version of its key.  Facts
+and versions are merged instead: both are laid in one relation, dealt by key,
+sorted by time (a version before a fact of the same instant), and each fact
+takes the last version that started (a running ``last`` that ignores nulls).
+The ranges of a key are disjoint, so that version is the only candidate; it
+matches if it is still valid.  One shuffle and one sort of facts and versions,
+nothing that grows with the number of versions of a key, and no fan-out.
 
 Skew: one natural key (e.g. the blank-customer sentinel) may own a large
 share of the fact rows.  Rows of keys known to be heavy get a salt, as many
 values as the key's share of the rows fills shuffle partitions; the versions
-of those keys are repeated once per salt value and the join runs on (key,
-salt) in one pass.  The salts of all heavy keys add up to at most twice the
-number of partitions (see ``heavy_keys``), whatever the size of the data.
+of those keys are repeated once per salt value.  The salts of all heavy keys
+add up to at most twice the number of partitions (see ``heavy_keys``),
+whatever the size of the data.  Facts without a key match nothing and are
+dealt by a hash of the row.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from starmart.operators.scd2 import VALID_FROM, VALID_TO
 _FROM = "__valid_from"
 _TO = "__valid_to"
 _SALT = "__salt"
+_ROW, _VERSION, _KEY, _AT = "__row", "__version", "__key", "__at"
+NULL_KEY_SALTS = 1 << 16
 SALTS = "salts"
 
 
@@ -61,18 +68,27 @@ def join_as_of(left: DataFrame, ranges: DataFrame, key: str, ts: str,
 
     ``hot`` is the output of ``heavy_keys``; rows of its keys are salted by a
     hash of the whole row.  A row whose key is null matches no version."""
-    rkey, rsalt = "__k_" + key, "__r_salt"
-    rows = left.select(*left.columns, F.lit(0).alias(_SALT))
-    r = ranges.select(F.col(key).alias(rkey), *payload, _FROM, _TO, F.lit(0).alias(rsalt))
-    if hot is not None:
-        heavy = F.broadcast(hot.select(F.col(key).alias("__hot"), F.col(SALTS)))
-        salt = F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.col(SALTS))
+    whole = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salt = F.when(F.col(f"`{key}`").isNull(), F.pmod(spread, F.lit(NULL_KEY_SALTS)))
+    versions = ranges.where(F.col(key).isNotNull()).select(
+        F.col(key).alias(_KEY), F.col(_FROM).alias(_AT), F.struct(_TO, *payload).alias(_VERSION))
+    if hot is None:
+        rows = left.select(whole.alias(_ROW), F.col(f"`{key}`").alias(_KEY), F.col(f"`{ts}`").alias(_AT),
+                           F.coalesce(salt, F.lit(0)).cast("long").alias(_SALT))
+        versions = versions.withColumn(_SALT, F.lit(0).cast("long"))
+    else:
+        heavy = F.broadcast(hot.select(F.col(key).alias("__hot"), F.col(SALTS).alias("__salts")))
         rows = left.join(heavy, left[key] == F.col("__hot"), "left").select(
-            *[left[c] for c in left.columns], F.coalesce(salt, F.lit(0)).cast("int").alias(_SALT))
-        r = r.drop(rsalt).join(heavy, F.col(rkey) == F.col("__hot"), "left").select(
-            rkey, *payload, _FROM, _TO,
-            F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1)).alias(rsalt))
-    match = ((rows[key] == r[rkey]) & (rows[_SALT] == r[rsalt])
-             & (rows[ts] >= r[_FROM]) & (rows[ts] < r[_TO]))
-    return rows.join(r, match, "left").select(*[rows[c] for c in left.columns],
-                                              *[r[p] for p in payload])
+            whole.alias(_ROW), F.col(f"`{key}`").alias(_KEY), F.col(f"`{ts}`").alias(_AT),
+            F.coalesce(salt, F.pmod(spread, F.col("__salts")), F.lit(0)).cast("long").alias(_SALT))
+        versions = versions.join(heavy, F.col(_KEY) == F.col("__hot"), "left").select(
+            _KEY, _AT, _VERSION,
+            F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)).alias(_SALT))
+    merged = versions.unionByName(rows, allowMissingColumns=True)
+    # versions have no row: nulls first puts a version before the facts of its instant
+    started = Window.partitionBy(_KEY, _SALT).orderBy(F.col(_AT).asc_nulls_first(), F.col(_ROW).isNotNull()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = merged.withColumn(_VERSION, F.last(_VERSION, ignorenulls=True).over(started)).where(F.col(_ROW).isNotNull())
+    valid = F.col(_AT) < F.col(f"{_VERSION}.{_TO}")
+    return found.select(f"{_ROW}.*", *[F.when(valid, F.col(f"{_VERSION}.`{p}`")).alias(p) for p in payload])

@@ -201,3 +201,27 @@ def test_next_day_runs_from_the_stored_tables(spark, tmp_path):
         assert one.count() == two.count() > 0 and one.exceptAll(two).count() == 0
     # the state as it was before the second batch still reads the first one's fact
     assert b.fact(spark, before).filter("invoice_date >= TIMESTAMP_NTZ'2000-01-10'").count() == 0
+
+
+def test_join_as_of_compares_no_fact_with_every_version(spark):
+    """1,000 versions of the hot key, gaps included: the plan holds no join on the key, and each
+    fact meets one version (a residual-range join would meet 1,000)."""
+    hour = dt.timedelta(hours=1)
+    history = [("c1", f"v{i}", T1 + i * hour, T1 + (i + (0.5 if i % 10 == 3 else 1)) * hour) for i in range(1000)] \
+        + [("c2", "w", T1, None)]
+    hist = spark.createDataFrame(history, "customer_id string, customer_key string, dbt_valid_from timestamp_ntz, "
+                                          "dbt_valid_to timestamp_ntz")
+    facts = [(i, "c1", T1 + dt.timedelta(minutes=20 * i - 60)) for i in range(3100)] + [(5000, "c2", T2)]
+    rows = spark.createDataFrame(facts, "id int, customer_id string, ts timestamp_ntz")
+    ranges = version_ranges(hist, "customer_id", ["customer_key"])
+    hot = heavy_keys(rows, "customer_id", parts=4)
+    for heavy in (None, hot):
+        out = join_as_of(rows, ranges, "customer_id", "ts", ["customer_key"], heavy)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert all("__hot" in line for line in joins) and "Window" in plan
+        got = {r.id: r.customer_key for r in out.collect()}
+        want = {}
+        for i, k, ts in facts:
+            want[i] = next((v for c, v, lo, hi in history if c == k and (lo <= ts or v in ("v0", "w")) and (hi is None or ts < hi)), None)
+        assert got == want and sum(v is None for v in want.values()) > 100
