@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ from starmart.session import scratch_path
 SLICE_BYTES = 8 << 20
 #: Bytes of one Arrow batch sent to a Python worker (rows can be 100 KB and more).
 ARROW_BATCH_BYTES = 16 << 20
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +51,13 @@ def text_slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
+def release() -> None:
+    """Give memory freed by the last slice back: Arrow's pool and the C heap keep it otherwise, and workers are reused."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def split_words(text: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text (null: none), optionally with A-Z lower-cased.
 

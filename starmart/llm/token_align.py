@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -34,11 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, materialize, squeeze, text_slices, unsqueeze
+from starmart.llm.common import bounded_batches, materialize, release, squeeze, text_slices, unsqueeze
 
 LANE_BYTES = 512
 #: text of one block, in bytes
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 #: rows of a block by code: -2 its links, -1 a document, 0 and more a pair of ids
 BLOCKS = ("block long, code int, a int, b int, n_docs long, number int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
@@ -144,7 +145,7 @@ def lockstep(end_a: np.ndarray, count_a: np.ndarray, end_b: np.ndarray, count_b:
     step = np.arange(len(doc)) - np.repeat(_bounds(lanes)[:-1], lanes)
     at = begin[doc] + step * lane_bytes
     stop = np.minimum(at + lane_bytes, begin[doc + 1])
-    a, b = np.searchsorted(end_a, at, side="right"), np.searchsorted(end_b, at, side="right")
+    a, b = (np.searchsorted(e, at, side="right").astype(np.int32) for e in (end_a, end_b))
     start_a, start_b = np.concatenate(([0], end_a)), np.concatenate(([0], end_b))
     # a link belongs to the lane in which it begins: one that began before is the last lane's
     early = np.maximum(start_a[a], start_b[b]) < at if len(at) else np.empty(0, bool)
@@ -168,7 +169,7 @@ def lockstep(end_a: np.ndarray, count_a: np.ndarray, end_b: np.ndarray, count_b:
         a, b = a + (ends_a <= ends_b), b + (ends_b <= ends_a)
         if not live.all():
             a, b, stop = a[live], b[live], stop[live]
-    none = np.empty(0, np.int64)
+    none = np.empty(0, np.int32)
     return tuple(np.concatenate(x) if x else none for x in (links_a, links_b, cuts_a, cuts_b))
 
 
@@ -200,6 +201,7 @@ def digests(ids_a: np.ndarray, count_a: np.ndarray, ids_b: np.ndarray, count_b:
     return groups, out
 
 
+@cache
 def _names(n: int, inner: str, last: str) -> pa.Array:
     return pa.array([f"{i}{mark}" for i in range(n) for mark in (inner, last)], pa.binary())
 
@@ -239,7 +241,7 @@ def _align(byte_file: str, piece_file: str, lane_bytes: int):
                 number += 1
                 yield from _block_rows(block, batch.column("doc_id").slice(lo, hi - lo), pairs, width, n_docs, place, count_a, count_b, groups,
                                        np.bincount(doc, minlength=len(size)), digest, bound, code, times.astype(np.int32))
-                pa.default_memory_pool().release_unused()
+                release()
 
     return run
 

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, text_slices
+from starmart.llm.common import bounded_batches, release, text_slices
 from starmart.session import scratch_path
 
 END_ID = 1
@@ -161,6 +161,7 @@ def _encode(path: str, whole: bool):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("part").slice(lo, hi - lo),
                                                   pa.array(offset + at[:-1]), pa.array(count), lists], schema=kind)
                 offset += int(at[-1])
+                release()
 
     return run
 
