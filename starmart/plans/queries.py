@@ -285,15 +285,68 @@ def q_fact_versions(spark, sf_dir):
                         for w in ("customer", "product")])
 
 
+def _delta_batches(spark, raw, loads):
+    """Warehouse folder after applying the lines of each load, each batch from
+    the stored snapshot alone, as a new process would."""
+    from starmart.plans import incremental as inc
+    from starmart.session import scratch_path
+
+    root = scratch_path(spark, "warehouse")
+    day = F.col("invoice_date").try_cast("timestamp_ntz")
+    for lo, hi, ts in loads:
+        part = raw if lo is None else raw.filter(day >= ts_lit(lo))
+        inc.apply_batch(spark, part if hi is None else part.filter(day < ts_lit(hi)), ts, root)
+    return root
+
+
 @query("sales_fact_incremental")
 def q_sales_fact_incremental(spark, sf_dir):
-    """Three cumulative loads plus a repeated last load (idempotence);
-    must equal the full-refresh fact."""
+    """Three loads, each of the lines since the last one, and the last one sent
+    again (idempotence); must equal the full-refresh fact."""
     from starmart.operators.fact import fact_output
-    from starmart.plans import build as b
+    from starmart.plans import incremental as inc
+
+    cuts = [None, *[cut for cut, _ in LOAD_CUTS]]
+    loads = [(lo, hi, ts) for lo, (hi, ts) in zip(cuts, LOAD_CUTS)]
+    root = _delta_batches(spark, raw_order_lines(spark, sf_dir), loads + loads[-1:])
+    return fact_output(inc.fact(spark, root))
+
 
-    state = _incremental_build(spark, sf_dir, LOAD_CUTS + (LOAD_CUTS[-1],))
-    return fact_output(b.fact(spark, state))
+def _delta_metrics(which):
+    def run(spark, sf_dir):
+        """Faulty lines in three batches in no order of time, the two descriptions of a
+        line in different batches, and one batch sent twice; the metrics kept by deltas
+        must equal those of all lines at once."""
+        from starmart.plans import incremental as inc
+        from starmart.session import scratch_path
+
+        raw, root = dirty_order_lines(spark, sf_dir), scratch_path(spark, "warehouse")
+        spare = F.coalesce(F.col("description").endswith("(spare) ").cast("int"), F.lit(0))
+        part = F.pmod(F.hash("invoice_no", "stock_code") + spare, F.lit(3))
+        for i, hours in ((0, 1), (2, 2), (1, 3), (2, 4)):
+            inc.apply_batch(spark, raw.filter(part == i), AS_OF + dt.timedelta(hours=hours), root)
+        return inc.metrics_now(spark, root, which)
+    return run
+
+
+for _which in ("order", "customer", "product"):
+    REGISTRY[f"incremental_{_which}_metrics"] = _delta_metrics(_which)
+
+
+@query("compacted_snapshot")
+def q_compacted_snapshot(spark, sf_dir):
+    """Staged lines after two batches that replace each other's rows, a compaction and a vacuum."""
+    from starmart.plans import incremental as inc
+    from starmart.session import scratch_path
+    from starmart.sources.snapshots import SnapshotStore
+
+    raw, root = dirty_order_lines(spark, sf_dir), scratch_path(spark, "warehouse")
+    spare = F.coalesce(F.col("description").endswith("(spare) "), F.lit(False))
+    inc.apply_batch(spark, raw.filter(~spare), AS_OF, root)
+    inc.apply_batch(spark, raw.filter(spare), AS_OF + dt.timedelta(days=1), root)
+    inc.compact(spark, root)
+    SnapshotStore(spark, root).vacuum(1)
+    return inc.lines(spark, root).withColumn("unit_price", F.col("unit_price").cast("double"))
 
 
 LATE_CUT = dt.date(2000, 1, 1)       # first load: orders before this day
@@ -323,18 +376,18 @@ def q_sales_fact_late_rows(spark, sf_dir):
 
 @query("late_arrivals")
 def q_late_arrivals(spark, sf_dir):
-    """Lines arrive 0 to 30 days after their order.  The second load holds all
-    that has arrived; of what is new in it, the fact takes the lines at most
-    three days older than its newest line, and later ones stay out."""
+    """Lines arrive 0 to 30 days after their order.  Of what arrives with the
+    second load, the fact takes the lines at most three days older than its
+    newest line, and later ones stay out."""
     from starmart.operators.fact import fact_output
-    from starmart.plans import build as b
+    from starmart.plans import incremental as inc
+    from starmart.session import scratch_path
 
-    raw = raw_order_lines(spark, sf_dir)
+    raw, root = raw_order_lines(spark, sf_dir), scratch_path(spark, "warehouse")
     arrived = F.date_add(F.to_date(F.col("invoice_date").try_cast("timestamp_ntz")), arrival_delay())
-    state = b.BuildState()
-    b.run_batch(spark, raw.filter(arrived < F.lit(LATE_CUT)), dt.datetime(2000, 1, 1, 6), state)
-    b.run_batch(spark, raw, AS_OF, state)
-    return fact_output(b.fact(spark, state))
+    inc.apply_batch(spark, raw.filter(arrived < F.lit(LATE_CUT)), dt.datetime(2000, 1, 1, 6), root)
+    inc.apply_batch(spark, raw.filter(arrived >= F.lit(LATE_CUT)), AS_OF, root)
+    return fact_output(inc.fact(spark, root))
 
 
 @query("fact_layout")
