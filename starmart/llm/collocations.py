@@ -9,16 +9,20 @@ For each length:
 
 1. group-count: every block gives its distinct phrases with their counts, Spark
    sums them; phrases below ``MIN_COUNT`` are dropped;
-2. semi-join: the frequent phrases go back to the blocks that hold them;
-3. merge-join: the relation, cut down to frequent phrases, is joined with itself
-   on equal piece and adjacent position.  Two phrases of ``k`` words that overlap
-   in ``k - 1`` are one of ``k + 1``; it is named by the pair of their ids.  A
-   phrase with an infrequent part cannot be frequent, so none is lost.
+2. semi-join: a Bloom filter of the frequent phrases, of a fixed number of bits
+   whatever their number, goes to the blocks and takes infrequent phrases out of
+   the relation.  What it lets through by chance is counted like the rest and
+   dropped by its count: results are exact, a full filter only saves less;
+3. merge-join: the relation is joined with itself on equal piece and adjacent
+   position.  Two phrases of ``k`` words that overlap in ``k - 1`` are one of
+   ``k + 1``.  A phrase with an infrequent part cannot be frequent, so none is lost.
 
-Nothing is collected or broadcast by hand, and a common word is one row for each
-block, summed in two steps.  A frequent phrase carries the counts of all its
-first and last parts along (``pre``, ``suf``), so cuts are scored without
-another search.
+Blocks name a word by the XXH64 of its language and text, a phrase by its words'
+hashes.  That no two words of the table share a hash is checked over the whole
+vocabulary; if two did, mining would start again under another salt.  The joins
+that name phrases are over frequent phrases only.  A frequent phrase carries the
+counts of all its first and last parts along (``pre``, ``suf``), so cuts are
+scored without another search.
 
 Defined cases: a null or empty text has no words; a null language is ``und`` and
 joins documents that say so; repeated rows count each; a text of any length is
@@ -32,10 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, materialize, squeeze, text_slices, unsqueeze
+from starmart.llm.common import bounded_batches, materialize, release, squeeze, text_slices, unsqueeze
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -47,8 +52,11 @@ UNKNOWN = "und"
 #: text of one block, in bytes
 BLOCK_BYTES = 8 << 20
 
-WORDS = "block long, code int, lang string, word string, n long, codes binary, starts binary"
-PHRASES = "block long, code int, a long, b long, n long, codes binary, starts binary"
+#: bits of the filter of frequent phrases (8 MB, the only thing broadcast) and positions of each phrase in it
+FILTER_BITS = 1 << 26
+PROBES = 4
+
+WORDS = "lang string, word string, n long, hashes binary, parts binary, codes binary, starts binary"
 #: Classes of bytes: 0 in a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -87,85 +95,150 @@ def _by_count(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return distinct[order], count[order], place[row]
 
 
-def _block(block: int, columns: dict[str, pa.Array], count: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> pa.Table:
-    """One row for each distinct phrase and, first, one with the relation (code -1)."""
+def _hash_longs(values: np.ndarray) -> np.ndarray:
+    """XXH64 of rows of 64-bit integers, chained from seed 42, as Spark's ``xxhash64`` has it."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    h = np.full(len(values), 42, np.uint64)
+    for x in values.T.view(np.uint64):
+        k = x * p2
+        k = (k << np.uint64(31) | k >> np.uint64(33)) * p1
+        h = (h + p5 + np.uint64(8)) ^ k
+        h = (h << np.uint64(27) | h >> np.uint64(37)) * p1 + p4
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    h = _hash_longs(np.ascontiguousarray(keys))
+    low, step = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+    found = np.ones(len(h), bool)
+    for i in range(PROBES):
+        at = (low + np.uint64(i) * step) % np.uint64(FILTER_BITS)
+        found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return found
+
+
+def phrase_filter(frequent: DataFrame, key: list[str]) -> np.ndarray:
+    """Bloom filter of the phrases: ``FILTER_BITS`` bits, put together in Spark in pieces of 4 KB."""
+    h = F.xxhash64(*key)
+    low, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    at = F.explode(F.array(*[(low + i * step) % FILTER_BITS + 1 for i in range(PROBES)]))  # bitmaps number bits from 1
+    pieces = frequent.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in pieces.collect():  # at most FILTER_BITS / 32768 rows
+        out[(r.piece - 1) * 4096:r.piece * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _pack_bits(bits: np.ndarray) -> bytes:
+    return len(bits).to_bytes(8, "little") + np.packbits(bits).tobytes()
+
+
+def _unpack_bits(raw: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8, offset=8), count=int.from_bytes(raw[:8], "little")).astype(bool)
+
+
+def _rows(columns: dict[str, pa.Array], count: np.ndarray, hashes: bytes, parts: np.ndarray, codes: np.ndarray,
+          starts: bytes) -> Iterator[pa.RecordBatch]:
+    """A row with the block's relation, then one for each distinct phrase of it."""
     n = len(count)
-    head = {k: pa.concat_arrays([pa.nulls(1, v.type), v]) for k, v in columns.items()}
-    return pa.table({"block": pa.array(np.full(n + 1, block)), "code": pa.array(np.arange(-1, n, dtype=np.int32)), **head,
-                     "n": pa.array(np.concatenate(([0], count)).astype(np.int64)),
-                     "codes": pa.array([squeeze(codes.astype(np.int32) + 1)] + [None] * n, pa.binary()),
-                     "starts": pa.array([len(starts).to_bytes(8, "little") + np.packbits(starts).tobytes()] + [None] * n, pa.binary())})
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = 0
-    for b in batches:
-        for lo, hi in text_slices(b.column("text"), BLOCK_BYTES):
-            words, starts, owner = split_pieces(b.column("text").slice(lo, hi - lo))
-            if not len(words):
-                continue
-            coded, langs = words.dictionary_encode(), b.column("lang").slice(lo, hi - lo).dictionary_encode()
-            width = max(1, len(langs.dictionary))
-            key = coded.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy()[owner]
-            distinct, count, codes = _by_count(key)
-            columns = {"lang": langs.dictionary.take(pa.array(distinct % width)), "word": coded.dictionary.take(pa.array(distinct // width))}
-            yield from _block((b.column("part")[lo].as_py() << 32) + number, columns, count, codes, starts).to_batches()
-            number += 1
-
-
-def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """Merge-join of a block's relation, cut down to its frequent phrases, with itself on the next position."""
-    if not relation.num_rows or not frequent.num_rows:
-        return pa.table({"block": pa.array([], pa.int64()), "code": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()),
-                         "n": pa.array([], pa.int64()), "codes": pa.array([], pa.binary()), "starts": pa.array([], pa.binary())})
-    codes = unsqueeze(relation.column("codes")[0].as_py(), np.int32)
-    raw = relation.column("starts")[0].as_py()
-    starts = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8), count=int.from_bytes(raw[:8], "little")).astype(bool)
-    ids, code = frequent.column("id").to_numpy(), frequent.column("code").to_numpy()
-    local = np.full(max(int(codes.max(initial=0)), int(code.max()) + 1) + 1, -1, np.int64)
-    local[code + 1] = np.arange(len(ids))
-    here = local[codes]
-    at = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0) & ~starts[1:])
-    distinct, pair, count = np.unique(here[at] * len(ids) + here[at + 1], return_inverse=True, return_counts=True)
-    longer = np.full(len(codes), -1, np.int32)
-    longer[at] = pair
-    columns = {"a": pa.array(ids[distinct // len(ids)]), "b": pa.array(ids[distinct % len(ids)])}
-    return _block(relation.column("block")[0].as_py(), columns, count, longer, starts).select(
-        ["block", "code", "a", "b", "n", "codes", "starts"])
-
-
-def _counted(entries: DataFrame, key: list[str], min_count: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """(frequent phrases with id and f, the rows of them in each block)."""
-    total = entries.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    frequent = materialize(total.withColumn("id", F.monotonically_increasing_id()), f"phrases-{name}")
-    return frequent, entries.join(frequent.select(*key, "id"), key).select(F.col("block").alias("at"), "code", "id")
+
+    def head(value: bytes) -> pa.Array:
+        return pa.array([value] + [None] * n, pa.binary())
+
+    yield from pa.table({**{k: pa.concat_arrays([pa.nulls(1, v.type), v]) for k, v in columns.items()},
+                         "n": pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(count.astype(np.int64))]), "hashes": head(hashes),
+                         "parts": head(squeeze(parts.astype(np.int32).reshape(-1))), "codes": head(squeeze(codes.astype(np.int32) + 1)),
+                         "starts": head(starts)}).to_batches()
+
+
+def _words(salt: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in text_slices(b.column("text"), BLOCK_BYTES):
+                words, starts, owner = split_pieces(b.column("text").slice(lo, hi - lo))
+                if not len(words):
+                    continue
+                coded, langs = words.dictionary_encode(), b.column("lang").slice(lo, hi - lo).dictionary_encode()
+                width = len(langs.dictionary)
+                key = coded.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy()[owner]
+                distinct, count, codes = _by_count(key)
+                lang, word = langs.dictionary.take(pa.array(distinct % width)), coded.dictionary.take(pa.array(distinct // width))
+                seeds = {x: xxhash.xxh64_intdigest(salt + x, 42) for x in langs.dictionary.to_pylist()}
+                hashes = np.fromiter((xxhash.xxh64_intdigest(w, seeds[x]) for x, w in zip(lang.to_numpy(zero_copy_only=False), word.to_numpy(
+                    zero_copy_only=False))), np.uint64, len(word))
+                yield from _rows({"lang": lang, "word": word}, count, hashes.tobytes(), np.arange(len(word)), codes, _pack_bits(starts))
+                release()
+
+    return run
+
+
+def _extend(bits, k: int):
+    """Merge-join of each block's relation of ``k`` words, cut down to frequent phrases, with itself on the next position."""
+    names = [f"w{i}" for i in range(1, k + 2)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            for packed, raw, part, code in zip(*(b.column(c).to_pylist() for c in ("starts", "hashes", "parts", "codes"))):
+                hashes, parts, codes = np.frombuffer(raw, np.int64), unsqueeze(part, np.int32).reshape(-1, k), unsqueeze(code, np.int32)
+                frequent = np.flatnonzero(_in_filter(held, hashes[parts]))
+                local = np.full(len(parts) + 1, -1, np.int64)
+                local[frequent + 1] = np.arange(len(frequent))
+                here = local[codes]
+                at = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0) & ~_unpack_bits(packed)[1:])
+                wide = max(1, len(frequent))
+                distinct, pair, count = np.unique(here[at] * wide + here[at + 1], return_inverse=True, return_counts=True)
+                longer = np.full(len(codes), -1, np.int32)
+                longer[at] = pair
+                parts = np.concatenate((parts[frequent[distinct // wide]], parts[frequent[distinct % wide]][:, -1:]), axis=1)
+                yield from _rows({c: pa.array(hashes[parts[:, i]]) for i, c in enumerate(names)}, count, raw, parts, longer, packed)
+                release()
+
+    return run
+
+
+def _clash(vocabulary: DataFrame) -> bool:
+    """Whether two words share a hash."""
+    return not vocabulary.groupBy("w1").count().where("count > 1").isEmpty()
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, text_col: str = "text",
                      lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """((lang, n) with n the number of words, one table for each length).
 
-    A table's rows: id, lang, words, f, pre, suf (counts of the first and last 1, 2, .. words), a, b (ids of the
-    phrase without its last and its first word; null for single words).
+    A table's rows: w1, w2, .. (hashes of its words), lang, words, f, pre, suf (counts of the first and last 1, 2, .. words).
     """
-    bounded_batches(docs.sparkSession, BLOCK_BYTES)
-    d = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                    F.spark_partition_id().cast("long").alias("part"))
-    relation = materialize(d.mapInArrow(_words, WORDS), "occurrences-1")
-    sizes = materialize(relation.where("code >= 0").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-sizes")
-    frequent, held = _counted(relation.where("code >= 0").select("block", "code", "lang", "word", "n"), ["lang", "word"], min_count, "1")
-    none = F.lit(None).cast("long")
-    tables = [frequent.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"),
-                              none.alias("a"), none.alias("b"))]
+    spark = docs.sparkSession
+    bounded_batches(spark, BLOCK_BYTES)
+    d = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
+    salt = ""
+    while True:
+        relation = materialize(d.mapInArrow(_words(salt), WORDS), "occurrences-1")
+        words = relation.where("n IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
+        words = materialize(words.withColumn("w1", F.xxhash64(F.concat(F.lit(salt), "lang"), "word")), "phrase-vocabulary")
+        if not _clash(words):
+            break
+        salt += "+"
+    sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    frequent = words.where(F.col("f") >= min_count)
+    tables = [frequent.select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"))]
     for k in range(2, max_words + 1):
-        rows = relation.where("code = -1").select("block", "codes", "starts").groupBy("block")
-        relation = materialize(rows.cogroup(held.groupBy("at")).applyInArrow(_extend, PHRASES), f"occurrences-{k}")
-        frequent, held = _counted(relation.where("code >= 0").select("block", "code", "a", "b", "n"), ["a", "b"], min_count, str(k))
-        first = tables[-1].select(F.col("id").alias("a"), "lang", F.col("words").alias("w"), F.col("pre").alias("p"))
-        last = tables[-1].select(F.col("id").alias("b"), F.element_at("words", -1).alias("x"), F.col("suf").alias("s"))
-        longer = frequent.join(first, "a").join(last, "b").select(
-            "id", "lang", F.concat("w", F.array("x")).alias("words"), "f", F.concat("p", F.array("f")).alias("pre"),
-            F.concat("s", F.array("f")).alias("suf"), "a", "b")
+        short, key = [f"w{i}" for i in range(1, k)], [f"w{i}" for i in range(1, k + 1)]
+        bits = spark.sparkContext.broadcast(phrase_filter(tables[-1], short).tobytes())
+        rows = relation.where("n IS NULL").select("hashes", "parts", "codes", "starts")
+        schema = ", ".join(f"{c} long" for c in key) + ", n long, hashes binary, parts binary, codes binary, starts binary"
+        relation = materialize(rows.mapInArrow(_extend(bits, k - 1), schema), f"occurrences-{k}")
+        bits.destroy()
+        counted = relation.where("n IS NOT NULL").groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        first = tables[-1].select(*short, "lang", F.col("words").alias("w"), F.col("pre").alias("p"))
+        last = tables[-1].select(*[F.col(c).alias(n) for c, n in zip(short, key[1:])], F.element_at("words", -1).alias("x"), F.col("suf").alias("s"))
+        longer = materialize(counted, f"phrases-{k}").join(first, short).join(last, key[1:]).select(
+            *key, "lang", F.concat("w", F.array("x")).alias("words"), "f", F.concat("p", F.array("f")).alias("pre"),
+            F.concat("s", F.array("f")).alias("suf"))
         tables.append(materialize(longer, f"phrases-named-{k}"))
     return sizes, tables
 
@@ -181,9 +254,9 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, ma
         cut = (f"transform(sequence(1, {k - 1}), j -> struct(CAST({SCALE} AS DECIMAL(7,0)) * CAST(f AS DECIMAL(20,0)) div "
                f"(CAST(pre[j - 1] AS DECIMAL(20,0)) + CAST(suf[{k} - j - 1] AS DECIMAL(20,0))) AS score, j, pre[j - 1] AS l, suf[{k} - j - 1] AS r))")
         if k < max_words:  # a phrase inside a longer one is inside one of one word more, with at least the longer one's count
-            holder = tables[k].select(F.col("a").alias("part"), F.col("f").alias("g")).unionAll(tables[k].select("b", "f"))
-            holder = holder.groupBy("part").agg(F.max("g").alias("g"))
-            here = here.join(holder, F.col("id") == F.col("part"), "left").where(
+            key, longer = [f"w{i}" for i in range(1, k + 1)], [f"w{i}" for i in range(1, k + 2)]
+            holder = tables[k].select(*key, F.col("f").alias("g")).unionAll(tables[k].select(*longer[1:], "f"))
+            here = here.join(holder.groupBy(*key).agg(F.max("g").alias("g")), key, "left").where(
                 f"g IS NULL OR 100 * CAST(g AS DECIMAL(20,0)) < {covered} * CAST(f AS DECIMAL(20,0))")
         here = here.select("lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), F.array_min(F.expr(cut)).alias("cut"))
         found = here if found is None else found.unionAll(here)
