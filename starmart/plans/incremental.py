@@ -192,13 +192,16 @@ def _next_history(store: SnapshotStore, base: Snapshot, name: str, source: DataF
 
 
 def apply_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime, root: str, cfg: PipelineConfig | None = None,
-                full_refresh: bool = False, base: Snapshot | None = None) -> Snapshot:
-    """Apply the raw lines of one batch; returns the new snapshot.  Raises ``snapshots.Conflict`` if another writer was faster."""
+                full_refresh: bool = False, base: Snapshot | None = None, properties: dict | None = None,
+                also: dict[str, list[Folder]] | None = None) -> Snapshot:
+    """Apply the raw lines of one batch; returns the new snapshot (with ``properties`` on it, and relations ``also``).  Raises ``snapshots.Conflict``
+    if another writer was faster."""
     cfg, wh, store = cfg or PipelineConfig(), Warehouse(spark), SnapshotStore(spark, root)
     base = base or store.load()
     if full_refresh:
         base = Snapshot(base.number)
-    number, out, props = base.number + 1, {}, dict(base.properties)
+    number, out, props = base.number + 1, dict(also or {}), dict(base.properties)
+    props |= {**(properties or {}), "batch_ts": batch_ts.isoformat()}
 
     def old(name: str, **how) -> DataFrame:
         return store.read(base, name, SCHEMAS[name], **how)
@@ -208,6 +211,8 @@ def apply_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime, root
 
     lines = wh.materialize(clean_order_lines(raw, cfg).withColumn(STAGING_MONTH, _month("invoice_date")), "batch-lines")
     months = [r[0] for r in lines.select(STAGING_MONTH).distinct().collect()]        # one row a month
+    if not months:  # no line at all
+        return store.commit(base, out, props)
     stored = old("lines", key=KEY, months=months, month=STAGING_MONTH)
     changes = wh.materialize(line_changes(lines, stored), "line-changes")
     came, gone, fresh = changes.where("sign = 1"), changes.where("sign = -1"), changes.where("fresh")
@@ -280,7 +285,7 @@ def apply_batch(spark: SparkSession, raw: DataFrame, batch_ts: dt.datetime, root
         newest_fact = todo.agg(F.max("invoice_date")).first()[0]
         if newest_fact is not None:
             props["fact_time"] = max(newest_fact.isoformat(), props.get("fact_time", ""))
-    return store.commit(base, out, {**props, "batch_ts": batch_ts.isoformat()})
+    return store.commit(base, out, props)
 
 
 def fact(spark: SparkSession, root: str, snapshot: Snapshot | None = None, months: list[int] | None = None) -> DataFrame:
@@ -314,6 +319,15 @@ def history(spark: SparkSession, root: str, name: str, snapshot: Snapshot | None
     return _history(store, snapshot or store.load(), name, None)
 
 
+def calendar_now(spark: SparkSession, root: str) -> DataFrame:
+    """The calendar of the newest snapshot; of the fixed fallback span while no line has been loaded."""
+    store = SnapshotStore(spark, root)
+    now = store.load()
+    if "calendar" not in now:
+        return cal.calendar(cal.calendar_fallback(spark))
+    return store.read(now, "calendar", SCHEMAS["calendar"])
+
+
 def compact(spark: SparkSession, root: str) -> Snapshot:
     """Fold logs to one row a key, and deletes into their relations; a snapshot like others, readers see no difference."""
     store = SnapshotStore(spark, root)
