@@ -3,10 +3,8 @@ the incremental rules (look-back, delete+insert on the key, schema guard).
 
 Plan shape (large scale): staging is shuffled once on customer_id for the
 customer range join and once on stock_code for the product range join
-(either becomes a broadcast hash join when Spark's size check finds the
-history small); the calendar is broadcast because its size is bounded by the
-number of days in the data span.  Heavy keys are salted (see
-``temporal_join``).
+Spark's size check decides how the calendar is joined.  Heavy keys are
+salted (see ``temporal_join``).
 """
 
 from __future__ import annotations
@@ -37,7 +35,7 @@ def sales_fact(lines: DataFrame, customer_history: DataFrame, product_history: D
     prod = version_ranges(product_history, "stock_code", ["product_key"])
     s = join_as_of(s, cust, "customer_id", "invoice_date", ["customer_key"], hot_customers)
     s = join_as_of(s, prod, "stock_code", "invoice_date", ["product_key"], hot_products)
-    days = F.broadcast(calendar.select("date_key", F.col("full_date").alias("__day")))
+    days = calendar.select("date_key", F.col("full_date").alias("__day"))  # one bad date makes it long: no forced broadcast
     s = s.join(days, s["invoice_date_only"] == days["__day"], "left")
     return s.select(
         "order_item_id",

@@ -52,7 +52,7 @@ def with_distinct_counts(df: DataFrame, keys: tuple[str, ...], sums: list[Column
 
 # ------------------------------------------------------------------ daily metrics (M1, M2)
 def daily_metrics(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    days = F.broadcast(calendar.select("date_key", "full_date"))
+    days = calendar.select("date_key", "full_date")
     lines = fact.join(days, "date_key").withColumnRenamed("full_date", "date_day")
     daily = with_distinct_counts(lines, ("date_day",), [
         F.count("order_item_id").alias("order_item_count"),     # the fact's key: no two alike
@@ -78,7 +78,7 @@ def daily_metrics(fact: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def daily_metrics_by_country(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    days = F.broadcast(calendar.select("date_key", "full_date"))
+    days = calendar.select("date_key", "full_date")
     return fact.join(days, "date_key").groupBy(
         F.col("full_date").alias("date_day"), "country").agg(
         F.count(F.lit(1)).cast("bigint").alias("order_item_count"),
@@ -167,10 +167,10 @@ def product_demand_series(fact: DataFrame, product_history: DataFrame,
                           min_quantity: int = 100) -> DataFrame:
     current = product_history.filter(F.col("dbt_valid_to").isNull()) \
         .select("product_key", "stock_code", "description")
-    j = fact.join(current, "product_key")
-    return j.groupBy("stock_code", "description", month_start("invoice_date").alias("ds")).agg(
-        F.sum(F.when(~F.col("is_return"), F.col("quantity")).otherwise(F.lit(0))).alias("y")
-    ).filter(F.col("y") > min_quantity).select(
+    # summed by key first: the join sees one row a product and month, not every line
+    by_key = fact.groupBy("product_key", month_start("invoice_date").alias("ds")).agg(
+        F.sum(F.when(~F.col("is_return"), F.col("quantity")).otherwise(F.lit(0))).alias("y"))
+    return by_key.join(current, "product_key").groupBy("stock_code", "description", "ds").agg(F.sum("y").alias("y")).filter(F.col("y") > min_quantity).select(
         F.concat(F.col("stock_code"), F.lit(" - "), F.col("description")).alias("unique_id"),
         "ds", F.col("y").cast("bigint").alias("y"))
 

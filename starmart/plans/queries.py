@@ -674,6 +674,29 @@ def q_product_forecast(spark, sf_dir):
     return marts.seasonal_forecast(demand, horizon=3, period=12, step="month")
 
 
+def _before_forecast(spark, sf_dir):
+    from starmart.operators import marts
+
+    return marts.daily_series(_daily(spark, sf_dir), FORECAST_AS_OF)
+
+
+@query("smoothing_backtest")
+def q_smoothing_backtest(spark, sf_dir):
+    """Rolling-origin error of every smoothing model and of the seasonal-naive one, per series."""
+    from starmart.operators.smoothing import smoothing_models
+
+    models = smoothing_models(_before_forecast(spark, sf_dir))
+    return models.select("unique_id", "model_name", F.round("mae", 4).alias("mae"))
+
+
+@query("smoothed_forecast")
+def q_smoothed_forecast(spark, sf_dir):
+    """Thirty days of each daily series by its best model of the back-test."""
+    from starmart.operators.smoothing import smoothed_forecast
+
+    return smoothed_forecast(_before_forecast(spark, sf_dir))
+
+
 @query("forecast_vs_actual")
 def q_forecast_vs_actual(spark, sf_dir):
     from starmart.operators import marts
@@ -758,6 +781,34 @@ def q_churn_split(spark, sf_dir):
     return split_profile(marts.churn_features(fact).filter("is_churned IN (0, 1)"))
 
 
+@query("churn_feature_auc")
+def q_churn_feature_auc(spark, sf_dir):
+    """How well each feature alone tells churned customer months apart (rank-sum AUC with ties)."""
+    from starmart.operators.evaluation import rank_auc
+
+    return rank_auc(_labelled_features(spark, sf_dir), "value", "is_churned", ("feature",))
+
+
+def _labelled_features(spark, sf_dir):
+    from starmart.operators import marts
+
+    _, fact, _ = _marts_inputs(spark, sf_dir)
+    rows = marts.churn_features(fact).filter("is_churned IN (0, 1)").fillna(0, subset=list(marts.CHURN_FEATURES))
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in marts.CHURN_FEATURES]))
+    return rows.select("is_churned", values.alias("v")).select("is_churned", "v.*")
+
+
+CHURN_RULE = 2.0                                    # "two or more" of a feature says churned
+
+
+@query("churn_rule_confusion")
+def q_churn_rule_confusion(spark, sf_dir):
+    """Confusion table, precision, recall and F1 of the rule that two or more of a feature mean churn."""
+    from starmart.operators.evaluation import confusion
+
+    return confusion(_labelled_features(spark, sf_dir), "value", "is_churned", CHURN_RULE, ("feature",))
+
+
 @query("churn_training_report")
 def q_churn_training_report(spark, sf_dir):
     """Held-out metrics of the churned class, row counts and feature importances."""
