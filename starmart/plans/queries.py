@@ -348,6 +348,21 @@ def _delta_batches(spark, raw, loads):
     return root
 
 
+@query("fact_unknown_keys")
+def q_fact_unknown_keys(spark, sf_dir):
+    """The fact over histories of two early loads only: customers and products
+    first seen later have the unknown key."""
+    from starmart.operators.fact import fact_output, sales_fact
+    from starmart.operators.temporal_join import heavy_keys
+    from starmart.plans import build as b
+
+    wh = b.Warehouse(spark)
+    stg = wh.materialize(staging(spark, sf_dir), "staging")
+    histories = [_history(spark, sf_dir, w, stg, EARLY_CUTS).all() for w in ("customer", "product")]
+    hot = [wh.materialize(heavy_keys(stg, k), f"hot-{k}") for k in ("customer_id", "stock_code")]
+    return fact_output(sales_fact(stg, *histories, cal.calendar(cal.calendar_bounds(stg)), *hot))
+
+
 @query("sales_fact_incremental")
 def q_sales_fact_incremental(spark, sf_dir):
     """Three loads, each of the lines since the last one, and the last one sent
@@ -565,6 +580,22 @@ def q_dirty_segment_revenue(spark, sf_dir):
     return high_value_negative(metrics.customer_metrics(lines, cfg))
 
 
+@query("stored_failures")
+def q_stored_failures(spark, sf_dir):
+    """Failing lines kept by check runs after each of two batches, the second of
+    which replaces lines of the first; only lines that still stand."""
+    from starmart.plans import check_runs
+    from starmart.plans import incremental as inc
+    from starmart.session import scratch_path
+
+    raw, root = dirty_order_lines(spark, sf_dir), scratch_path(spark, "warehouse")
+    spare = F.coalesce(F.col("description").endswith("(spare) "), F.lit(False))
+    for i, part in enumerate((raw.filter(~spare), raw.filter(spare))):
+        inc.apply_batch(spark, part, AS_OF + dt.timedelta(days=i), root)
+        check_runs.check_new_lines(spark, root, AS_OF, AS_OF + dt.timedelta(days=i))
+    return check_runs.current_failures(spark, root)
+
+
 @query("check_row_parity")
 def q_check_row_parity(spark, sf_dir):
     from starmart.operators.checks import row_parity

@@ -43,6 +43,7 @@ class Folder:
     path: str
     kind: str = "rows"                       # or "deletes"
     months: tuple[int, ...] | None = None    # months it holds, if it is partitioned by month
+    seq: int | None = None                   # number of the snapshot its rows came with, of a keyed relation
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,8 @@ class SnapshotStore:
             number = there[-1]
         text = self.spark.read.text(f"{self.root}/snapshots/{number}.json", wholetext=True).first()[0]
         stored = json.loads(text)
-        relations = {name: tuple(Folder(f["path"], f["kind"], None if f["months"] is None else tuple(f["months"])) for f in folders)
+        relations = {name: tuple(Folder(f["path"], f["kind"], None if f["months"] is None else tuple(f["months"]), f["seq"])
+                           for f in folders)
                      for name, folders in stored["relations"].items()}
         return Snapshot(stored["number"], relations, stored["properties"])
 
@@ -96,7 +98,7 @@ class SnapshotStore:
         new = Snapshot(base.number + 1, {**base.relations, **{k: tuple(v) for k, v in relations.items()}},
                        {**base.properties, **(properties or {})})
         text = json.dumps({"number": new.number, "properties": new.properties, "relations": {
-            name: [{"path": f.path, "kind": f.kind, "months": f.months} for f in folders] for name, folders in new.relations.items()}})
+            name: [{"path": f.path, "kind": f.kind, "months": f.months, "seq": f.seq} for f in folders] for name, folders in new.relations.items()}})
         fs, draft = self._fs(), self._path(f"snapshots/_{uuid.uuid4().hex}")
         out = fs.create(draft, True)
         out.write(bytearray(text.encode()))
@@ -141,10 +143,10 @@ class SnapshotStore:
             df = df.withColumn(SEQ, F.lit(seq))
         if month is None:
             df.write.parquet(f"{self.root}/{path}")
-            return Folder(path, kind)
+            return Folder(path, kind, None, seq)
         df.hint("rebalance", month).sortWithinPartitions(month, *sort).write.partitionBy(month).parquet(f"{self.root}/{path}")
         months = sorted(int(n.split("=")[1]) for n in self._names(path) if n.startswith(f"{month}="))
-        return Folder(path, kind, tuple(months))
+        return Folder(path, kind, tuple(months), seq)
 
     def read(self, snapshot: Snapshot, name: str, schema: StructType | str, key: str | None = None,
              months: Sequence[int] | None = None, month: str | None = None, of: str | None = None) -> DataFrame:
@@ -174,6 +176,15 @@ class SnapshotStore:
             rows = rows.join(last, (rows[key] == last[_KEY_OF_DELETE]) & (rows[SEQ] < last[_SEQ_OF_DELETE]), "left_anti")
         return rows.drop(SEQ)
 
+    def deleted(self, snapshot: Snapshot, name: str, key: str) -> DataFrame:
+        """(key, at): the last delete of each key, by the number of its snapshot."""
+        schema = StructType.fromDDL(f"`{key}` string, {SEQ} int")
+        paths = [f"{self.root}/{f.path}" for f in snapshot.relations.get(name, ()) if f.kind == "deletes"]
+        if not paths:
+            return self.spark.createDataFrame([], "key string, at int")
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/data/{name}").parquet(*paths)
+        return rows.groupBy(F.col(key).alias("key")).agg(F.max(SEQ).alias("at"))
+
     def holds(self, path: str) -> bool:
         return self._fs().exists(self._path(path))
 

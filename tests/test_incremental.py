@@ -137,3 +137,26 @@ def test_a_batch_without_new_lines(spark, tmp_path):
     assert inc.fact(spark, root).count() == 1 and inc.history(spark, root, "customer_history").count() == 1
     rebuilt = inc.apply_batch(spark, spark.createDataFrame([line("2", "q", "01-10")], RAW), dt.datetime(2020, 3, 4), root, PipelineConfig(), True)
     assert rebuilt.number == 4 and [r.invoice_no for r in inc.fact(spark, root).collect()] == ["2"]
+
+
+def test_checks_run_over_new_lines_only(spark, tmp_path):
+    from starmart.plans import check_runs
+
+    root, as_of = str(tmp_path / "w"), dt.datetime(2020, 2, 1)
+
+    def batch(rows, day):
+        inc.apply_batch(spark, spark.createDataFrame(rows, RAW), dt.datetime(2020, 3, day), root)
+        check_runs.check_new_lines(spark, root, as_of, dt.datetime(2020, 3, day))
+
+    batch([line("1", "p", "01-10"), line("2", "p", "01-11", quantity="0"), line("3", "p", "02-20", quantity="many")], 1)
+    first = {(r.check_id, r.order_item_id) for r in check_runs.current_failures(spark, root).collect()}
+    assert {c for c, _ in first} == {"expression_is_true__staging__quantity", "not_null__staging__quantity", "not_null__staging__is_return",
+                                     "not_in_future__staging__invoice_date"}
+    # the line without a quantity is replaced by a good one; it is still in the future
+    batch([line("3", "p", "02-20", "a longer thing"), line("4", "p", "01-12", "")], 2)
+    runs = {(r.run_ts.day, r.check_id): (r.rows_checked, r.failures) for r in check_runs.results(spark, root).collect()}
+    assert runs[1, "not_null__staging__quantity"] == (3, 1) and runs[2, "not_null__staging__quantity"] == (2, 0)
+    now = sorted(r.check_id for r in check_runs.current_failures(spark, root).collect())
+    assert now == ["expression_is_true__staging__quantity", "not_in_future__staging__invoice_date"]
+    check_runs.check_new_lines(spark, root, as_of, dt.datetime(2020, 3, 3))
+    assert {r.rows_checked for r in check_runs.results(spark, root).where("day(run_ts) = 3").collect()} == {0}
