@@ -9,14 +9,20 @@ mean, and paths whose mean reaches ``LAMBDA`` standard deviations are content
 paths.  The content region is the article or main element that holds most of the
 selected score, and the whole page if there is none; inside it blocks of content
 paths are kept, and so are headings and paragraphs whose own path is too rare to
-pass, unless mostly links.
+pass, unless (outside of articles) mostly links or opening like a copyright notice.
 
 Subtrees whose element or class names say menu, header, footer, sidebar, notice,
 advert, form, comments and the like score nothing and are never kept.  A class
 name or a form that wraps the article itself (contains an article, main or h1
 element) does not count, nor does a reader-comment name around the page's first
 of these if no paragraph comes before it; of a class name the whole, the first and the last part are looked at, and
-names of a state (``no-sidebar``, ``comments-open``) say nothing.
+names of a state (``no-sidebar``, ``comments-open``) say nothing.  Inside an
+article only a whole name counts, or a part that says readers' comments, advert,
+form or navigation: linked titles, lists of references, the article's own header
+and sections with telling names (``related-work``) belong to it.
+
+A page costs time and memory in proportion to its length, however deep its
+elements nest: paths are numbers, and what a subtree holds is summed once.
 
 Parsing follows how browsers read broken markup: raw-text elements, implied end
 tags, unclosed and stray tags, unquoted or unclosed attributes, comments.
@@ -47,10 +53,12 @@ KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 DROPPED = {"head", "script", "style", "noscript", "template", "nav", "footer", "aside", "button", "select", "option", "textarea",
-           "iframe", "svg", "canvas", "object", "dialog", "menu", "title", "datalist", "math", "audio", "video"}
+           "iframe", "svg", "canvas", "object", "dialog", "menu", "title", "datalist", "annotation", "audio", "video"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
-          "tt", "u", "var", "wbr", "br", "input", "nobr"}
+          "tt", "u", "var", "wbr", "br", "input", "nobr",
+          "math", "mi", "mn", "mo", "ms", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mtext", "mover", "munder",
+          "munderover", "mstyle", "mfenced", "semantics"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BODY_TEXT = HEADINGS | {"p", "blockquote", "pre", "li", "dd", "dt", "td", "th", "figcaption", "caption"}
 ARTICLES = {"article", "main"}
@@ -62,6 +70,10 @@ BOILERPLATE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
                "toolbar", "topbar", "widget", "header"}
 READERS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond"}
+#: names that count inside an article too when they are only a part of a class name
+INSIDE = READERS | {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promoted",
+                    "promotion", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pager", "pagination", "form", "newsletter",
+                    "signup", "subscribe", "login", "share", "sharing", "social"}
 #: first and last parts of class names that speak of a page's state, not of the element
 STATE_FIRST = {"no", "non", "not", "has", "with", "without", "overflow"}
 STATE_LAST = {"open", "opened", "closed", "enabled", "disabled"}
@@ -76,19 +88,30 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 |<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)""", re.S | re.X)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_NOTICE = re.compile(r"(?:©|\(c\)|copyright\b)", re.I)
 _MARK = re.compile(r"[.,;:!?…、。，！？]")
 
 
 @dataclass(eq=False, slots=True)
 class Element:
     tag: str
-    path: str
+    path: int
     parent: Element | None
+    place: int = 0  # in the stack of open elements
     marked: set[str] = field(default_factory=set)  # class names that say boilerplate
     dropped: bool = False  # for certain
     wraps: bool = False  # contains an article, main or h1
     holds: bool = False  # contains the page's first of them, no reader's comment and with no paragraph before
+    article: bool = False  # is or lies in an article or main
+    link: bool = False  # is or lies in a link, with inline elements between
+    block: Element | None = None  # the nearest element that is not inline: itself or above
+    kept: bool = True  # neither it nor an element above is boilerplate
+    header: bool = False  # is or lies in a header
     score: float = 0.0
+    fit: int = 0  # blocks that fit in the subtree
+    fit_article: int = 0  # of them, in an article
+    leads: bool = False  # a block of the subtree lies in an article
+    children: list[Element] = field(default_factory=list)
 
     def out(self) -> bool:
         """Whether the subtree is boilerplate."""
@@ -104,28 +127,28 @@ class Element:
 @dataclass(eq=False, slots=True)
 class Block:
     element: Element
-    path: str
+    path: int
     text: str
     links: int
 
 
-def _names(value: str) -> set[str]:
+def _names(value: str, article: bool) -> set[str]:
     """Boilerplate names that a class or id attribute gives: a whole class name, its first or its last part."""
     out = set()
     for name in value.split():
         parts = [x.lower() for x in _NAME.findall(name)]
         if parts and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST:
-            out |= {parts[0], parts[-1], "".join(parts)} & BOILERPLATE
+            out |= {parts[0], parts[-1]} & (INSIDE if article else BOILERPLATE) | {"".join(parts)} & BOILERPLATE
     return out
 
 
-def _attributes(tag: str, raw: str) -> tuple[set[str], bool, str]:
+def _attributes(raw: str, article: bool) -> tuple[set[str], bool, str]:
     """(boilerplate names, hidden, first class)."""
     marked, hidden, first = set(), False, ""
     for key, value in _ATTR.findall(raw):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            marked |= _names(value)
+            marked |= _names(value, article)
             if key == "class":
                 first = value.split(" ")[0]
         elif key == "role":
@@ -144,12 +167,16 @@ class Reader:
     """One pass over a page: blocks in page order."""
 
     def __init__(self, page: str):
-        self.root = Element("", "", None)
+        self.root = Element("", 0, None)
+        self.root.block = self.root
         self.stack: list[Element] = [self.root]
+        self.elements: list[Element] = [self.root]
+        self.open_tags: dict[str, int] = {}
+        self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.links, self.at, self.empty = 0, self.root, True
-        self.found = False
+        self.found, self.paragraph = False, False
         pos, size = 0, len(page)
         while pos < size:
             m = _TAG.search(page, pos)
@@ -178,12 +205,8 @@ class Reader:
 
     def text(self, raw: str) -> None:
         if not raw.isspace():
-            k = -1
-            while self.stack[k].tag in INLINE:
-                if self.stack[k].tag == "a":
-                    self.links += len(raw)
-                    break
-                k -= 1
+            if self.stack[-1].link:
+                self.links += len(raw)
             if self.empty:
                 self.at, self.empty = self.stack[-1], False
         self.parts.append(raw)
@@ -191,73 +214,90 @@ class Reader:
     def flush(self) -> None:
         text = "" if self.empty else " ".join(html_lib.unescape("".join(self.parts)).split())
         if text:
-            e = self.at
-            path = e.path
-            while e.tag in INLINE and e.parent is not None:
-                e = e.parent
-            self.blocks.append(Block(e, path, text, self.links))
+            e = self.at.block
+            self.blocks.append(Block(e, self.at.path, text, self.links))
+            if e.tag == "p" and not self.found and not self.paragraph:
+                self.paragraph = not _outside(e)
         self.parts, self.links, self.at, self.empty = [], 0, self.root, True
 
+    def drop(self, k: int) -> None:
+        """The open elements from place ``k`` on end."""
+        for e in self.stack[k:]:
+            self.open_tags[e.tag] -= 1
+        del self.stack[k:]
+
     def open(self, tag: str, raw: str) -> None:
         if tag in INLINE:
             if tag == "br":
                 self.parts.append("\n")
         else:
             self.flush()
-            k = len(self.stack) - 1
-            while self.stack[k].tag in INLINE:
-                k -= 1
-            if self.stack[k].tag == "p":  # a block-level tag ends a paragraph
-                del self.stack[k:]
+            near = self.stack[-1].block
+            if near.tag == "p":  # a block-level tag ends a paragraph
+                self.drop(near.place)
             if tag in CLOSES:
                 self.pop(CLOSES[tag], SCOPES)
             if tag in HEADINGS:
                 self.pop(HEADINGS, SCOPES)
         if tag in VOID or raw.endswith("/") and tag not in INLINE and tag not in ("div", "p"):
             return
-        marked, hidden, first = _attributes(tag, raw) if raw else (set(), False, "")
         parent = self.stack[-1]
-        e = Element(tag, f"{parent.path}/{tag}.{first}" if first and tag not in INLINE else f"{parent.path}/{tag}", parent, marked)
+        marked, hidden, first = _attributes(raw, parent.article) if raw else (set(), False, "")
+        step = (parent.path, f"{tag}.{first}" if first and tag not in INLINE else tag)
+        e = Element(tag, self.paths.setdefault(step, len(self.paths) + 1), parent, len(self.stack), marked)
         e.dropped = hidden or tag in DROPPED
+        e.article = parent.article or tag in ARTICLES
+        e.block = parent.block if tag in INLINE else e
+        e.link = tag == "a" or tag in INLINE and parent.link
+        e.header = parent.header or tag == "header"
         if tag == "header":
-            e.dropped = e.dropped or not any(x.tag in ("article", "main") for x in self.stack)
+            e.dropped = e.dropped or not parent.article
         elif tag == "form":
             e.marked = e.marked | {"form"}
         if tag in ("article", "main", "h1"):
-            first_one = not self.found and not (tag == "article" and marked & READERS) and not any(
-                b.element.tag == "p" and _kept(b.element, False) for b in self.blocks)
+            first_one = not self.found and not (tag == "article" and marked & READERS) and not self.paragraph
             self.found |= first_one
-            for x in self.stack:
+            for x in reversed(self.stack):
+                if x.wraps and not first_one:
+                    break  # so are all above
                 x.wraps = True
                 x.holds |= first_one
         self.stack.append(e)
+        self.elements.append(e)
+        parent.children.append(e)
+        self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
     def pop(self, tags: set[str], stop: set[str]) -> None:
         """Close open elements down to the lowest one named in ``tags``, if no ``stop`` lies above it."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in tags:
-                del self.stack[i:]
-                return
-            if self.stack[i].tag in stop:
+        if not any(self.open_tags.get(t) for t in tags):
+            return
+        e = self.stack[-1].block
+        while e.place and e.tag not in stop:
+            if e.tag in tags:
+                self.drop(e.place)
                 return
+            e = e.parent.block
 
     def close(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
+        if not self.open_tags.get(tag):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self.drop(i)
                 return
             if tag in INLINE and self.stack[i].tag not in INLINE:
                 return  # an inline end tag does not cross its block
 
 
-def _kept(e: Element | None, heading: bool) -> bool:
+def _outside(e: Element | None) -> bool:
+    """Whether an element, as far as the page is read, lies in boilerplate."""
     while e is not None:
-        if e.out() or e.tag == "header" and not heading:  # of an article's own header only headings
-            return False
+        if e.out() or e.tag == "header":
+            return True
         e = e.parent
-    return True
+    return False
 
 
 def smooth(x: np.ndarray) -> np.ndarray:
@@ -271,7 +311,11 @@ def extract(page: str | None) -> str:
     """Main text of one page: kept blocks in page order, joined by newlines."""
     if not page:
         return ""
-    blocks = [b for b in Reader(page).blocks if _kept(b.element, b.element.tag in HEADINGS)]
+    reader = Reader(page)
+    for e in reader.elements:  # parents first
+        e.kept = (e.parent is None or e.parent.kept) and not e.out()
+    # of an article's own header only headings and paragraphs
+    blocks = [b for b in reader.blocks if b.element.kept and (not b.element.header or b.element.tag in HEADINGS or b.element.tag == "p")]
     if not blocks:
         return ""
     # ratios of each path, given to its blocks
@@ -285,36 +329,36 @@ def extract(page: str | None) -> str:
     mean = np.bincount(which, fused) / count
     content = mean >= LAMBDA * fused.std()
     chosen = content[which] & (plain > 0)
-    fits = [chosen[i] or b.element.tag in BODY_TEXT and b.links < 0.5 * len(b.text) for i, b in enumerate(blocks)]
+    fits = [bool(chosen[i]) or b.element.tag in BODY_TEXT and (b.element.article or b.links < 0.5 * len(b.text)) for i, b in enumerate(blocks)]
+    fits = [f and (b.element.article or not _NOTICE.match(b.text)) for f, b in zip(fits, blocks)]
     # region: from the root down while one child holds most of the selected score, to an article or main if there is one;
     # only blocks outside all articles are left behind, and none on a page without any
-    total = 0.0
-    chains: list[list[Element]] = []
     for i, b in enumerate(blocks):
-        chain, e = [], b.element
-        while e is not None:
-            chain.append(e)
-            e = e.parent
-        chains.append(chain[::-1])
+        e = b.element
+        e.leads |= e.article
+        e.fit += fits[i]
+        e.fit_article += fits[i] and e.article
         if chosen[i]:
-            gain = float(fused[i] * length[i])
-            total += gain
-            for e in chain:
-                e.score += gain
-    articles = [any(e.tag in ARTICLES for e in c) for c in chains]
-    region, depth = chains[0][0], 0
-    while total:
-        below = {id(c[depth + 1]): c[depth + 1] for c in chains if len(c) > depth + 1 and c[depth] is region}
-        best = max(below.values(), key=lambda e: e.score, default=None)
-        if best is None or best.tag in BODY_TEXT or best.score < REGION_SHARE * total or region.tag in ARTICLES:
+            e.score += float(fused[i] * length[i])
+    for e in reversed(reader.elements):  # children first: sums of subtrees
+        if e.parent is not None:
+            e.parent.score += e.score
+            e.parent.fit += e.fit
+            e.parent.fit_article += e.fit_article
+            e.parent.leads |= e.leads
+    region, total = reader.root, reader.root.score
+    while total and region.tag not in ARTICLES:
+        best = max(region.children, key=lambda e: e.score, default=None)
+        if best is None or best.tag in BODY_TEXT or best.score < REGION_SHARE * total:
             break
-        beside = [i for i, c in enumerate(chains) if fits[i] and len(c) > depth and c[depth] is region and (len(c) == depth + 1 or c[depth + 1] is not best)]
-        leads = any(len(c) > depth + 1 and c[depth + 1] is best and articles[i] for i, c in enumerate(chains))
-        if any(not leads or articles[i] for i in beside):
+        if region.fit_article > best.fit_article or not best.leads and region.fit > best.fit:
             break
-        region, depth = best, depth + 1
-    kept = [b.text for i, b in enumerate(blocks) if len(chains[i]) > depth and chains[i][depth] is region and fits[i]]
-    return "\n".join(kept)
+        region = best
+    inside = {id(region)}
+    for e in reader.elements:
+        if e.parent is not None and id(e.parent) in inside:
+            inside.add(id(e))
+    return "\n".join(b.text for f, b in zip(fits, blocks) if f and id(b.element) in inside)
 
 
 def extract_column(page: Column) -> Column:
