@@ -114,7 +114,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
-    # targets by trying every number of capped sources; taken from each document's place on the axis
+    # targets by trying every number of capped sources; points drawn in exact integers; taken from each document's place on the axis
     "op2_source_mixing": rf"""
 WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('{mixing.SEED}' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
@@ -125,7 +125,13 @@ levels AS (
   FROM (SELECT DISTINCT ratio FROM w) x, w y GROUP BY x.ratio),
 lvl AS (SELECT min_by(level, ratio) AS level FROM levels WHERE level <= ratio),
 t AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * level) AS target FROM w, lvl),
-q AS (SELECT *, least(round(target)::BIGINT, 3 * source_size) AS quota FROM t),
+r AS (SELECT *, least(round(target)::BIGINT, 3 * source_size) AS wanted FROM t),
+span AS (SELECT source, (sum(wanted) OVER w - wanted)::DOUBLE / (sum(wanted) OVER ())::DOUBLE AS lo,
+                (sum(wanted) OVER w)::DOUBLE / (sum(wanted) OVER ())::DOUBLE AS hi FROM r WHERE wanted > 0 WINDOW w AS (ORDER BY source NULLS LAST)),
+point AS (SELECT ((i::HUGEINT * {mixing.GOLDEN_32}) % 4294967296)::DOUBLE / 4294967296 AS u
+          FROM range(((SELECT coalesce(sum(wanted), 0) FROM r)::BIGINT + {mixing.BLOCK_WORDS - 1}) // {mixing.BLOCK_WORDS}) x(i)),
+drawn AS (SELECT source, count(*) AS n FROM span JOIN point ON u >= lo AND u < hi GROUP BY source),
+q AS (SELECT r.*, least(coalesce(n, 0) * {mixing.BLOCK_WORDS}, 3 * source_size) AS quota FROM r LEFT JOIN drawn ON r.source IS NOT DISTINCT FROM drawn.source),
 a AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM d)
 SELECT doc_id, size, q.source_size, q.target,
   (CASE WHEN size = 0 THEN 0 ELSE (quota // q.source_size) * size + greatest(0, least(quota % q.source_size, begins + size) - begins) END)::BIGINT AS taken
