@@ -41,7 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each document and epoch taken; a source's last document is cut at its target."""
+    """The mix: a row, whole, for each document and epoch taken."""
     return mixing.mixed_documents(docs)
 
 
