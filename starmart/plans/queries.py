@@ -468,6 +468,26 @@ def q_fact_layout(spark, sf_dir):
     return fact_output(read_fact(spark, new_path))
 
 
+LAYOUT_COLUMNS = ("invoice_date_only", "stock_code", "customer_id")
+LAYOUT_FILES = 64
+
+
+@query("clustering_depth")
+def q_clustering_depth(spark, sf_dir):
+    """Depth and files read per column, of staged lines sorted by day and of the
+    same lines in Z-order of day, product and customer."""
+    from starmart.operators.layout import layout_report, write_z_ordered
+    from starmart.session import scratch_path
+
+    stg = staging(spark, sf_dir).select(*LAYOUT_COLUMNS, "quantity", "unit_price")
+    by_day, by_z = scratch_path(spark, "lines-by-day"), scratch_path(spark, "lines-by-z")
+    stg.repartitionByRange(LAYOUT_FILES, "invoice_date_only", F.xxhash64(*stg.columns)).sortWithinPartitions("invoice_date_only").write.parquet(by_day)
+    write_z_ordered(spark.read.parquet(by_day), LAYOUT_COLUMNS, by_z, LAYOUT_FILES)
+    reports = [layout_report(spark.read.parquet(p), LAYOUT_COLUMNS).select(F.lit(n).alias("layout"), "*")
+               for n, p in (("by_day", by_day), ("z_order", by_z))]
+    return reports[0].unionAll(reports[1])
+
+
 # --------------------------------------------------------------- data-quality checks
 def star_tables(spark, sf_dir, write_fact: bool = False,
                 raw: DataFrame | None = None) -> dict[str, DataFrame]:
