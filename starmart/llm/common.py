@@ -117,9 +117,12 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the column ``text`` by ``packed``: its UTF-8 bytes under zstd (null stays null), for shuffles of whole texts."""
     for b in batches:
         at = b.schema.get_field_index("text")
-        raw = b.column(at).cast(pa.binary()).to_pylist()
-        packed = pa.array([None if t is None else len(t).to_bytes(8, "little") + pa.compress(t, "zstd", asbytes=True) for t in raw], pa.binary())
-        yield b.set_column(at, "packed", packed)
+        out = []
+        for t in b.column(at).cast(pa.binary()):  # a row at a time: no second copy of a batch's texts
+            raw = t.as_buffer()
+            out.append(None if raw is None else raw.size.to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True))
+        yield b.set_column(at, "packed", pa.array(out, pa.binary()))
+        release()
 
 
 def unpack(packed: pa.Array) -> pa.Array:

@@ -38,9 +38,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, rolling, scramble, split_words,
+from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, release, rolling, scramble, split_words,
                                  text_slices, unpack)
 
+#: text handled at once, and Arrow batch, in bytes
+SLICE_BYTES = 4 << 20
 WINDOW = 50
 RUN = 20
 BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F)
@@ -69,7 +71,7 @@ def _anchors(window: int, run: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = b.column("text")
-            for lo, hi in text_slices(text):
+            for lo, hi in text_slices(text, SLICE_BYTES):
                 codes, starts, words = split_words(text.slice(lo, hi - lo))
                 h = hash_words(words)[codes] if len(codes) else np.empty(0, np.uint64)
                 _, value, at = _minimizers(h, starts, window, run)
@@ -78,6 +80,7 @@ def _anchors(window: int, run: int):
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("tkey").take(take),
                                                   pa.array(value[one].view(np.int64))], schema=kind)
+                release()
 
     return scan
 
@@ -95,7 +98,7 @@ def _windows(window: int, run: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text, hits = unpack(b.column("packed")), b.column("hits")
-            for lo, hi in text_slices(text, 4 << 20):
+            for lo, hi in text_slices(text, SLICE_BYTES):
                 codes, starts, words = split_words(text.slice(lo, hi - lo))
                 h = hash_words(words)[codes] if len(codes) else np.empty(0, np.uint64)
                 first, value, least = _minimizers(h, starts, window, run)
@@ -124,6 +127,7 @@ def _windows(window: int, run: int):
                     [pa.array(value[begin].view(np.int64)), doc, b.column("tkey").take(take), pa.array(doc.to_numpy() == leader[begin]),
                      pa.array((first - starts[row])[begin].astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(np.append(begin, len(v)).astype(np.int32)), pa.array(v.view(np.int64)))], schema=kind)
+                release()
 
     return scan
 
@@ -199,7 +203,7 @@ def _apply(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text, positions, whole = unpack(b.column("packed")), b.column("positions"), b.column("whole")
-            for lo, hi in text_slices(text):
+            for lo, hi in text_slices(text, SLICE_BYTES):
                 total, removed, kept, out = [], [], [], []
                 for t, p, every in zip(text.slice(lo, hi - lo).cast(pa.binary()).to_pylist(), positions.slice(lo, hi - lo),
                                        whole.slice(lo, hi - lo).to_pylist()):
@@ -219,13 +223,14 @@ def _apply(window: int):
                     out.append([{"first": a, "end": e} for a, e in gaps])
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                                                   pa.array(kept, pa.string()), pa.array(out, spans)], schema=kind)
+                release()
 
     return cut
 
 
 def dedup_substrings(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, run: int = RUN) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, spans) for every row: kept words joined by one space, removed word intervals."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SLICE_BYTES)
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tkey"))
     gone = removal_windows(d, window, run).select(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt"), "positions", "whole")
     out = d.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
