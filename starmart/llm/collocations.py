@@ -40,6 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.llm.bloom import in_filter, key_filter
 from starmart.llm.common import bounded_batches, materialize, release, squeeze, text_slices, unsqueeze
 
 MIN_COUNT = 30
@@ -52,10 +53,6 @@ UNKNOWN = "und"
 #: text of one block, in bytes
 BLOCK_BYTES = 8 << 20
 
-#: bits of the filter of frequent phrases (8 MB, the only thing broadcast) and positions of each phrase in it
-FILTER_BITS = 1 << 26
-PROBES = 4
-
 WORDS = "lang string, word string, n long, hashes binary, parts binary, codes binary, starts binary"
 #: Classes of bytes: 0 in a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -95,44 +92,6 @@ def _by_count(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return distinct[order], count[order], place[row]
 
 
-def _hash_longs(values: np.ndarray) -> np.ndarray:
-    """XXH64 of rows of 64-bit integers, chained from seed 42, as Spark's ``xxhash64`` has it."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    h = np.full(len(values), 42, np.uint64)
-    for x in values.T.view(np.uint64):
-        k = x * p2
-        k = (k << np.uint64(31) | k >> np.uint64(33)) * p1
-        h = (h + p5 + np.uint64(8)) ^ k
-        h = (h << np.uint64(27) | h >> np.uint64(37)) * p1 + p4
-        h = (h ^ h >> np.uint64(33)) * p2
-        h = (h ^ h >> np.uint64(29)) * p3
-        h ^= h >> np.uint64(32)
-    return h
-
-
-def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    h = _hash_longs(np.ascontiguousarray(keys))
-    low, step = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
-    found = np.ones(len(h), bool)
-    for i in range(PROBES):
-        at = (low + np.uint64(i) * step) % np.uint64(FILTER_BITS)
-        found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-    return found
-
-
-def phrase_filter(frequent: DataFrame, key: list[str]) -> np.ndarray:
-    """Bloom filter of the phrases: ``FILTER_BITS`` bits, put together in Spark in pieces of 4 KB."""
-    h = F.xxhash64(*key)
-    low, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
-    at = F.explode(F.array(*[(low + i * step) % FILTER_BITS + 1 for i in range(PROBES)]))  # bitmaps number bits from 1
-    pieces = frequent.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in pieces.collect():  # at most FILTER_BITS / 32768 rows
-        out[(r.piece - 1) * 4096:r.piece * 4096] = np.frombuffer(r.bits, np.uint8)
-    return out
-
-
 def _pack_bits(bits: np.ndarray) -> bytes:
     return len(bits).to_bytes(8, "little") + np.packbits(bits).tobytes()
 
@@ -185,7 +144,7 @@ def _extend(bits, k: int):
         for b in batches:
             for packed, raw, part, code in zip(*(b.column(c).to_pylist() for c in ("starts", "hashes", "parts", "codes"))):
                 hashes, parts, codes = np.frombuffer(raw, np.int64), unsqueeze(part, np.int32).reshape(-1, k), unsqueeze(code, np.int32)
-                frequent = np.flatnonzero(_in_filter(held, hashes[parts]))
+                frequent = np.flatnonzero(in_filter(held, hashes[parts]))
                 local = np.full(len(parts) + 1, -1, np.int64)
                 local[frequent + 1] = np.arange(len(frequent))
                 here = local[codes]
@@ -228,7 +187,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     tables = [frequent.select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"))]
     for k in range(2, max_words + 1):
         short, key = [f"w{i}" for i in range(1, k)], [f"w{i}" for i in range(1, k + 1)]
-        bits = spark.sparkContext.broadcast(phrase_filter(tables[-1], short).tobytes())
+        bits = spark.sparkContext.broadcast(key_filter(tables[-1], short).tobytes())
         rows = relation.where("n IS NULL").select("hashes", "parts", "codes", "starts")
         schema = ", ".join(f"{c} long" for c in key) + ", n long, hashes binary, parts binary, codes binary, starts binary"
         relation = materialize(rows.mapInArrow(_extend(bits, k - 1), schema), f"occurrences-{k}")
