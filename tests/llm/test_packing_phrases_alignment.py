@@ -227,3 +227,14 @@ def test_alignment_pairs(spark):
     got = pairs.orderBy(F.desc("count"), "a").collect()
     assert got[0]["count"] == 2 and all(r["count"] == 1 and r["top"] == 1 for r in got[1:])
     assert {r.doc_id: r.count_sum for r in out.collect()} == {1: 6, 2: 3}
+
+
+def test_filter_misses_no_key(spark):
+    from starmart.llm.bloom import in_filter, key_filter
+
+    r = random.Random(9)
+    keys = [(r.getrandbits(64) - (1 << 63), r.getrandbits(64) - (1 << 63)) for _ in range(5000)]
+    held = key_filter(spark.createDataFrame(keys, "a long, b long"), ["a", "b"])
+    assert in_filter(held, np.array(keys, np.int64)).all()
+    assert in_filter(held, np.array([(b, a) for a, b in keys], np.int64)).sum() < 5
+    assert not in_filter(key_filter(spark.createDataFrame([], "a long"), ["a"]), np.array([[1], [2]], np.int64)).any()

@@ -43,3 +43,18 @@ def test_pipeline_stages(spark, tmp_path):
     tokens = kept["token_output"].orderBy("start").collect()
     assert len(tokens) == kept["source_mixing"].count() and tokens[0].start == 0
     assert all(a.start + a.n_tokens == b.start for a, b in zip(tokens, tokens[1:]))
+
+
+def test_pipeline_of_an_empty_table_and_of_rows_without_text(spark, tmp_path):
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    whole.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "few" / "benchmark.parquet"))
+    from pyspark.sql import functions as F
+
+    blank = whole.limit(3).withColumn("text", F.lit(None).cast("string")).withColumn("source", F.lit(None).cast("string"))
+    whole.limit(60).unionByName(blank).unionByName(blank.withColumn("text", F.lit("")).withColumn("doc_id", F.lit(None).cast("long"))).write.parquet(
+        str(tmp_path / "few" / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "few"))
+    assert got.count() > 30 and got.where("doc_id is null").count() == 0
