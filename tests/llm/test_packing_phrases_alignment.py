@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.llm import collocations, packing, queries, token_align, token_store
-from tests.llm.test_operators import DOCS, lower, prose, rows
+from tests.llm.test_operators import DOCS, lower, rows
 
 
 @pytest.fixture(scope="module")
