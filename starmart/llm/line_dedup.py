@@ -1,37 +1,33 @@
-"""Fuzzy line dedup: tables of least gram hashes, SimHash, edit similarity, connected groups.
-
-Lines are normalised (lower case, every run of characters that are not letters
-becomes one space, trimmed).  Two distinct lines are linked if the edit
-similarity of the normalised lines, ``1 - levenshtein / longer length``, is at
-least 0.8.  Each line has a 64-bit SimHash of its grams of ``GRAM`` bytes; pairs
-that meet are verified if their lengths allow the similarity and the fingerprints
-differ in at most the ``RADIUS`` of their class.
-
-Candidates: at 0.8 fingerprints differ in up to about 22 bits, where blocks of a
-64-bit fingerprint are too short to join on, so the blocks are cut from the text:
-each of ``TABLES`` tables joins on the least of a line's gram hashes under the
-table's order (two lines agree with the share of grams they have in common).
-Grams are short for short lines and long for long ones; the length classes of
-``CLASSES`` overlap, so that two lines whose lengths are within 0.8 are always in
-one class together.  Measured recall is in the README.  Equal lines of a batch
-collapse before the join.  Buckets are spread over groups of about 65,536 rows
-(their number grows with the data); fingerprints of a bucket are compared in
-numpy, lines with a partner get their text, links are verified there, and only
-star edges of the verified links' components leave the task, never all pairs.
+"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, connected groups.
+
+Lines are normalised (lower case; every run of characters that are not letters,
+marks or numbers becomes one space; trimmed) and fingerprinted by a 64-bit
+SimHash of their words.  Two distinct lines are linked if their fingerprints
+differ in at most ``RADIUS`` bits and the edit similarity of the normalised
+lines, ``1 - levenshtein / longer length``, is at least 0.8.
+
+Candidates: 64 bits in five blocks; three differing bits leave two blocks equal,
+so ten tables, one for each pair of blocks, join on 25 or 26 equal bits and find
+every pair within the radius.  Equal lines collapse before the join.  Buckets are
+spread over groups of about 65,536 rows (their number grows with the data);
+fingerprints of a bucket are compared in numpy, lines with a partner get their
+text, links are verified there, and only star edges of the verified links'
+components leave the task, never all pairs.
 
 Of each connected group one occurrence stays: the first by (doc_id, line
-number).  Lines without letters are never duplicates.
+number).  Lines without a letter, mark or number are never duplicates.
 
 Defined cases: a null text has no lines; an empty text has one empty line;
 null doc_ids order first; rows with equal doc_id are told apart by a hash of
 their text, and equal rows repeated count as one document with one decision;
-an empty table gives an empty result.
+an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,96 +36,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import bounded_batches, materialize, pack, rolling, scramble, text_slices, unpack
+from starmart.llm.bloom import in_filter, key_filter
+from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, release, scramble, split_words, text_slices,
+                                 unpack)
 from starmart.llm.components import components
 
+RADIUS = 3
+BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.8
-#: bytes of the grams that fingerprints vote on
-GRAM = 4
-TABLES = 10
-#: (gram bytes, least and greatest length in characters, radius); each class begins at 0.8 of the end of the one before.
-#: Lines of a few words have too few grams for fingerprints to tell anything: there every pair that meets is verified.
-CLASSES = ((2, 1, 14, 64), (4, 12, 36, 64), (8, 29, 64, 26), (11, 52, 140, 24), (14, 113, 1 << 31, 22))
-RADIUS = np.array([radius for *_, radius in CLASSES for _ in range(TABLES)])
-#: bytes of lines handled at once: their gram hashes stay in a core's cache
-CHUNK_BYTES = 32 << 10
 
 
 def normalise(lines: pa.Array) -> pa.Array:
-    return pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(lines), r"[^\p{L}]+", " "))
-
-
-def _grams(lines: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the ``width``-byte grams of each line (none empty; a shorter one is one gram), and each line's first."""
-    raw = lines.cast(pa.binary())
-    size = pc.binary_length(raw).to_numpy().astype(np.int64)
-    data = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
-    if size.min() < width:  # zero bytes pad short lines to one gram
-        room = np.maximum(size, width)
-        flat = np.zeros(int(room.sum()), np.uint8)
-        flat[np.arange(len(data)) + np.repeat(np.cumsum(room) - room - (np.cumsum(size) - size), size)] = data
-        data, size = flat, room
-    h = scramble(rolling(data.astype(np.uint64) + np.uint64(1), width, 0x9E3779B97F4A7C15))
-    ends = np.cumsum(size)
-    inside = np.ones(len(data), bool)  # no gram crosses into the next line
-    for k in range(1, width):
-        inside[ends - k] = False
-    n = size - width + 1
-    return h[inside[:len(h)]], np.cumsum(n) - n
-
-
-def _chunks(lines: pa.Array) -> Iterator[pa.Array]:
-    for lo, hi in text_slices(lines, CHUNK_BYTES):
-        yield lines.slice(lo, hi - lo)
-
-
-def fingerprints(lines: pa.Array) -> np.ndarray:
-    """64-bit SimHash of each line's grams, every occurrence one vote."""
-    done = [np.empty(0, np.uint64)]
-    for part in _chunks(lines):
-        h, at = _grams(part, GRAM)
-        size = np.diff(at, append=len(h))
-        out = np.zeros(len(at), np.uint64)
-        # bits j, j + lane, ... of all hashes are counted in one sum: 64 / lane counters side by side
-        lane = 16 if size.max() < 1 << 16 else 32
-        ones = np.uint64(sum(1 << k for k in range(0, 64, lane)))
-        bit = np.arange(lane, dtype=np.uint64)[:, None]
-        votes = np.stack([np.add.reduceat(h >> j & ones, at) for j in bit[:, 0]])
-        for k in range(0, 64, lane):
-            count = (votes >> np.uint64(k)) & np.uint64((1 << lane) - 1)
-            out |= np.bitwise_or.reduce((2 * count.astype(np.int64) > size).astype(np.uint64) << (bit + np.uint64(k)), axis=0)
-        done.append(out)
-    return np.concatenate(done)
+    return pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(lines), r"[^\p{L}\p{M}\p{N}]+", " "))
 
 
 def simhash(codes: np.ndarray, starts: np.ndarray, words: pa.Array) -> np.ndarray:
-    """Fingerprints of lines given as ``split_words`` returns them."""
-    lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words.take(pa.array(codes)))
-    return fingerprints(pc.binary_join(lists, " "))
-
-
-def keys(lines: pa.Array) -> pa.Array:
-    """For each line, by class, the least gram hash under each table's order (32 bits); as bytes: class, then TABLES keys."""
-    size = pc.utf8_length(lines).to_numpy().astype(np.int64)
-    out = [b""] * len(lines)
-    for c, (width, low, high, _) in enumerate(CLASSES):
-        inside = np.flatnonzero((size >= low) & (size <= high))
-        done = 0
-        for part in _chunks(lines.take(pa.array(inside))):
-            h, at = _grams(part, width)
-            h = (h >> np.uint64(32)).astype(np.uint32)
-            least = np.empty((len(at), TABLES), np.uint32)
-            for k in range(TABLES):
-                least[:, k] = np.minimum.reduceat(h * np.uint32(0x85EBCA6B + 2 * 0x3C6EF372 * k & 0xFFFFFFFF), at)
-            for i, row in zip(inside[done:done + len(at)].tolist(), least):
-                out[i] += bytes([c]) + row.tobytes()
-            done += len(at)
-    return pa.array(out, pa.binary())
+    """64-bit SimHash of each row's words, every occurrence one vote; a bit is 1 if set in over half of them."""
+    n = len(starts) - 1
+    if not len(codes):
+        return np.zeros(n, np.uint64)
+    h = scramble(hash_words(words))[codes]
+    out = np.zeros(n, np.uint64)
+    size = np.diff(starts)
+    full = size > 0
+    at, size = starts[:-1][full], size[full]
+    # bits j, j + lane, ... of all hashes are counted in one sum: 64 / lane counters side by side
+    lane = 16 if size.max() < 1 << 16 else 32
+    ones = np.uint64(sum(1 << k for k in range(0, 64, lane)))
+    for j in range(lane):
+        votes = np.add.reduceat(h >> np.uint64(j) & ones, at)
+        for k in range(0, 64, lane):
+            count = (votes >> np.uint64(k)) & np.uint64((1 << lane) - 1)
+            out[full] |= (2 * count.astype(np.int64) > size).astype(np.uint64) << np.uint64(j + k)
+    return out
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, tkey, line, h1, h2, sim, size, keys): one row for each line with a letter."""
-    names = ["doc_id", "tkey", "line", "h1", "h2", "sim", "size", "keys"]
+    """(doc_id, tkey, line, h1, h2, sim, size): one row for each line with a letter, mark or number."""
+    names = ["doc_id", "tkey", "line", "h1", "h2", "sim", "size"]
     for b in batches:
         text = b.column("text")
         for lo, hi in text_slices(text):
@@ -141,11 +85,12 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             norm, owner, number = norm.take(pa.array(real)), owner[real], number[real]
             raw = norm.cast(pa.binary()).to_pylist()
             both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in raw), np.int64).reshape(-1, 2)
-            sim = fingerprints(norm)
+            sim = simhash(*split_words(norm))
             take = pa.array(owner + lo)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("tkey").take(take), pa.array(number.astype(np.int32)),
                                               pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sim.view(np.int64)),
-                                              pc.cast(pc.utf8_length(norm), pa.int32()), keys(norm)], names=names)
+                                              pc.cast(pc.utf8_length(norm), pa.int32())], names=names)
+            release()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,57 +107,68 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           normalise(pa.array(raw, pa.string()))], names=["doc_id", "tkey", "line", "norm"])
 
 
-def in_tables(n_groups: int):
-    """Each fingerprint of a batch once under each table ``n`` and key, with the group ``g`` of its bucket."""
+#: bit range of each block, and the two ranges of each table as one mask
+_EDGES = np.concatenate(([0], np.cumsum(BLOCKS))).tolist()
+_RANGES = [((1 << (b - a)) - 1) << a for a, b in zip(_EDGES, _EDGES[1:])]
+TABLES = [x | y for x, y in combinations(_RANGES, 2)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _among(bits, inside: bool = True):
+    """``pack`` of the rows whose text hash may be (``inside``) or is not in a filter; those not in it keep their text as it is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = 1 + 4 * TABLES
+        held = np.frombuffer(bits.value, np.uint8)
         for b in batches:
-            raw = np.frombuffer(b"".join(b.column("keys").to_pylist()), np.uint8).reshape(-1, one)
-            row = np.repeat(np.arange(b.num_rows), pc.binary_length(b.column("keys")).to_numpy() // one)
-            n = raw[:, :1].astype(np.int64) * TABLES + np.arange(TABLES)
-            key = np.ascontiguousarray(raw[:, 1:]).view(np.uint32).astype(np.int64)
-            sim, size = b.column("sim").to_numpy()[row], b.column("size").to_numpy()[row]
-            flat = np.stack((n.reshape(-1), key.reshape(-1), np.repeat(sim, TABLES), np.repeat(size, TABLES).astype(np.int64)))
-            order = np.lexsort(flat)
-            flat = flat[:, order]
-            flat = flat[:, np.concatenate(([True], (flat[:, 1:] != flat[:, :-1]).any(axis=0)))] if len(order) else flat
-            g = scramble((flat[0] << 32 | flat[1]).astype(np.uint64)) % np.uint64(n_groups)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[0].astype(np.int16)), pa.array(flat[1].astype(np.uint32).view(np.int32)), pa.array(flat[2]),
-                                              pa.array(flat[3].astype(np.int32)), pa.array(g.astype(np.int32))], names=["n", "key", "sim", "size", "g"])
+            found = in_filter(held, b.column("tkey").to_numpy()[:, None])
+            part = b.filter(pa.array(found == inside))
+            if part.num_rows:
+                yield from pack(iter([part])) if inside else iter([part])
 
     return run
 
 
-def near_in_buckets(n: np.ndarray, key: np.ndarray, sim: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one bucket whose lengths and fingerprints allow the similarity; rows sorted by (n, key)."""
-    a, d = np.arange(len(n)), 0
-    while len(a):
-        d += 1
-        a = a[:np.searchsorted(a, len(n) - d)]
-        a = a[(key[a] == key[a + d]) & (n[a] == n[a + d])]
-        fit = np.minimum(size[a], size[a + d]) >= SIMILARITY * np.maximum(size[a], size[a + d]) - 1e-9
-        near = a[fit]
-        near = near[np.bitwise_count(sim[near] ^ sim[near + d]) <= RADIUS[n[near]]]
-        if len(near):
-            yield near, near + d
+def in_tables(lines: DataFrame, n_groups: int) -> DataFrame:
+    """``lines`` under each table number ``n``, with the group ``g`` of its bucket (equal bits of two blocks)."""
+    each = F.array(*[F.struct(F.lit(n).alias("n"), F.col("sim").bitwiseAND(F.lit(_signed(m))).alias("key")) for n, m in enumerate(TABLES)])
+    return bucketed(lines.withColumn("k", F.explode(each)).withColumn("n", F.col("k.n")).drop("k"), n_groups)
+
 
+def bucketed(rows: DataFrame, n_groups: int) -> DataFrame:
+    masks = F.array(*[F.lit(_signed(m)) for m in TABLES])
+    return rows.withColumn("g", F.pmod(F.xxhash64("n", F.col("sim").bitwiseAND(F.get(masks, F.col("n")))), F.lit(n_groups)).cast("int"))
 
-def _by_bucket(t: pa.Table) -> tuple[np.ndarray, ...]:
-    n, key, sim, size = (t.column(x).to_numpy() for x in ("n", "key", "sim", "size"))
-    order = np.lexsort((size, sim, key, n))
-    return order, n[order], key[order], sim[order].view(np.uint64), size[order]
+
+def near_in_buckets(n: np.ndarray, sim: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within the radius of one bucket, each in the first table that shows it; rows sorted by (n, key)."""
+    masks = np.array(TABLES, np.uint64)
+    key = sim & masks[n]
+    for d in range(1, len(n)):
+        a = np.flatnonzero((key[d:] == key[:-d]) & (n[d:] == n[:-d]))
+        if not len(a):
+            return
+        apart = sim[a] ^ sim[a + d]
+        near = np.bitwise_count(apart) <= RADIUS
+        a, apart = a[near], apart[near]
+        first = ((apart[:, None] & masks[None, :]) == 0).argmax(axis=1) == n[a]
+        yield a[first], a[first] + d
+
+
+def _by_bucket(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, sim = t.column("n").to_numpy(), t.column("sim").to_numpy().view(np.uint64)
+    order = np.lexsort((sim & np.array(TABLES, np.uint64)[n], n))
+    return order, n[order], sim[order]
 
 
 def _partnered(t: pa.Table) -> pa.Table:
-    """(sim, n, key) of fingerprints with a partner in their bucket."""
-    order, n, key, sim, size = _by_bucket(t)
-    once = np.ones(len(order), bool)  # the same row of several batches
-    once[1:] = (n[1:] != n[:-1]) | (key[1:] != key[:-1]) | (sim[1:] != sim[:-1]) | (size[1:] != size[:-1])
-    n, key, sim, size = n[once], key[once], sim[once], size[once]
-    has = np.zeros(len(n), bool)
-    for a, b in near_in_buckets(n, key, sim, size):
+    """(sim, n) of fingerprints with a partner in their bucket."""
+    order, n, sim = _by_bucket(t)
+    has = np.zeros(len(order), bool)
+    for a, b in near_in_buckets(n, sim):
         has[a] = has[b] = True
-    return pa.table({"sim": pa.array(sim[has].view(np.int64)), "n": pa.array(n[has]), "key": pa.array(key[has])})
+    return pa.table({"sim": pa.array(sim[has].view(np.int64)), "n": pa.array(n[has])})
 
 
 def edit_distance(a: str, b: str, limit: float = math.inf) -> float:
@@ -264,9 +220,10 @@ def similar(a: str, b: str) -> bool:
 
 def _verified(t: pa.Table) -> pa.Table:
     """Star edges of the verified links; a pair already in one local group needs no check."""
-    order, n, key, sim, size = _by_bucket(t)
+    order, n, sim = _by_bucket(t)
     at = pa.array(order)
     ids, norm = t.column("h1").to_numpy()[order], t.column("norm").take(at).to_pylist()
+    size = t.column("size").to_numpy()[order]
     up = np.arange(len(order))
 
     def root(i: int) -> int:
@@ -275,8 +232,9 @@ def _verified(t: pa.Table) -> pa.Table:
             i = up[i]
         return i
 
-    for a, b in near_in_buckets(n, key, sim, size):
-        for i, j in zip(a.tolist(), b.tolist()):
+    for a, b in near_in_buckets(n, sim):
+        fit = np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b]) - 1e-9
+        for i, j in zip(a[fit].tolist(), b[fit].tolist()):
             x, y = root(i), root(j)
             if x != y and similar(norm[i], norm[j]):
                 up[max(x, y)] = min(x, y)
@@ -290,35 +248,36 @@ def groups(rows: int) -> int:
     return rows // 65536 + 1
 
 
-def links(lines: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
+def links(lines: DataFrame, docs: DataFrame) -> DataFrame:
     """Star edges (a, b) over line hashes: their components are those of all verified links."""
-    n_groups = groups(TABLES * distinct.count())
-    schema = "n short, key int, sim long, size int, g int"
-    met = lines.select("sim", "size", "keys").mapInArrow(in_tables(n_groups), schema)
-    partnered = met.groupBy("g").applyInArrow(_partnered, "sim long, n short, key int")
-    same = distinct.groupBy("sim").agg(F.count("*").alias("lines")).where("lines > 1")  # equal fingerprints meet in a table of their own
-    same = same.select("sim", F.lit(-1).cast("short").alias("n"), F.hash("sim").alias("key"))
+    spark = docs.sparkSession
+    sims = materialize(lines.groupBy("sim").agg(F.count("*").alias("lines")), "line-sims")
+    n_groups = groups(len(TABLES) * sims.count())
+    partnered = in_tables(sims.select("sim"), n_groups).groupBy("g").applyInArrow(_partnered, "sim long, n int")
+    same = sims.where("lines > 1").select("sim", F.lit(0).alias("n"))  # equal fingerprints meet in the first table
     partnered = materialize(partnered.unionByName(same).distinct(), "line-near")
     # the wanted lines' texts, from their first occurrence
-    near = distinct.join(partnered, "sim").select("h1", "sim", "size", "n", "key", "doc_id", "tkey", "line")
+    near = materialize(lines.join(partnered, "sim").select("h1", "sim", "size", "n", "doc_id", "tkey", "line"), "line-wanted")
     wanted = near.groupBy(F.col("doc_id").alias("wd"), F.col("tkey").alias("wt")).agg(F.collect_set("line").alias("lines"))
-    texts = docs.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
+    # only documents that may have such a line are packed and shuffled
+    some = spark.sparkContext.broadcast(key_filter(near.select("tkey").distinct(), ["tkey"]).tobytes())
+    texts = docs.mapInArrow(_among(some), "doc_id long, packed binary, tkey long").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("wd")) & (F.col("tkey") == F.col("wt"))).dropDuplicates(["doc_id", "tkey"]).select(
         "doc_id", "tkey", "packed", "lines").mapInArrow(_texts, "doc_id long, tkey long, line int, norm string")
     texts = texts.select(F.col("doc_id").alias("xd"), F.col("tkey").alias("xt"), F.col("line").alias("xl"), "norm")
     full = near.join(texts, F.col("doc_id").eqNullSafe(F.col("xd")) & (F.col("tkey") == F.col("xt")) & (F.col("line") == F.col("xl")))
-    full = full.select("h1", "sim", "size", "n", "key", "norm", F.pmod(F.xxhash64("n", "key"), F.lit(n_groups)).cast("int").alias("g"))
+    full = bucketed(full.select("h1", "sim", "size", "n", "norm"), n_groups)
     return full.groupBy("g").applyInArrow(_verified, "a long, b long")
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, tkey, line, h1, h2, root, keep) for each line with a letter; ``docs`` has doc_id, tkey, text."""
+    """(doc_id, tkey, line, h1, h2, root, keep) for each line with a letter, mark or number; ``docs`` has doc_id, tkey, text."""
     lines = materialize(docs.where("text is not null").select("doc_id", "tkey", "text").mapInArrow(
-        _lines, "doc_id long, tkey long, line int, h1 long, h2 long, sim long, size int, keys binary"), "lines")
+        _lines, "doc_id long, tkey long, line int, h1 long, h2 long, sim long, size int"), "lines")
     place = F.struct("doc_id", "tkey", "line")
     distinct = lines.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.first("sim").alias("sim"), F.first("size").alias("size"))
     distinct = materialize(distinct.select("h1", "h2", "sim", "size", "p.*"), "line-distinct")
-    stars = materialize(components(links(lines, distinct, docs), "line-stars"), "line-roots")
+    stars = materialize(components(links(distinct, docs), "line-stars"), "line-roots")
     named = distinct.select("h1", "h2", place.alias("place")).join(
         stars.select(F.col("node").alias("h1"), "root"), "h1", "left")
     # a line outside all groups is its own group: (h1, h2); others go by their root
@@ -334,25 +293,37 @@ def line_groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "tkey", "line", "h1", "h2", "root", keep.alias("keep"))
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        total, removed, kept = [], [], []
-        for t, gone in zip(unpack(b.column("packed")).to_pylist(), b.column("gone")):
-            lines = [] if t is None else t.split("\n")
-            out = set(gone.as_py() or ())
-            total.append(len(lines))
-            removed.append(len(out))
-            kept.append("\n".join(x for i, x in enumerate(lines) if i not in out))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                                         names=["doc_id", "n_lines", "n_removed", "kept"])
+def _apply(texts):
+    """Lines kept of each row; ``texts`` gives a batch's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            total, removed, kept = [], [], []
+            for t, gone in zip(texts(b).to_pylist(), b.column("gone").to_pylist()):
+                lines = [] if t is None else t.split("\n")
+                out = set(gone or ())
+                total.append(len(lines))
+                removed.append(len(out))
+                kept.append(t or "" if not out else "\n".join(x for i, x in enumerate(lines) if i not in out))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                                             names=["doc_id", "n_lines", "n_removed", "kept"])
+            release()
+
+    return run
 
 
 def dedup_lines(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_removed, kept) for every row: kept lines joined by one newline."""
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tkey"))
-    gone = line_groups(d).where("not keep").groupBy(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt")).agg(
-        F.collect_set("line").alias("gone"))
-    out = d.mapInArrow(pack, "doc_id long, packed binary, tkey long").join(
+    gone = materialize(line_groups(d).where("not keep").groupBy(F.col("doc_id").alias("gd"), F.col("tkey").alias("gt")).agg(
+        F.collect_set("line").alias("gone")), "line-gone")
+    # documents that certainly lose nothing go straight through, the others meet their lines
+    some = spark.sparkContext.broadcast(key_filter(gone.select(F.col("gt").alias("tkey")).distinct(), ["tkey"]).tobytes())
+    schema = "doc_id long, n_lines long, n_removed long, kept string"
+    clean = d.mapInArrow(_among(some, False), "doc_id long, text string, tkey long").select(
+        "doc_id", "text", F.lit(None).cast("array<int>").alias("gone")).mapInArrow(_apply(lambda b: b.column("text")), schema)
+    out = d.mapInArrow(_among(some), "doc_id long, packed binary, tkey long").join(
         gone, F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("tkey") == F.col("gt")), "left")
-    return out.select("doc_id", "packed", "gone").mapInArrow(_apply, "doc_id long, n_lines long, n_removed long, kept string")
+    out = out.select("doc_id", "packed", "gone").mapInArrow(_apply(lambda b: unpack(b.column("packed"))), schema)
+    return out.unionAll(clean)
