@@ -45,10 +45,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import (bounded_batches, hash_words, materialize, split_words, squeeze, text_slices,
+from starmart.llm.common import (bounded_batches, hash_words, materialize, release, split_words, squeeze, text_slices,
                                  unsqueeze)
 
 CLASSES = 64
@@ -105,7 +105,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= BLOCK_BYTES:
                 yield close()
                 held, size, block = [], 0, block + 1
-                pa.default_memory_pool().release_unused()
+                release()
     if held:
         yield close()
 
@@ -202,7 +202,8 @@ def _count_contexts(sent, contexts: bool):
                     at = unit[real].astype(np.int64) * CONTEXTS
                     after.add(at + np.concatenate((klass[1:], [END]))[real])
                     before.add(at + prev[real])
-                pa.default_memory_pool().release_unused()
+                del unit, klass, train, prev, of
+                release()
         at = np.flatnonzero(pairs)
         rows = [(-1, 0, at.astype(np.int64), pairs[at])]
         edge = np.array(edges(len(units.classes)), np.int64) * CONTEXTS
@@ -254,11 +255,11 @@ def cluster(spark: SparkSession, blocks: DataFrame, hashes: np.ndarray, counts:
     classes = np.empty(len(counts), np.uint8)
     classes[np.argsort(-counts, kind="stable")] = np.arange(len(counts)) % CLASSES
     edge = edges(len(counts))
-    tasks = 2 * spark.sparkContext.defaultParallelism  # each task sends one merged table
     for sweep in count():
         units = Units(hashes, counts, classes)
         sent = spark.sparkContext.broadcast(units)
-        counted = materialize(blocks.select("held", "ends", "codes", "hashes", "ending").coalesce(tasks).mapInArrow(_count_contexts(sent, sweep < sweeps), "range int, side int, at binary, n binary"), "contexts")
+        counted = materialize(blocks.select("held", "ends", "codes", "hashes", "ending").mapInArrow(
+            _count_contexts(sent, sweep < sweeps), "range int, side int, at binary, n binary"), "contexts")
         bigrams = class_bigrams(counted)
         if sweep == sweeps:
             return units, bigrams
@@ -267,7 +268,7 @@ def cluster(spark: SparkSession, blocks: DataFrame, hashes: np.ndarray, counts:
             now = sent.value.classes
             k = t.column("range")[0].as_py()
             n = edge[k + 1] - edge[k]
-            both = np.zeros((2, n * CONTEXTS), np.float32)
+            both = np.zeros((2, n * CONTEXTS), np.int64)
             for side, at, c in zip(t.column("side").to_pylist(), t.column("at"), t.column("n")):
                 both[side][np.cumsum(unsqueeze(at.as_py(), np.int32))] += unsqueeze(c.as_py(), np.int64)
             out = np.empty(n, np.int64)
@@ -360,10 +361,11 @@ def score_documents(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     blocks = materialize(d.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
     vocab = blocks.select("block", "hashes", "counts", "ending").mapInArrow(_vocabulary, "block long, h long, n long, ending int")
-    same = Window.partitionBy("h")
-    words = vocab.select("block", "h", "ending", F.sum("n").over(same).alias("c"), F.min("block").over(same).alias("lead"))
-    words = materialize(words.withColumn("lead", F.col("block") == F.col("lead")), "words")
-    once = words.where("lead and c > 0")
+    # summed in two steps, then back to the blocks: a common word is one row for each block
+    vocab = materialize(vocab, "block-words")
+    counted = materialize(vocab.groupBy("h").agg(F.sum("n").alias("c"), F.first("ending").alias("ending")), "words")
+    words = vocab.select("block", "h", "ending").join(counted.select("h", "c"), "h")
+    once = counted.where("c > 0")
     tokens = int(blocks.agg(F.sum("tokens")).first()[0] or 0)
     often = once.where(F.col("c") >= MIN_COUNT).select("h", "c").toPandas()
     h, c = often["h"].to_numpy(np.int64).view(np.uint64), often["c"].to_numpy(np.int64)
