@@ -36,23 +36,35 @@ def order_number(df: DataFrame, name: str) -> Column:
     return F.coalesce(number, F.lit(float("-inf")))
 
 
+def _spread(number: int, place: int, columns: int, bits: int) -> int:
+    """The bits of a column's range number at their places in the key."""
+    return sum((number >> k & 1) << (k * columns + place) for k in range(bits))
+
+
+def _by_range(value: Column, edges: Sequence[float], codes: Sequence[int]) -> Column:
+    """``codes[n]`` of the number n of ``edges`` (ascending) below the value, by halving: a value meets the logarithm of their number."""
+    if not edges:
+        return F.lit(codes[0]).cast("long")
+    m = len(edges) // 2
+    return F.when(value > edges[m], _by_range(value, edges[m + 1:], codes[m + 1:])).otherwise(_by_range(value, edges[:m], codes[:m + 1]))
+
+
 def z_key(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """Interleaved range numbers of the columns; reads one row of quantiles."""
+    """Interleaved range numbers of the columns, from their order numbers in columns ``__n0``, ``__n1`` and so on; reads one row of quantiles."""
     shares = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
     bounds = df.agg(*[F.percentile_approx(order_number(df, c), shares, 10_000).alias(f"b{i}") for i, c in enumerate(columns)]).first()
     key = F.lit(0).cast("long")
     for j, c in enumerate(columns):
         edges = sorted(set(bounds[j] or ()))
-        value = order_number(df, c)
-        below = [F.when(value > e, F.lit(1)).otherwise(F.lit(0)) for e in edges]
-        number = F.aggregate(F.array(*below), F.lit(0), lambda n, x: n + x) if below else F.lit(0)
-        for k in range(bits):
-            key = key.bitwiseOR(F.shiftleft(F.shiftright(number, k).bitwiseAND(F.lit(1)).cast("long"), k * len(columns) + j))
+        codes = [_spread(n, j, len(columns), bits) for n in range(len(edges) + 1)]
+        key = key.bitwiseOR(_by_range(F.col(f"__n{j}"), edges, codes))
     return key
 
 
 def write_z_ordered(df: DataFrame, columns: Sequence[str], path: str, files: int) -> None:
-    keyed = df.withColumn("__z", z_key(df, columns)).withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    # each order number is worked out once a row, however many ranges it is compared with
+    numbered = df.withColumns({f"__n{j}": order_number(df, c) for j, c in enumerate(columns)})
+    keyed = numbered.select(*[F.col(f"`{c}`") for c in df.columns], z_key(df, columns).alias("__z"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h"))
     keyed.repartitionByRange(files, "__z", "__h").sortWithinPartitions("__z", *[f"`{c}`" for c in columns]).drop("__z", "__h").write.parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from starmart.operators.layout import layout_report, write_z_ordered
+from starmart.operators.layout import layout_report, order_number, write_z_ordered, z_key
 from starmart.plans.queries import LAYOUT_COLUMNS, REGISTRY
 
 from .conftest import SMOKE
@@ -28,3 +28,17 @@ def test_report_counts_overlaps_and_rows_stay(spark, tmp_path):
     depth = [sum(x.lo <= y.hi and x.hi >= y.lo for x in files) for y in files]
     r = {x.column: x for x in layout_report(back, ("a", "b")).collect()}["a"]
     assert r.files == len(files) and r.max_depth == max(depth) and abs(r.mean_depth - sum(depth) / len(depth)) < 1e-9
+
+
+def test_order_numbers_are_worked_out_once_a_row(spark, tmp_path):
+    rows = [(i % 97, f"k{i * 7919 % 89:02d}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    numbered = df.withColumns({f"__n{j}": order_number(df, c) for j, c in enumerate(df.columns)})
+    keyed = numbered.select("a", "b", z_key(df, df.columns).alias("z"))
+    assert keyed._jdf.queryExecution().optimizedPlan().toString().count("conv(") == 1
+    # the key against its definition: bits of the numbers of quantiles below a value, in turn
+    shares = [i / 64 for i in range(1, 64)]
+    edges = [sorted(set(df.agg(F.percentile_approx(order_number(df, c), shares, 10_000)).first()[0])) for c in df.columns]
+    for r in keyed.join(numbered.distinct(), ["a", "b"]).limit(300).collect():
+        numbers = [sum(v > e for e in edges[j]) for j, v in enumerate((r["__n0"], r["__n1"]))]
+        assert r.z == sum((numbers[j] >> k & 1) << (2 * k + j) for j in (0, 1) for k in range(6))
