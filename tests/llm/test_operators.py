@@ -226,6 +226,15 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty)[0].count() == 0
 
 
+def test_mixing_takes_every_target_to_the_word(spark):
+    texts = [(i, "w " * (7 + i * 13 % 90), f"s{min(i % 17, 4)}") for i in range(300)] + [(900, "a b c", None), (901, "one", "rare")]
+    got, _ = mixing.mix(spark.createDataFrame(texts, "doc_id long, text string, source string"))
+    per = got.groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(per) == 7
+    for r in per:
+        assert r["sum(taken)"] == round(r["max(target)"])
+
+
 @pytest.mark.parametrize("whole", [False, True])
 def test_token_files(spark, docs, empty, tmp_path, whole):
     from tokenizers import Tokenizer
