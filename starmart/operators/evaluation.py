@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
+from starmart.session import PARQUET, scratch_path
 
 _WIDE = "decimal(38,0)"
 
@@ -24,7 +24,7 @@ def rank_auc(df: DataFrame, score: str, label: str, by: tuple[str, ...] = (), ra
     counts = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)).groupBy(*by, F.col(score).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     path = scratch_path(spark, "auc-counts")
-    counts.repartitionByRange(n, *by, "s").withColumn("range", F.spark_partition_id()).write.parquet(path)
+    counts.repartitionByRange(n, *by, "s").withColumn("range", F.spark_partition_id()).write.options(**PARQUET).parquet(path)
     counts = spark.read.parquet(path)
     key = [*by, "range"]
     before = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)   # one row a range

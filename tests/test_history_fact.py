@@ -225,3 +225,12 @@ def test_join_as_of_compares_no_fact_with_every_version(spark):
         for i, k, ts in facts:
             want[i] = next((v for c, v, lo, hi in history if c == k and (lo <= ts or v in ("v0", "w")) and (hi is None or ts < hi)), None)
         assert got == want and sum(v is None for v in want.values()) > 100
+
+
+def test_join_as_of_deals_no_column_that_nobody_reads(spark):
+    facts = spark.createDataFrame([("o1", "c1", T2, "x" * 50)], "id string, customer_id string, ts timestamp_ntz, wide string")
+    ranges = version_ranges(_history(spark), "customer_id", ["customer_key"])
+    out = join_as_of(facts, ranges, "customer_id", "ts", ["customer_key"])
+    assert out.columns == ["id", "customer_id", "ts", "wide", "customer_key"] and out.first().wide == "x" * 50
+    plan = out.select("id", "customer_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("wide" in line and "xxhash64" not in line for line in plan.splitlines() if "Union" in line or "Project" in line or "Window" in line)

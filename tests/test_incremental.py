@@ -160,3 +160,22 @@ def test_checks_run_over_new_lines_only(spark, tmp_path):
     assert now == ["expression_is_true__staging__quantity", "not_in_future__staging__invoice_date"]
     check_runs.check_new_lines(spark, root, as_of, dt.datetime(2020, 3, 3))
     assert {r.rows_checked for r in check_runs.results(spark, root).where("day(run_ts) = 3").collect()} == {0}
+
+
+def test_a_first_batch_is_written_once_and_not_compared(spark, tmp_path):
+    import pathlib
+
+    kept = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def copies():
+        return {p.name for name in ("batch-lines", "line-changes") for p in kept.glob(f"{name}-*")}
+
+    root, before = str(tmp_path / "w"), copies()
+    twice = [line("1", "p", "01-10"), line("1", "p", "01-10", "a longer thing"), line("2", "p", "02-20")]
+    inc.apply_batch(spark, spark.createDataFrame(twice, RAW), dt.datetime(2020, 3, 1), root)
+    assert copies() == before  # the lines went into the warehouse, nowhere else
+    # a batch of other months is written, and compared with nothing
+    inc.apply_batch(spark, spark.createDataFrame([line("3", "p", "04-10")], RAW), dt.datetime(2020, 5, 1), root)
+    assert {n.rsplit("-", 1)[0] for n in copies() - before} == {"batch-lines"}
+    assert sorted(r.description for r in inc.lines(spark, root).collect()) == ["a longer thing", "a thing", "a thing"]
+    same(inc.lines(spark, root), clean_order_lines(spark.createDataFrame(twice + [line("3", "p", "04-10")], RAW)))

@@ -133,3 +133,18 @@ def test_calendar_bounds_end_exclusive_and_empty_raises(spark):
     empty = spark.createDataFrame([], "invoice_date timestamp_ntz")
     with pytest.raises(Exception, match="empty"):
         calendar(calendar_bounds(empty)).collect()
+
+
+def test_raw_lines_are_not_dealt_by_customer(spark):
+    from starmart.sources import raw_order_lines
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = raw_order_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = next(i for i, x in enumerate(plan) if "Join [o_custkey" in x)
+    depth = plan[at].index("SortMergeJoin")
+    below = [x for x in plan[at + 1:] if len(x) - len(x.lstrip(" :+-")) > depth]
+    assert any("c_custkey" in x for x in below) and not any("l_partkey" in x for x in below)
