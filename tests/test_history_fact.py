@@ -234,3 +234,20 @@ def test_join_as_of_deals_no_column_that_nobody_reads(spark):
     assert out.columns == ["id", "customer_id", "ts", "wide", "customer_key"] and out.first().wide == "x" * 50
     plan = out.select("id", "customer_key")._jdf.queryExecution().optimizedPlan().toString()
     assert not any("wide" in line and "xxhash64" not in line for line in plan.splitlines() if "Union" in line or "Project" in line or "Window" in line)
+
+
+def test_salted_fact_deals_no_column_that_nobody_reads(spark):
+    from starmart.operators import calendar as cal
+    from starmart.operators.fact import sales_fact
+    from starmart.operators.staging import clean_order_lines
+
+    raw = spark.createDataFrame([(str(i), "p", "a thing", "2", "2020-01-10 10:00:00", "1.50", "c1", "X") for i in range(9)],
+                                "invoice_no string, stock_code string, description string, quantity string, invoice_date string, "
+                                "unit_price string, customer_id string, country string")
+    lines = clean_order_lines(raw)
+    products = spark.createDataFrame([("p", "P", T1, None)], "stock_code string, product_key string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    hot = [heavy_keys(lines, k, parts=4) for k in ("customer_id", "stock_code")]
+    fact = sales_fact(lines, _history(spark), products, cal.calendar(cal.calendar_bounds(lines)), *hot)
+    assert fact.count() == 9 and {(r.customer_key, r.product_key) for r in fact.collect()} == {("K1", "P")}
+    plan = fact.select("product_key", "quantity")._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_item_id" not in plan and "md5" not in plan
