@@ -5,8 +5,10 @@ and one end token after each document.  What is learnt, over all training
 documents: the count of every word, classes, class transitions, emissions.
 
 Documents are coded in blocks of about 8 MB of text: word codes, and the
-block's own vocabulary as (64-bit word hash, training count).  Spark sums the
-counts of every word over the blocks.  The units that are clustered are words
+block's own vocabulary as (64-bit word hash, training count), sorted by hash.
+Spark sums the counts of every word over the blocks: each block cuts its vocabulary
+at the bounds of ``buckets`` hash ranges, a range meets in one task and gives each
+block the sums of its words back, in the block's order.  The units that are clustered are words
 with at least ``MIN_COUNT`` training tokens and, for rarer words, seen or not,
 ``ENDINGS`` groups by a hash of their last two characters.  Hash, count and class
 of the units (17 bytes each) are broadcast; context counts are kept sparse, in
@@ -60,6 +62,7 @@ ALPHA = 0.1
 DISCOUNT = 0.5
 BLOCK_BYTES = 8 << 20
 RANGE_UNITS = 16384  # units of a range; a range is one task
+BUCKET_WORDS = 1 << 20  # words of all blocks in one range of hashes; a range is one task
 PENDING = 1 << 20  # context counts held before they are summed up
 #: the end token's class, after those of the units
 END = CLASSES
@@ -95,7 +98,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "codes": pa.array([squeeze(codes.astype(np.int32))], pa.binary()), "hashes": pa.array([h[order].tobytes()], pa.binary()),
             "counts": pa.array([squeeze(count)], pa.binary()),
             "ending": pa.array([squeeze((tail % np.uint64(ENDINGS)).astype(np.int32))], pa.binary()),
-            "tokens": pa.array([int((~out).sum() + train.sum())], pa.int64())})
+            "tokens": pa.array([int((~out).sum() + train.sum())], pa.int64()), "words": pa.array([len(h)], pa.int64())})
 
     for b in batches:
         text = b.column("text")
@@ -111,7 +114,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 BLOCK_SCHEMA = ("block long, doc_id array<long>, held binary, ends binary, codes binary, hashes binary, counts binary, "
-                "ending binary, tokens long")
+                "ending binary, tokens long, words long")
 
 
 def _numbers(row: pa.RecordBatch, name: str, kind: type, i: int = 0) -> np.ndarray:
@@ -119,13 +122,43 @@ def _numbers(row: pa.RecordBatch, name: str, kind: type, i: int = 0) -> np.ndarr
     return np.frombuffer(raw, kind) if name == "hashes" else unsqueeze(raw, kind)
 
 
-def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for i in range(b.num_rows):
-            h = _numbers(b, "hashes", np.int64, i)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(h), b.column("block")[i].as_py(), np.int64)), "h": pa.array(h),
-                                              "n": pa.array(_numbers(b, "counts", np.int64, i)),
-                                              "ending": pa.array(_numbers(b, "ending", np.int32, i))})
+def _vocabulary(buckets: int):
+    """(bucket, block, hashes, counts, ending): each block's vocabulary, cut at the bounds of equal ranges of hashes."""
+    bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                h, n, ending = (_numbers(b, c, t, i) for c, t in (("hashes", np.uint64), ("counts", np.int64), ("ending", np.int32)))
+                cut = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
+                parts = [(k, slice(lo, hi)) for k, (lo, hi) in enumerate(zip(cut, cut[1:])) if lo < hi]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([k for k, _ in parts], pa.int32()), "block": pa.array([b.column("block")[i].as_py()] * len(parts), pa.int64()),
+                    "hashes": pa.array([h[x].tobytes() for _, x in parts], pa.binary()),
+                    "counts": pa.array([squeeze(n[x]) for _, x in parts], pa.binary()),
+                    "ending": pa.array([squeeze(ending[x]) for _, x in parts], pa.binary())})
+
+    return run
+
+
+def _summed(t: pa.Table) -> pa.Table:
+    """One bucket: a row for each block with the training counts of its words over all blocks (``c``), and one without a block:
+    words of at least MIN_COUNT (``hashes``, ``c``), number (``seen``) and tokens (``mass``) of the rarer ones by ending."""
+    hashes = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("hashes")]
+    n, ending = (np.concatenate([unsqueeze(x.as_py(), kind) for x in t.column(c)]) for c, kind in (("counts", np.int64), ("ending", np.int32)))
+    h, first, row = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    total = np.zeros(len(h), np.int64)
+    np.add.at(total, row, n)
+    ending, often, rare = ending[first], total >= MIN_COUNT, (total > 0) & (total < MIN_COUNT)
+    seen, mass = np.bincount(ending[rare], minlength=ENDINGS), np.zeros(ENDINGS, np.int64)
+    np.add.at(mass, ending[rare], total[rare])
+    each = np.split(total[row], np.cumsum([len(x) for x in hashes])[:-1])
+    none = [None] * len(each)
+    return pa.table({"bucket": pa.array([t.column("bucket")[0].as_py()] * (len(each) + 1), pa.int32()),
+                     "block": pa.array([*t.column("block").to_pylist(), None], pa.int64()),
+                     "c": pa.array([*map(squeeze, each), squeeze(total[often])], pa.binary()),
+                     "hashes": pa.array([*none, h[often].tobytes()], pa.binary()), "seen": pa.array([*none, squeeze(seen)], pa.binary()),
+                     "mass": pa.array([*none, squeeze(mass)], pa.binary())})
 
 
 @dataclass
@@ -326,10 +359,10 @@ def _score(model):
 
     def run(blocks: pa.Table, words: pa.Table) -> pa.Table:
         m, out = model.value, []
-        h = words.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h)  # as the block's codes go
-        h, total, ending = h[order], words.column("c").to_numpy()[order], words.column("ending").to_numpy()[order]
-        of = m.units.find(h, ending)
+        parts = sorted(zip(words.column("bucket").to_pylist(), words.column("c").to_pylist()))  # ranges in order: as the block's codes go
+        total = np.concatenate([np.empty(0, np.int64), *[unsqueeze(c, np.int64) for _, c in parts]])
+        block = blocks.combine_chunks().to_batches()[0]
+        of = m.units.find(_numbers(block, "hashes", np.uint64), _numbers(block, "ending", np.int32))
         emit, base = emissions(m, of, total), np.log10((total + 1) / (m.tokens + m.words + 1))
         end = math.log10((m.ends + 1) / (m.tokens + m.words + 1))
         for row in blocks.to_batches():
@@ -360,23 +393,22 @@ def score_documents(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     bounded_batches(spark)
     d = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     blocks = materialize(d.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
-    vocab = blocks.select("block", "hashes", "counts", "ending").mapInArrow(_vocabulary, "block long, h long, n long, ending int")
-    # summed in two steps, then back to the blocks: a common word is one row for each block
-    vocab = materialize(vocab, "block-words")
-    counted = materialize(vocab.groupBy("h").agg(F.sum("n").alias("c"), F.first("ending").alias("ending")), "words")
-    words = vocab.select("block", "h", "ending").join(counted.select("h", "c"), "h")
-    once = counted.where("c > 0")
-    tokens = int(blocks.agg(F.sum("tokens")).first()[0] or 0)
-    often = once.where(F.col("c") >= MIN_COUNT).select("h", "c").toPandas()
-    h, c = often["h"].to_numpy(np.int64).view(np.uint64), often["c"].to_numpy(np.int64)
+    size = blocks.agg(F.sum("tokens"), F.sum("words")).first()
+    tokens = int(size[0] or 0)
+    vocab = blocks.select("block", "hashes", "counts", "ending").mapInArrow(
+        _vocabulary(int(size[1] or 0) // BUCKET_WORDS + 1), "bucket int, block long, hashes binary, counts binary, ending binary")
+    words = materialize(vocab.groupBy("bucket").applyInArrow(
+        _summed, "bucket int, block long, c binary, hashes binary, seen binary, mass binary"), "words")
+    totals = words.where("block IS NULL").select("hashes", "c", "seen", "mass").collect()  # one row a bucket
+    h = np.frombuffer(b"".join(r.hashes for r in totals), np.uint64)
+    c = np.concatenate([np.empty(0, np.int64), *[unsqueeze(r.c, np.int64) for r in totals]])
     order = np.argsort(h)
-    seen, mass = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
-    for r in once.where(F.col("c") < MIN_COUNT).groupBy("ending").agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect():
-        seen[r["ending"]], mass[r["ending"]] = r["n"], r["c"]
+    seen, mass = (sum((unsqueeze(r[name], np.int64) for r in totals), np.zeros(ENDINGS, np.int64)) for name in ("seen", "mass"))
     units, bigrams = cluster(spark, blocks, h[order], np.concatenate((c[order], mass)), sweeps)
     ends = tokens - int(c.sum() + mass.sum())
     model = spark.sparkContext.broadcast(Model(units, transitions(bigrams), unit_emissions(units, bigrams), seen, tokens,
                                                len(h) + int(seen.sum()) + (ends > 0), ends))
-    coded = blocks.select("block", "doc_id", "held", "ends", "codes")
-    return coded.groupBy("block").cogroup(words.select("block", "h", "ending", "c").groupBy("block")).applyInArrow(
+    coded = blocks.select("block", "doc_id", "held", "ends", "codes", "hashes", "ending")
+    counts = words.where("block IS NOT NULL").select("block", "bucket", "c")
+    return coded.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
         _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -277,6 +277,20 @@ def test_brown_scores(docs, empty):
     assert brown.score_documents(empty).count() == 0
 
 
+def test_brown_words_meet_in_many_ranges(spark, docs, monkeypatch):
+    """Word counts are the same however many ranges of hashes they are summed in, and no word is a row of its own."""
+    def scores():
+        return sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in brown.score_documents(docs, sweeps=1).collect())
+
+    whole, kept, write = scores(), [], brown.materialize
+    monkeypatch.setattr(brown, "BUCKET_WORDS", 50)
+    monkeypatch.setattr(brown, "materialize", lambda df, name: kept.append((name, write(df, name))) or kept[-1][1])
+    assert scores() == whole
+    words = dict(kept)["words"]
+    assert words.select("bucket").distinct().count() > 3
+    assert "block-words" not in dict(kept) and words.where("block IS NOT NULL").groupBy("block", "bucket").count().where("count > 1").isEmpty()
+
+
 def test_brown_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     bigrams = rng.integers(0, 30, (brown.CONTEXTS, brown.CONTEXTS))
