@@ -7,8 +7,10 @@ numbers (the phrase's code in the block, and whether a piece starts here).
 
 For each length:
 
-1. group-count: every block gives its distinct phrases with their counts, Spark
-   sums them; phrases below ``MIN_COUNT`` are dropped;
+1. group-count: every block gives its distinct phrases with their counts, dealt
+   by a hash of the phrase to buckets, whose number grows with the table.  A block's
+   share of a bucket is sorted and packed.  A bucket is one task, which sums the
+   counts; phrases below ``MIN_COUNT`` are dropped;
 2. semi-join: a Bloom filter of the frequent phrases, of a fixed number of bits
    whatever their number, goes to the blocks and takes infrequent phrases out of
    the relation.  What it lets through by chance is counted like the rest and
@@ -17,9 +19,14 @@ For each length:
    position.  Two phrases of ``k`` words that overlap in ``k - 1`` are one of
    ``k + 1``.  A phrase with an infrequent part cannot be frequent, so none is lost.
 
+Word pairs are worked out twice, for their counts and for the triples, rather
+than written: they take more room than all else.
+
 Blocks name a word by the XXH64 of its language and text, a phrase by its words'
 hashes.  That no two words of the table share a hash is checked over the whole
-vocabulary; if two did, mining would start again under another salt.  The joins
+vocabulary; if two did, mining would start again under another salt.  The
+``SHORT`` commonest words, a fixed number, are renamed to their rank after the
+first count, which packs better; no hash of the vocabulary is a rank.  The joins
 that name phrases are over frequent phrases only.  A frequent phrase carries the
 counts of all its first and last parts along (``pre``, ``suf``), so cuts are
 scored without another search.
@@ -40,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.bloom import in_filter, key_filter
+from starmart.llm.bloom import hash_longs, in_filter, key_filter
 from starmart.llm.common import bounded_batches, materialize, release, squeeze, text_slices, unsqueeze
 
 MIN_COUNT = 30
@@ -52,8 +59,13 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 #: text of one block, in bytes
 BLOCK_BYTES = 8 << 20
+#: words that get short names (their list, 8 bytes each, is broadcast)
+SHORT = 1 << 17
+#: phrases of all blocks in one bucket
+BUCKET_ROWS = 1 << 20
 
-WORDS = "lang string, word string, n long, hashes binary, parts binary, codes binary, starts binary"
+BLOCK = "live long, hashes binary, parts binary, codes binary, starts binary"
+WORDS = "lang string, word string, n long, " + BLOCK
 #: Classes of bytes: 0 in a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -100,18 +112,24 @@ def _unpack_bits(raw: bytes) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8, offset=8), count=int.from_bytes(raw[:8], "little")).astype(bool)
 
 
-def _rows(columns: dict[str, pa.Array], count: np.ndarray, hashes: bytes, parts: np.ndarray, codes: np.ndarray,
-          starts: bytes) -> Iterator[pa.RecordBatch]:
-    """A row with the block's relation, then one for each distinct phrase of it."""
-    n = len(count)
+Relation = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _block(hashes: np.ndarray, parts: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> dict[str, object]:
+    """A block's relation as values of one row; ``live``: its rows that hold a phrase."""
+    return {"live": int((codes >= 0).sum()), "hashes": squeeze(hashes.view(np.int64)), "parts": squeeze(parts.astype(np.int32).reshape(-1)),
+            "codes": squeeze(codes.astype(np.int32) + 1), "starts": _pack_bits(starts)}
 
-    def head(value: bytes) -> pa.Array:
-        return pa.array([value] + [None] * n, pa.binary())
 
-    yield from pa.table({**{k: pa.concat_arrays([pa.nulls(1, v.type), v]) for k, v in columns.items()},
-                         "n": pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(count.astype(np.int64))]), "hashes": head(hashes),
-                         "parts": head(squeeze(parts.astype(np.int32).reshape(-1))), "codes": head(squeeze(codes.astype(np.int32) + 1)),
-                         "starts": head(starts)}).to_batches()
+def _blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[Relation]:
+    """(hashes of words, phrases as rows of places in them, phrase of each row or -1, whether a piece starts there) of each block."""
+    for b in batches:
+        for raw, part, code, packed in zip(*(b.column(c).to_pylist() for c in ("hashes", "parts", "codes", "starts"))):
+            yield unsqueeze(raw, np.int64), unsqueeze(part, np.int32).reshape(-1, k), unsqueeze(code, np.int32) - 1, _unpack_bits(packed)
+            release()
+
+
+_KINDS = {"live": pa.int64(), "hashes": pa.binary(), "parts": pa.binary(), "codes": pa.binary(), "starts": pa.binary()}
 
 
 def _words(salt: str):
@@ -129,40 +147,110 @@ def _words(salt: str):
                 seeds = {x: xxhash.xxh64_intdigest(salt + x, 42) for x in langs.dictionary.to_pylist()}
                 hashes = np.fromiter((xxhash.xxh64_intdigest(w, seeds[x]) for x, w in zip(lang.to_numpy(zero_copy_only=False), word.to_numpy(
                     zero_copy_only=False))), np.uint64, len(word))
-                yield from _rows({"lang": lang, "word": word}, count, hashes.tobytes(), np.arange(len(word)), codes, _pack_bits(starts))
+                # a row with the block's relation, then one for each distinct word of it
+                head = _block(hashes, np.arange(len(word)), codes, starts)
+                columns = {"lang": lang, "word": word, "n": pa.array(count.astype(np.int64))}
+                yield from pa.table({**{c: pa.concat_arrays([pa.nulls(1, v.type), v]) for c, v in columns.items()},
+                                     **{c: pa.array([head[c]] + [None] * len(word), t) for c, t in _KINDS.items()}}).to_batches()
                 release()
 
     return run
 
 
-def _extend(bits, k: int):
-    """Merge-join of each block's relation of ``k`` words, cut down to frequent phrases, with itself on the next position."""
-    names = [f"w{i}" for i in range(1, k + 2)]
+def renamed(hashes: np.ndarray, short: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Words by rank, if ``short`` (sorted hashes, their ranks) has them."""
+    known, rank = short
+    if not len(known):
+        return hashes
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, rank[at], hashes)
+
 
+def _renamed(short):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(bits.value, np.uint8)
         for b in batches:
-            for packed, raw, part, code in zip(*(b.column(c).to_pylist() for c in ("starts", "hashes", "parts", "codes"))):
-                hashes, parts, codes = np.frombuffer(raw, np.int64), unsqueeze(part, np.int32).reshape(-1, k), unsqueeze(code, np.int32)
-                frequent = np.flatnonzero(in_filter(held, hashes[parts]))
-                local = np.full(len(parts) + 1, -1, np.int64)
-                local[frequent + 1] = np.arange(len(frequent))
-                here = local[codes]
-                at = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0) & ~_unpack_bits(packed)[1:])
-                wide = max(1, len(frequent))
-                distinct, pair, count = np.unique(here[at] * wide + here[at + 1], return_inverse=True, return_counts=True)
-                longer = np.full(len(codes), -1, np.int32)
-                longer[at] = pair
-                parts = np.concatenate((parts[frequent[distinct // wide]], parts[frequent[distinct % wide]][:, -1:]), axis=1)
-                yield from _rows({c: pa.array(hashes[parts[:, i]]) for i, c in enumerate(names)}, count, raw, parts, longer, packed)
-                release()
+            at = b.schema.get_field_index("w1")
+            yield b.set_column(at, "w1", pa.array(renamed(b.column(at).to_numpy(), short.value)))
+
+    return run
+
+
+def lengthened(relation: Relation, held: np.ndarray) -> Relation:
+    """Merge-join of a block's relation, cut down to frequent phrases, with itself on the next position."""
+    hashes, parts, codes, starts = relation
+    frequent = np.flatnonzero(in_filter(held, hashes[parts]))
+    local = np.full(len(parts) + 1, -1, np.int64)
+    local[frequent + 1] = np.arange(len(frequent))
+    here = local[codes + 1]
+    at = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0) & ~starts[1:])
+    wide = max(1, len(frequent))
+    distinct, pair = np.unique(here[at] * wide + here[at + 1], return_inverse=True)
+    codes = np.full(len(codes), -1, np.int32)
+    codes[at] = pair
+    parts = np.concatenate((parts[frequent[distinct // wide]], parts[frequent[distinct % wide]][:, -1:]), axis=1)
+    used, place = np.unique(parts, return_inverse=True)
+    return hashes[used], place.reshape(parts.shape).astype(np.int32), codes, starts
+
+
+def _extended(batches: Iterator[pa.RecordBatch], k: int, short, filters: list) -> Iterator[Relation]:
+    """The blocks' relations of ``k`` words, made longer by a word for each filter."""
+    for hashes, *rest in _blocks(batches, k):
+        relation = (renamed(hashes, short.value) if k == 1 else hashes, *rest)
+        for bits in filters:
+            relation = lengthened(relation, np.frombuffer(bits.value, np.uint8))
+        yield relation
+
+
+def _extend(k: int, short, filters: list):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for relation in _extended(batches, k, short, filters):
+            row = _block(*relation)
+            yield pa.RecordBatch.from_pydict({c: pa.array([row[c]], t) for c, t in _KINDS.items()})
+
+    return run
+
+
+def _deal(k: int, short, filters: list, buckets: int):
+    """(bucket, w1, w2, .., n): each block's distinct phrases and their counts, sorted, as packed columns of a row for each bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, parts, codes, _ in _extended(batches, k, short, filters):
+            if not len(parts):
+                continue
+            key, n = hashes[parts], np.bincount(codes[codes >= 0], minlength=len(parts))
+            bucket = (hash_longs(key) % np.uint64(buckets)).astype(np.int32)
+            order = np.lexsort((*key.T[::-1], bucket))
+            columns, n, bucket = np.ascontiguousarray(key[order].T), n[order], bucket[order]
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            cut = list(zip(first.tolist(), [*first[1:].tolist(), len(bucket)]))
+            words = {f"w{i + 1}": pa.array([squeeze(np.diff(x[lo:hi], prepend=0) if i == 0 else x[lo:hi]) for lo, hi in cut], pa.binary())
+                     for i, x in enumerate(columns)}
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[first]), **words,
+                                              "n": pa.array([squeeze(n[lo:hi].astype(np.int64)) for lo, hi in cut], pa.binary())})
+
+    return run
+
+
+def _summed(k: int, least: int):
+    """One bucket's phrases that occur ``least`` times or more: w1, w2, .., f."""
+    def run(t: pa.Table) -> pa.Table:
+        columns = [[unsqueeze(x.as_py(), np.int64) for x in t.column(c)] for c in (*(f"w{i}" for i in range(1, k + 1)), "n")]
+        columns[0] = [np.cumsum(x) for x in columns[0]]
+        *key, n = (np.concatenate(c) for c in columns)
+        order = np.lexsort(key[::-1])
+        key, n = [c[order] for c in key], n[order]
+        new = np.ones(len(n), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in key], axis=0)
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(n, first)
+        kept = f >= least
+        return pa.table({**{f"w{i + 1}": pa.array(c[first[kept]]) for i, c in enumerate(key)}, "f": pa.array(f[kept])})
 
     return run
 
 
 def _clash(vocabulary: DataFrame) -> bool:
-    """Whether two words share a hash."""
-    return not vocabulary.groupBy("w1").count().where("count > 1").isEmpty()
+    """Whether two words share a hash, or a hash is a short name."""
+    return not vocabulary.groupBy("w1").count().where(f"count > 1 OR w1 BETWEEN 0 AND {SHORT - 1}").isEmpty()
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, text_col: str = "text",
@@ -176,26 +264,30 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     d = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
     salt = ""
     while True:
-        relation = materialize(d.mapInArrow(_words(salt), WORDS), "occurrences-1")
+        relation = materialize(d.mapInArrow(_words(salt), WORDS), "occurrences-1", "zstd")
         words = relation.where("n IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
-        words = materialize(words.withColumn("w1", F.xxhash64(F.concat(F.lit(salt), "lang"), "word")), "phrase-vocabulary")
+        words = materialize(words.withColumn("w1", F.xxhash64(F.concat(F.lit(salt), "lang"), "word")), "phrase-vocabulary", "zstd")
         if not _clash(words):
             break
         salt += "+"
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= min_count)
+    common = frequent.orderBy(F.desc("f"), "w1").limit(SHORT).select("w1").toPandas()["w1"].to_numpy(np.int64)
+    short = spark.sparkContext.broadcast((np.sort(common), np.argsort(common)))
+    frequent = frequent.select("w1", "lang", "word", "f").mapInArrow(_renamed(short), "w1 long, lang string, word string, f long")
     tables = [frequent.select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"))]
+    relation, held, filters = relation.where("n IS NULL").select(*_KINDS), 1, []  # ``held`` words, then one more for each filter
     for k in range(2, max_words + 1):
-        short, key = [f"w{i}" for i in range(1, k)], [f"w{i}" for i in range(1, k + 1)]
-        bits = spark.sparkContext.broadcast(key_filter(tables[-1], short).tobytes())
-        rows = relation.where("n IS NULL").select("hashes", "parts", "codes", "starts")
-        schema = ", ".join(f"{c} long" for c in key) + ", n long, hashes binary, parts binary, codes binary, starts binary"
-        relation = materialize(rows.mapInArrow(_extend(bits, k - 1), schema), f"occurrences-{k}")
-        bits.destroy()
-        counted = relation.where("n IS NOT NULL").groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        first = tables[-1].select(*short, "lang", F.col("words").alias("w"), F.col("pre").alias("p"))
-        last = tables[-1].select(*[F.col(c).alias(n) for c, n in zip(short, key[1:])], F.element_at("words", -1).alias("x"), F.col("suf").alias("s"))
-        longer = materialize(counted, f"phrases-{k}").join(first, short).join(last, key[1:]).select(
+        part, key = [f"w{i}" for i in range(1, k)], [f"w{i}" for i in range(1, k + 1)]
+        filters.append(spark.sparkContext.broadcast(key_filter(tables[-1], part).tobytes()))
+        if 2 < k < max_words:  # pairs are too many to be written, the longest phrases are not read again
+            relation, held, filters = materialize(relation.mapInArrow(_extend(held, short, filters), BLOCK), f"occurrences-{k}"), k, []
+        buckets = int(relation.agg(F.sum("live")).first()[0] or 0) // BUCKET_ROWS + 1
+        dealt = relation.mapInArrow(_deal(held, short, filters, buckets), "bucket int, " + ", ".join(f"{c} binary" for c in key) + ", n binary")
+        counted = dealt.groupBy("bucket").applyInArrow(_summed(k, min_count), ", ".join(f"{c} long" for c in key) + ", f long")
+        first = tables[-1].select(*part, "lang", F.col("words").alias("w"), F.col("pre").alias("p"))
+        last = tables[-1].select(*[F.col(c).alias(n) for c, n in zip(part, key[1:])], F.element_at("words", -1).alias("x"), F.col("suf").alias("s"))
+        longer = materialize(counted, f"phrases-{k}").join(first, part).join(last, key[1:]).select(
             *key, "lang", F.concat("w", F.array("x")).alias("words"), "f", F.concat("p", F.array("f")).alias("pre"),
             F.concat("s", F.array("f")).alias("suf"))
         tables.append(materialize(longer, f"phrases-named-{k}"))

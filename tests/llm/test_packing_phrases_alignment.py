@@ -172,6 +172,23 @@ def test_collocations(spark):
         assert got == brute_collocations(data, top, least, covered)
 
 
+def test_collocations_deal_packed_phrases(spark, monkeypatch):
+    """Phrases of words with and without short names, in many buckets and blocks; distinct phrases are written in no table but the frequent ones'."""
+    r = random.Random(5)
+    vocab = [f"w{i}" for i in range(12)]
+    data = [(" ".join(r.choice(vocab) + r.choice(["", "", ","]) for _ in range(40)), r.choice(["en", "fr", None])) for _ in range(50)]
+    kept, write = {}, collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, name, *codec: kept.setdefault(name, write(df, name, *codec)))
+    for name, value in (("BUCKET_ROWS", 100), ("SHORT", 9), ("BLOCK_BYTES", 600)):
+        monkeypatch.setattr(collocations, name, value)
+    d = spark.createDataFrame(data, "text string, lang string").repartition(3)
+    got = {tuple(x) for x in collocations.collocations(d, 2000, 4).collect()}
+    assert got == brute_collocations(data, 2000, 4, 80)
+    named = {x for r in kept["phrases-2"].collect() for x in (r.w1, r.w2)}
+    assert any(0 <= x < 9 for x in named) and any(not 0 <= x < 9 for x in named)
+    assert "occurrences-2" not in kept and kept["occurrences-3"].count() > 3
+
+
 def brute_alignment(texts: list[str | None]) -> list[tuple]:
     import sentencepiece
     from tokenizers import Tokenizer
