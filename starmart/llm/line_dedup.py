@@ -9,13 +9,15 @@ lines, ``1 - levenshtein / longer length``, is at least 0.8.
 Candidates: 64 bits in five blocks; three differing bits leave two blocks equal,
 so ten tables, one for each pair of blocks, join on 25 or 26 equal bits and find
 every pair within the radius.  Equal lines collapse before the join.  Buckets are
-spread over groups of about 65,536 rows (their number grows with the data);
+spread over groups of about 65,536 rows (their number grows with the data), to
+which a task deals its fingerprints packed, one row a group;
 fingerprints of a bucket are compared in numpy, lines with a partner get their
 text, links are verified there, and only star edges of the verified links'
 components leave the task, never all pairs.
 
 Of each connected group one occurrence stays: the first by (doc_id, line
-number).  Lines without a letter, mark or number are never duplicates.
+number).  A distinct line that occurs once and has no link stays without
+further ado; only the others meet their groups and occurrences.  Lines without a letter, mark or number are never duplicates.
 
 Defined cases: a null text has no lines; an empty text has one empty line;
 null doc_ids order first; rows with equal doc_id are told apart by a hash of
@@ -37,13 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.bloom import in_filter, key_filter
-from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, release, scramble, split_words, text_slices,
-                                 unpack)
+from starmart.llm.common import (bounded_batches, hash_words, materialize, pack, release, scramble, split_words, squeeze, text_slices,
+                                 unpack, unsqueeze)
 from starmart.llm.components import components
 
 RADIUS = 3
 BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.8
+#: fingerprints that a task deals at once
+DEALT = 1 << 18
 
 
 def normalise(lines: pa.Array) -> pa.Array:
@@ -130,10 +134,31 @@ def _among(bits, inside: bool = True):
     return run
 
 
-def in_tables(lines: DataFrame, n_groups: int) -> DataFrame:
-    """``lines`` under each table number ``n``, with the group ``g`` of its bucket (equal bits of two blocks)."""
-    each = F.array(*[F.struct(F.lit(n).alias("n"), F.col("sim").bitwiseAND(F.lit(_signed(m))).alias("key")) for n, m in enumerate(TABLES)])
-    return bucketed(lines.withColumn("k", F.explode(each)).withColumn("n", F.col("k.n")).drop("k"), n_groups)
+def _deal(n_groups: int):
+    """(g, n, sim): fingerprints under each table number ``n``, packed in one row for each group ``g`` of buckets (equal bits of two blocks)."""
+    def rows(sim: np.ndarray) -> pa.RecordBatch:
+        g = np.concatenate([scramble(scramble(sim & np.uint64(m)) + np.uint64(n)) % np.uint64(n_groups) for n, m in enumerate(TABLES)]).astype(np.int32)
+        n, sim = np.repeat(np.arange(len(TABLES), dtype=np.uint8), len(sim)), np.tile(sim, len(TABLES))
+        order = np.argsort(g, kind="stable")
+        g, n, sim = g[order], n[order], sim[order]
+        first = np.flatnonzero(np.diff(g, prepend=-1)).tolist()
+        cut = list(zip(first, [*first[1:], len(g)]))
+        return pa.RecordBatch.from_pydict({"g": pa.array(g[first]), "n": pa.array([squeeze(n[lo:hi]) for lo, hi in cut], pa.binary()),
+                                           "sim": pa.array([squeeze(sim[lo:hi]) for lo, hi in cut], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            held.append(b.column("sim").to_numpy().view(np.uint64))
+            size += len(held[-1])
+            if size >= DEALT:
+                yield rows(np.concatenate(held))
+                held, size = [], 0
+                release()
+        if size:
+            yield rows(np.concatenate(held))
+
+    return run
 
 
 def bucketed(rows: DataFrame, n_groups: int) -> DataFrame:
@@ -156,15 +181,15 @@ def near_in_buckets(n: np.ndarray, sim: np.ndarray) -> Iterator[tuple[np.ndarray
         yield a[first], a[first] + d
 
 
-def _by_bucket(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, sim = t.column("n").to_numpy(), t.column("sim").to_numpy().view(np.uint64)
+def _by_bucket(n: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((sim & np.array(TABLES, np.uint64)[n], n))
     return order, n[order], sim[order]
 
 
 def _partnered(t: pa.Table) -> pa.Table:
     """(sim, n) of fingerprints with a partner in their bucket."""
-    order, n, sim = _by_bucket(t)
+    n, sim = (np.concatenate([unsqueeze(x.as_py(), kind) for x in t.column(c)]) for c, kind in (("n", np.uint8), ("sim", np.uint64)))
+    order, n, sim = _by_bucket(n.astype(np.int32), sim)
     has = np.zeros(len(order), bool)
     for a, b in near_in_buckets(n, sim):
         has[a] = has[b] = True
@@ -220,7 +245,7 @@ def similar(a: str, b: str) -> bool:
 
 def _verified(t: pa.Table) -> pa.Table:
     """Star edges of the verified links; a pair already in one local group needs no check."""
-    order, n, sim = _by_bucket(t)
+    order, n, sim = _by_bucket(t.column("n").to_numpy(), t.column("sim").to_numpy().view(np.uint64))
     at = pa.array(order)
     ids, norm = t.column("h1").to_numpy()[order], t.column("norm").take(at).to_pylist()
     size = t.column("size").to_numpy()[order]
@@ -253,7 +278,8 @@ def links(lines: DataFrame, docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sims = materialize(lines.groupBy("sim").agg(F.count("*").alias("lines")), "line-sims")
     n_groups = groups(len(TABLES) * sims.count())
-    partnered = in_tables(sims.select("sim"), n_groups).groupBy("g").applyInArrow(_partnered, "sim long, n int")
+    dealt = sims.select("sim").mapInArrow(_deal(n_groups), "g int, n binary, sim binary")
+    partnered = dealt.groupBy("g").applyInArrow(_partnered, "sim long, n int")
     same = sims.where("lines > 1").select("sim", F.lit(0).alias("n"))  # equal fingerprints meet in the first table
     partnered = materialize(partnered.unionByName(same).distinct(), "line-near")
     # the wanted lines' texts, from their first occurrence
@@ -270,25 +296,38 @@ def links(lines: DataFrame, docs: DataFrame) -> DataFrame:
     return full.groupBy("g").applyInArrow(_verified, "a long, b long")
 
 
+def _with(bits, key: str):
+    """Rows whose ``key`` may be in a filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            yield b.filter(pa.array(in_filter(held, b.column(key).to_numpy()[:, None])))
+
+    return run
+
+
 def line_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, tkey, line, h1, h2, root, keep) for each line with a letter, mark or number; ``docs`` has doc_id, tkey, text."""
+    """(doc_id, tkey, line, h1, h2, root, keep) for each line with a letter, mark or number that occurs again or is linked; the others
+    all stay.  ``docs`` has doc_id, tkey, text."""
     lines = materialize(docs.where("text is not null").select("doc_id", "tkey", "text").mapInArrow(
-        _lines, "doc_id long, tkey long, line int, h1 long, h2 long, sim long, size int"), "lines")
+        _lines, "doc_id long, tkey long, line int, h1 long, h2 long, sim long, size int"), "lines", "zstd")
     place = F.struct("doc_id", "tkey", "line")
-    distinct = lines.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.first("sim").alias("sim"), F.first("size").alias("size"))
-    distinct = materialize(distinct.select("h1", "h2", "sim", "size", "p.*"), "line-distinct")
+    distinct = lines.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.first("sim").alias("sim"), F.first("size").alias("size"),
+                                             F.count("*").alias("times"))
+    distinct = materialize(distinct.select("h1", "h2", "sim", "size", "times", "p.*"), "line-distinct", "zstd")
     stars = materialize(components(links(distinct, docs), "line-stars"), "line-roots")
-    named = distinct.select("h1", "h2", place.alias("place")).join(
-        stars.select(F.col("node").alias("h1"), "root"), "h1", "left")
-    # a line outside all groups is its own group: (h1, h2); others go by their root
-    group = named.select("h1", "h2", F.coalesce("root", "h1").alias("root"), "place")
-    linked = stars.select(F.col("root").alias("r")).distinct()
-    group = group.join(linked, F.col("root") == F.col("r"), "left").withColumn("alone", F.when(F.col("r").isNull(), F.col("h2")))
+    linked = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
+    # a line without links is its own group: (h1, h2); others go by their root
+    group = distinct.join(linked, F.col("h1") == F.col("node"), "left").where("root IS NOT NULL OR times > 1").select(
+        "h1", "h2", F.coalesce("root", "h1").alias("root"), place.alias("place"), F.when(F.col("root").isNull(), F.col("h2")).alias("alone"))
+    group = materialize(group, "line-several")
+    some = docs.sparkSession.sparkContext.broadcast(key_filter(group, ["h1"]).tobytes())
     first = group.groupBy("root", "alone").agg(F.min("place").alias("first"))
     group = group.join(first.select(F.col("root").alias("fr"), F.col("alone").alias("fa"), "first"),
                        (F.col("root") == F.col("fr")) & F.col("alone").eqNullSafe(F.col("fa"))).select(
         F.col("h1").alias("g1"), F.col("h2").alias("g2"), "root", "first")
-    out = lines.join(group, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+    again = lines.select("doc_id", "tkey", "line", "h1", "h2").mapInArrow(_with(some, "h1"), "doc_id long, tkey long, line int, h1 long, h2 long")
+    out = again.join(group, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
     keep = F.struct("doc_id", "tkey", "line").eqNullSafe(F.col("first"))
     return out.select("doc_id", "tkey", "line", "h1", "h2", "root", keep.alias("keep"))
 

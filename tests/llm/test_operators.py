@@ -334,6 +334,22 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_deals_packed_fingerprints(spark, monkeypatch):
+    """Groups of buckets get their fingerprints in packed rows; lines that occur once and have no link meet no group."""
+    data = [(i, f"{x} only here {i}\n{x} again in all of these documents") for i, x in enumerate(VOCAB[:8])] + [(99, "one alone"), (100, "one alone")]
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    sims = spark.createDataFrame([(i * 7919,) for i in range(300)], "sim long")
+    monkeypatch.setattr(line_dedup, "DEALT", 64)
+    dealt = sims.coalesce(1).mapInArrow(line_dedup._deal(5), "g int, n binary, sim binary").collect()
+    assert len(dealt) < 300 and {r.g for r in dealt} <= set(range(5))
+    held = Counter((int(n), int(x)) for r in dealt for n, x in zip(line_dedup.unsqueeze(r.n, np.uint8), line_dedup.unsqueeze(r.sim, np.int64)))
+    assert held == Counter((n, i * 7919) for n in range(len(line_dedup.TABLES)) for i in range(300))
+    tagged = d.selectExpr("doc_id", "text", "xxhash64(text) AS tkey")
+    got = line_dedup.line_groups(tagged).collect()
+    assert {(r.doc_id, r.line, r.keep) for r in got if r.doc_id >= 99} == {(99, 0, True), (100, 0, False)}
+    assert not any(r.doc_id < 8 and r.line == 0 for r in got)
+
+
 def edited_lines(kind: str, share: float, seed: int) -> list[tuple[str, str]]:
     """Lines of 8 to 80 words and a copy of each with whole words or single characters replaced, up to a share of the characters."""
     r, out = random.Random(seed), []
