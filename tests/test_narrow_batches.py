@@ -115,4 +115,4 @@ def test_heavy_keys_count_only_rows_of_heavy_buckets(spark):
     rows = spark.range(400).select(F.when(F.col("id") < 40, "a").when(F.col("id") < 60, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
     hot = heavy_keys(rows, "k", parts=20)
     assert {(r.k, r.salts) for r in hot.collect()} == {("a", 2), (None, 1)}
-    assert any("__bucket" in part for part in plan_parts(spark, hot, "BroadcastHashJoin"))
+    assert any("__hot_bucket" in part for part in plan_parts(spark, hot, "BroadcastHashJoin"))
