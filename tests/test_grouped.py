@@ -65,3 +65,29 @@ def test_stored_lines_leave_out_what_follows_from_them(spark):
     stored = stored_lines(raw)
     assert not {"order_item_id", "is_return", "invoice_date_only"} & set(stored.columns)
     assert _rows(with_line_keys(stored)) == _rows(clean_order_lines(raw))
+
+
+def test_distinct_counts_deal_a_row_once(spark):
+    from starmart.operators import marts
+
+    key = "0123456789abcdef" * 2
+    df = spark.createDataFrame([(key, "2001-01", "o1", "UK", 2, 1), ("c1", "2001-01", "o1", "UK", 3, 1), ("c1", "2001-01", "o2", None, 4, 5),
+                                ("-1", "2001-02", "o2", "FR", None, 2), (None, None, None, None, 1, 3), (key, "2001-01", "o2", "UK", 5, 9)],
+                               "customer_key string, month string, o string, country string, v int, at int").cache()
+    sums = {"total": ("sum", F.col("v")), "first": ("min", F.col("at")), "last": ("max", F.col("at"))}
+    counts = {"orders": "o", "countries": "country"}
+    by = ("customer_key", "month")
+    hot = spark.createDataFrame([(key, "2001-01"), ("c1", "2001-01")], "customer_key string, month string").cache()
+    dealt = marts.with_distinct_counts(df, by, sums, counts, hot.limit(0).cache())
+    assert _rows(marts.with_distinct_counts(df, by, sums, counts)) == _rows(dealt) == _rows(marts.with_distinct_counts(df, by, sums, counts, hot))
+    assert {r.customer_key: (r.orders, r.countries, r.total) for r in dealt.collect()} == {
+        key: (2, 1, 7), "c1": (2, 1, 7), "-1": (1, 1, None), None: (0, 0, 1)}
+    assert dealt._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_packed_keys_come_back(spark):
+    from starmart.functions.keys import packed_key, unpacked_key
+
+    keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "-1", "", "x" * 16, "\0" * 17 + "é", None]
+    got = spark.createDataFrame([(k,) for k in keys], "k string").select("k", unpacked_key(packed_key("k")).alias("again"), packed_key("k").alias("p")).collect()
+    assert all(r.again == r.k for r in got) and len({r.p for r in got}) == len(keys) and len(got[0].p) == 16
