@@ -39,3 +39,18 @@ def test_the_forecast_reads_written_demand(spark):
 
     files = REGISTRY["product_forecast"](spark, SMOKE).inputFiles()
     assert files and all("/demand-" in f for f in files)
+
+
+def test_snapshot_rows_meet_their_deletes_as_bytes(spark):
+    from starmart.sources.snapshots import Snapshot, SnapshotStore
+
+    schema = "order_item_id string, v int, m int"
+    rows = spark.createDataFrame([(HASH, 1, 200101), ("-1", 2, 200101), ("kept", 3, 200102), (HASH[::-1], 4, 200102)], schema)
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    folders = [store.write(rows, "lines", seq=1, month="m"),
+               store.write(rows.where("v in (1, 2)").select("order_item_id", "m"), "lines", seq=2, kind="deletes", month="m"),
+               store.write(rows.where("v = 1"), "lines", seq=2, month="m")]
+    now = store.read(Snapshot(2, {"lines": tuple(folders)}), "lines", schema, "order_item_id", None, "m")
+    assert now.columns == ["order_item_id", "v", "m"]
+    assert sorted(map(tuple, now.collect())) == sorted([(HASH, 1, 200101), ("kept", 3, 200102), (HASH[::-1], 4, 200102)])
+    assert "unhex" in now._jdf.queryExecution().optimizedPlan().toString()
